@@ -18,11 +18,17 @@ def match_key(season: Column, team1: Column, team2: Column, venue: Column, start
     return short_sha1(F.concat_ws("|", *parts))
 
 
+def two_digits(n: Column) -> Column:
+    """At least two digits, like ``%02d`` for the numbers that occur here."""
+    return F.concat(F.when(n.between(0, 9), "0").otherwise(""), n.cast("string"))
+
+
 def ball_key(match_id: Column, inning_no: Column, over_no: Column, ball_in_over: Column) -> Column:
     """``match-ii-oo-bb``, or null when any ordinal is missing (a placeholder row is no ball)."""
-    ordinals = (inning_no, over_no, ball_in_over)
-    known = ordinals[0].isNotNull() & ordinals[1].isNotNull() & ordinals[2].isNotNull()
-    return F.when(known, F.concat(match_id, *(F.format_string("-%02d", n) for n in ordinals)))
+    dash = F.lit("-")
+    return F.concat(
+        match_id, dash, two_digits(inning_no), dash, two_digits(over_no), dash, two_digits(ball_in_over)
+    )
 
 
 def team_key(name_norm: Column) -> Column:

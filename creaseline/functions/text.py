@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-# The characters Python's str.strip() and str.split() treat as blank,
-# written as a Java regular expression class.
-BLANK = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters Python's str.strip() and str.split() treat as blank, as a Java
+# regular expression class. It lists everything else, letters first, since that is decided fastest.
+BLANK = (
+    r"[^\x21-\x84\x00-\x08\x0e-\x1b\x86-\x9f\xa1-\x{167f}\x{1681}-\x{1fff}"
+    r"\x{200b}-\x{2027}\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}]"
+)
 
 
 @dataclass(frozen=True)
@@ -26,14 +29,48 @@ class NameRules:
     collapse_spaces: bool = True
 
 
-def strip_marks(text: str) -> str:
-    """Compatibility decomposition without the combining marks."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.combining(c) == 0)
+@cache
+def mark_stripper():
+    """The function from texts to texts without combining marks.
+
+    It is a local function over the standard library only, so executors receive it whole
+    and need not have this package. Every character is decomposed on its own, hence
+    runs of other than ASCII characters are taken out, folded and put back.
+    """
+    import re
+    import unicodedata
+
+    beyond_ascii = re.compile(r"[^\x00-\x7f]+")
+
+    def strip_all(texts):
+        known = {}
+
+        def fold(found):
+            run = found.group()
+            if run not in known:
+                parts = unicodedata.normalize("NFKD", run)
+                known[run] = "".join(c for c in parts if unicodedata.combining(c) == 0)
+            return known[run]
+
+        return [None if text is None else beyond_ascii.sub(fold, text) for text in texts]
+
+    return strip_all
 
 
-@F.pandas_udf(StringType())
-def _strip_marks_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(strip_marks, na_action="ignore")
+@cache
+def _strip_marks_batch():
+    strip_all = mark_stripper()
+
+    def batch(texts: pd.Series) -> pd.Series:
+        return texts.__class__(strip_all(texts), dtype=object)
+
+    # not evaluated a second time for a filter or a join on its result
+    return F.pandas_udf(batch, StringType()).asNondeterministic()
+
+
+def strip_marks(text: str) -> str:
+    """Compatibility decomposition without the combining marks, for a literal."""
+    return mark_stripper()([text])[0]
 
 
 def without_marks(col: Column) -> Column:
@@ -44,28 +81,39 @@ def without_marks(col: Column) -> Column:
     and keep their own value.
     """
     is_ascii = F.octet_length(col) == F.char_length(col)
-    return F.when(is_ascii, col).otherwise(_strip_marks_batch(F.when(~is_ascii, col)))
+    return F.when(is_ascii, col).otherwise(_strip_marks_batch()(F.when(~is_ascii, col)))
 
 
 def strip_blank(col: Column) -> Column:
     return F.regexp_replace(col, rf"\A{BLANK}+|{BLANK}+\z", "")
 
 
+def collapse_blank(col: Column) -> Column:
+    """One space for every run of blanks, none at the ends."""
+    return F.trim(F.regexp_replace(col, f"{BLANK}+", " "))
+
+
 def name_key(col: Column, rules: NameRules = NameRules()) -> Column:
     """Comparison form of a person or team name, under configurable rules."""
     if rules.remove_diacritics:
         col = without_marks(col)
     if rules.lower:
         col = F.lower(col)
+    if rules.strip and rules.collapse_spaces:
+        # blanks can be collapsed first: the ends are then single spaces and cheap to cut
+        col = collapse_blank(col)
+        if rules.remove_trailing_commas:
+            col = F.rtrim(F.rtrim(col, F.lit(",")))
+        if rules.remove_periods:
+            col = collapse_blank(F.replace(col, F.lit("."), F.lit("")))
+        return col
     if rules.strip:
         col = strip_blank(col)
     if rules.remove_trailing_commas:
         col = strip_blank(F.regexp_replace(col, r",+(?=\n?\z)", ""))
     if rules.remove_periods:
         col = F.replace(col, F.lit("."), F.lit(""))
-    if rules.collapse_spaces:
-        col = strip_blank(F.regexp_replace(col, rf"{BLANK}+", " "))
-    return col
+    return collapse_blank(col) if rules.collapse_spaces else col
 
 
 def plain_name_key(col: Column) -> Column:

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from creaseline.functions.keys import ball_key
 from creaseline.operators.flatten import opponent
-from creaseline.sources.schemas import MATCH_DOCUMENT
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def percent(col: str) -> Column:
-    return F.round(F.col(col) * 100).cast("int")
+    return F.rint(F.col(col) * 100).cast("int")
 
 
 def text(col: Column) -> Column:
@@ -27,8 +27,11 @@ def text(col: Column) -> Column:
 
 def pick(number: Column, *choices: str | Column | None) -> Column:
     """The choice at position ``number``."""
-    options = [c if isinstance(c, Column) else F.lit(c) for c in choices]
-    return F.get(F.array(*options), number.cast("int"))
+    first, *others = choices
+    chosen = F.when(number == 0, first)
+    for at, choice in enumerate(others, 1):
+        chosen = chosen.when(number == at, choice)
+    return chosen
 
 
 def padded(number: Column) -> Column:
@@ -77,8 +80,10 @@ def line_balls(spark: SparkSession, folder: str) -> DataFrame:
         F.when(fell, pick(line % 4, "bowled", "caught", "run out", "lbw")).alias("wicket_kind"),
         F.when(fell, F.when(line % 2 == 0, striker).otherwise(partner)).alias("wicket_player_out"),
     )
-    ball_key = F.concat("match_id", *(F.format_string("-%02d", c) for c in ("inning_no", "over_no", "ball_in_over")))
-    return parts.withColumns({"runs_total": F.col("runs_batter") + F.col("runs_extras"), "delivery_id": ball_key})
+    place = (F.col(c) for c in ("match_id", "inning_no", "over_no", "ball_in_over"))
+    return parts.withColumns(
+        {"runs_total": F.col("runs_batter") + F.col("runs_extras"), "delivery_id": ball_key(*place)}
+    )
 
 
 def match_sides(spark: SparkSession, folder: str) -> DataFrame:
@@ -238,22 +243,31 @@ def counted(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def match_documents(df: DataFrame, key: Column) -> DataFrame:
-    """A nested match document for every row, built from its key alone.
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a table has fewer splits than there are cores.
+
+    Meant for narrow rows that become expensive ones; larger tables stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def match_documents(keys: DataFrame) -> DataFrame:
+    """A nested match document for every key of a one-column table, built from the key alone.
 
     The documents include the awkward cases: no innings, no overs, no balls,
     over without number, ball without extras, none, one or two wickets, a third
     innings, one date or two, a season written with a slash, no result.
     """
-    k = key.cast("bigint")
+    keys = spread(keys)
+    k = F.col(keys.columns[0]).cast("bigint")
     home = F.concat(F.lit("NATION_"), text(k % 25))
     away = F.concat(F.lit("NATION_"), text((k + 1 + k % 24) % 25))
 
     def player(n: Column) -> Column:
         return F.concat(F.lit("P"), text(n % 200))
 
-    def ball(i: Column, o: Column, b: Column) -> Column:
-        at = k + i * 3 + o * 5 + b * 7
+    def ball(at: Column) -> Column:
         extras = F.when(at % 3 != 0, (at % 4 == 0).cast("bigint")).otherwise(0)
         fielder = F.struct(player(at + 9).alias("name"), (at % 2 == 0).alias("substitute"))
         wicket = F.struct(
@@ -287,7 +301,10 @@ def match_documents(df: DataFrame, key: Column) -> DataFrame:
         )
 
     def over(i: Column, o: Column) -> Column:
-        balls_here = F.transform(counted((k + i + o) % 7), lambda b: ball(i, o, b))
+        first = k + i * 3 + o * 5 + 7
+        n_balls = (k + i + o) % 7
+        steps = F.when(n_balls > 0, F.sequence(first, first + (n_balls - 1) * 7, F.lit(7).cast("bigint")))
+        balls_here = F.transform(F.coalesce(steps, F.array().cast("array<bigint>")), ball)
         number = F.when((k + i + o) % 5 != 0, (o * 2).cast("bigint"))
         return F.struct(number.alias("over"), balls_here.alias("deliveries"))
 
@@ -331,17 +348,16 @@ def match_documents(df: DataFrame, key: Column) -> DataFrame:
         ).alias("officials"),
     )
     innings = F.when(k % 11 != 0, F.transform(counted(k % 4), side))
-    return df.select(
+    return keys.select(
         F.concat(F.lit("file:/matches/"), text(k), F.lit(".json")).alias("src_file_path"),
-        info.cast(MATCH_DOCUMENT["info"].dataType).alias("info"),
-        innings.cast(MATCH_DOCUMENT["innings"].dataType).alias("innings"),
+        info.alias("info"),
+        innings.alias("innings"),
     )
 
 
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    return match_documents(orders, F.col("o_orderkey"))
+    return match_documents(table(spark, folder, "orders").select("o_orderkey"))
 
 
 def supplier_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return match_documents(table(spark, folder, "supplier"), F.col("s_suppkey"))
+    return match_documents(table(spark, folder, "supplier").select("s_suppkey"))

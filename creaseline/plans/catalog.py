@@ -99,8 +99,7 @@ def scan_json_nested(spark, folder):
 @query
 def scan_file_subset(spark, folder):
     path = fresh_path(spark, "documents")
-    named = adapter.match_documents(table(spark, folder, "supplier"), F.col("s_suppkey"))
-    with_key = named.withColumn("doc", F.regexp_extract("src_file_path", r"(\d+)\.json$", 1))
+    with_key = adapter.supplier_documents(spark, folder).withColumn("doc", F.regexp_extract("src_file_path", r"(\d+)\.json$", 1))
     documents.write_document_files(with_key, path, "doc")
     return documents.read_documents(spark, path, "*.txt", first=50).select(
         F.col("info.venue").alias("venue"), F.col("info.season").alias("season")
@@ -242,9 +241,7 @@ BALL_COLUMNS = (
 @query
 def bronze_matches(spark, folder):
     rows = flatten.match_rows(adapter.order_documents(spark, folder))
-    return rows.drop("officials", "src_ingest_ts", "src_record_hash").withColumn(
-        "umpire", F.lit(None).cast("string")
-    ).drop("umpire")
+    return rows.drop("officials", "src_ingest_ts", "src_record_hash")
 
 
 @query
@@ -921,11 +918,11 @@ def dq_file_coverage(spark, folder):
 def manifest_new_files(spark, folder):
     """Two deliveries of files: only those of the second are new to the manifest."""
     suppliers = table(spark, folder, "supplier")
-    earlier = F.col("s_nationkey") < 10
+    first, second = (suppliers.where(c).select("s_suppkey") for c in ("s_nationkey < 10", "s_nationkey >= 10"))
     path = fresh_path(spark, "documents")
-    documents.write_document_files(adapter.match_documents(suppliers.where(earlier), F.col("s_suppkey")), path)
+    documents.write_document_files(adapter.match_documents(first), path)
     manifest = settled(documents.manifest_rows(documents.list_files(spark, path, "*.txt")))
-    documents.write_document_files(adapter.match_documents(suppliers.where(~earlier), F.col("s_suppkey")), path)
+    documents.write_document_files(adapter.match_documents(second), path)
     files = documents.list_files(spark, path, "*.txt")
     new = documents.new_files(files, manifest)
     return new.agg(F.count(F.lit(1)).alias("files")).select(F.lit("new").alias("state"), "files").union(
@@ -936,9 +933,9 @@ def manifest_new_files(spark, folder):
 def parsed_events(spark: SparkSession, folder: str) -> DataFrame:
     """Event properties parsed leniently; every seventh text is cut short."""
     props = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
-    schema = f"k int, {documents.CORRUPT} string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": documents.CORRUPT}
-    parsed = table(spark, folder, "events").select("event_id", F.from_json(props, schema, options).alias("p"))
+    parsed = table(spark, folder, "events").select(
+        "event_id", documents.lenient_json(props, schemas.fields(k=schemas.INT)).alias("p")
+    )
     return parsed.select("event_id", "p.*")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from creaseline.functions.keys import base_name
@@ -46,13 +46,20 @@ def read_documents(
     wanted = [row.path for row in files.orderBy("path").limit(first or 1).collect()]
     if not wanted:
         raise FileNotFoundError(f"no {pattern} in {folder}")
-    if keep_malformed:
-        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
-    if first is None:
-        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-        return with_source_path(reader.json(folder))
-    return with_source_path(reader.json(wanted))
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    source = folder if first is None else wanted
+    if not keep_malformed:
+        return with_source_path(reader.schema(schema).option("multiLine", True).json(source))
+    bodies = with_source_path(reader.text(source, wholetext=True))
+    return bodies.select(lenient_json(F.col("value"), schema).alias("parsed"), "src_file_path").select(
+        "parsed.*", "src_file_path"
+    )
+
+
+def lenient_json(body: Column, schema: StructType) -> Column:
+    """JSON text as a struct whose last field holds the text when it is malformed."""
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return F.from_json(body, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
 def read_register(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
