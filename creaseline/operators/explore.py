@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -116,23 +117,19 @@ def chase_rate(matches: DataFrame) -> DataFrame:
 def headline_figures(matches: DataFrame, batting: DataFrame, bowling: DataFrame) -> DataFrame:
     """Matches, seasons, teams, runs and wickets as one row each."""
 
-    def figure(df: DataFrame, name: str, value: Column) -> DataFrame:
-        return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).select(
-            F.lit(name).alias("metric"), "value"
-        )
+    def figures(df: DataFrame, **values: Column) -> DataFrame:
+        counted = df.agg(*(F.coalesce(v, F.lit(0)).cast("bigint").alias(name) for name, v in values.items()))
+        lines = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in values]
+        return counted.select(F.inline(F.array(*lines)))
 
     teams = matches.select(F.explode(F.array("team1", "team2")).alias("team"))
     parts = [
-        figure(matches, "Matches", F.count(F.lit(1))),
-        figure(matches, "Seasons", F.count_distinct("season")),
-        figure(teams, "Teams", F.count_distinct("team")),
-        figure(batting, "Runs", F.sum("runs")),
-        figure(bowling, "Wickets", F.sum("wkts")),
+        figures(matches, Matches=F.count(F.lit(1)), Seasons=F.count_distinct("season")),
+        figures(teams, Teams=F.count_distinct("team")),
+        figures(batting, Runs=F.sum("runs")),
+        figures(bowling, Wickets=F.sum("wkts")),
     ]
-    figures = parts[0]
-    for part in parts[1:]:
-        figures = figures.unionByName(part)
-    return figures
+    return reduce(DataFrame.unionByName, parts)
 
 
 def value_counts(df: DataFrame, column: str, name: str = "matches") -> DataFrame:
@@ -197,18 +194,29 @@ def player_comparison(batting: DataFrame, bowling: DataFrame, players: Sequence[
     return bat.join(bowl, "player_name", "full").na.fill(0)
 
 
+def option_lists(sources: Sequence[tuple[DataFrame, Mapping[str, Sequence[str]]]]) -> DataFrame:
+    """Distinct values per named list, each list over columns of one or more tables.
+
+    Every table is read once, whatever number of lists it feeds.
+    """
+    found = []
+    for df, lists in sources:
+        entries = [
+            F.struct(F.lit(name).alias("list"), F.col(c).cast("string").alias("option"))
+            for name, columns in lists.items()
+            for c in columns
+            if c in df.columns
+        ]
+        if entries:
+            found.append(df.select(F.inline(F.array(*entries))).where("option is not null").distinct())
+    if not found:
+        raise ValueError("no table has any of the option columns")
+    return reduce(DataFrame.union, found).distinct().orderBy("list", "option")
+
+
 def distinct_options(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Sorted distinct values over columns of several tables."""
-    found = None
-    for df, columns in sources:
-        present = [F.col(c).cast("string") for c in columns if c in df.columns]
-        if not present:
-            continue
-        values = df.select(F.explode(F.array(*present)).alias("option")).where("option is not null").distinct()
-        found = values if found is None else found.union(values)
-    if found is None:
-        raise ValueError("no table has any of the option columns")
-    return found.distinct().orderBy("option")
+    return option_lists([(df, {"": columns}) for df, columns in sources]).select("option")
 
 
 def scatter_points(df: DataFrame, x: str, y: str, size: str | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from creaseline.functions.metrics import (
     ratio,
     tally,
 )
-from creaseline.operators.rollups import appearances, innings_played, innings_side_by_side, is_maiden, over_totals
+from creaseline.operators.rollups import appearances, innings_played, innings_scores, is_maiden, over_totals
 
 
 def with_name(df: DataFrame, dim: DataFrame | None, key: str, dim_key: str, dim_name: str, name: str) -> DataFrame:
@@ -126,7 +126,7 @@ def team_phase_season(balls: DataFrame, dim_team: DataFrame | None = None) -> Da
 
 def match_summary(matches: DataFrame, balls: DataFrame) -> DataFrame:
     """Match row with the totals of both innings and whether the chase succeeded."""
-    scores = innings_side_by_side(balls, ("runs", "wkts", "balls"))
+    scores = innings_scores(balls)
     kept = (
         "match_id season team1 team1_id team2 team2_id winner winner_id result_std match_start_dt venue city "
         "first_batting_team first_batting_team_id second_batting_team second_batting_team_id"

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creaseline.functions import keys as key_fn, metrics, parsing, text as text_fn
@@ -91,6 +89,15 @@ def all_team_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_json_nested(spark, folder):
+    """Documents as JSON lines, the form for many documents per file."""
+    path = fresh_path(spark, "documents")
+    adapter.order_documents(spark, folder).select("info", "innings").write.json(path)
+    return flatten.ball_rows(documents.read_documents(spark, path, multiline=False)).select(*BALL_COLUMNS)
+
+
+@query
+def scan_json_multiline(spark, folder):
+    """One indented document per file."""
     path = fresh_path(spark, "documents")
     documents.write_document_files(adapter.supplier_documents(spark, folder), path)
     return flatten.ball_rows(documents.read_documents(spark, path, "*.txt")).select(*BALL_COLUMNS)
@@ -767,22 +774,23 @@ def top_n(spark, folder):
 @query
 def option_lists(spark, folder):
     """The choices of every selector: seasons, teams, players, venues and results."""
-    matches = silver_match_table(spark, folder)
-    batting, bowling = batter_table(spark, folder), bowler_table(spark, folder)
-    lists = {
-        "season": [(matches, ["season"]), (batting, ["season"]), (bowling, ["season"])],
-        "team": [
-            (matches, ["team1", "team2", "winner", "first_batting_team", "second_batting_team"]),
-            (adapter.teams(spark, folder), ["name_canonical"]),
-        ],
-        "player": [(batting, ["player_name"]), (bowling, ["player_name"])],
-        "venue": [(matches, ["venue"])],
-        "result": [(matches, ["result_std"])],
-    }
-    parts = [
-        explore.distinct_options(sources).select(F.lit(kind).alias("list"), "option") for kind, sources in lists.items()
-    ]
-    return reduce(DataFrame.union, parts)
+    named_teams = adapter.teams(spark, folder)
+    return explore.option_lists(
+        [
+            (
+                silver_match_table(spark, folder),
+                {
+                    "season": ["season"],
+                    "team": ["team1", "team2", "winner", "first_batting_team", "second_batting_team"],
+                    "venue": ["venue"],
+                    "result": ["result_std"],
+                },
+            ),
+            (named_teams, {"team": ["name_canonical"]}),
+            (batter_table(spark, folder), {"season": ["season"], "player": ["player_name"]}),
+            (bowler_table(spark, folder), {"season": ["season"], "player": ["player_name"]}),
+        ]
+    )
 
 
 # -------------------------------------------------------- data quality

@@ -171,7 +171,8 @@ def flat(array: str) -> str:
 
 # ------------------------------------------------- scans, sources, sinks
 
-ORACLES["scan_json_nested"] = with_views(SUPPLIER_DOCUMENTS) + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
+ORACLES["scan_json_nested"] = ORDER_DOCS + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
+ORACLES["scan_json_multiline"] = with_views(SUPPLIER_DOCUMENTS) + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
 ORACLES["scan_file_subset"] = """
 SELECT 'Ground ' || k AS venue,
   CASE WHEN k % 5 = 0 THEN (2007 + k % 15) || '/' || lpad(CAST((2008 + k % 15) % 100 AS VARCHAR), 2, '0')

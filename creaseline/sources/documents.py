@@ -35,9 +35,11 @@ def read_documents(
     first: int | None = None,
     schema: StructType = MATCH_DOCUMENT,
     keep_malformed: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
-    """One row per document file, tagged with its path.
+    """One row per document, tagged with the path of its file.
 
+    A file holds one document over many lines, or one per line without ``multiline``.
     ``first`` reads only that many files in path order: the paths are ranked by
     Spark and no other file is opened. An empty folder is an error.
     ``keep_malformed`` keeps unreadable documents in a column of their own.
@@ -49,8 +51,8 @@ def read_documents(
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     source = folder if first is None else wanted
     if not keep_malformed:
-        return with_source_path(reader.schema(schema).option("multiLine", True).json(source))
-    bodies = with_source_path(reader.text(source, wholetext=True))
+        return with_source_path(reader.schema(schema).option("multiLine", multiline).json(source))
+    bodies = with_source_path(reader.text(source, wholetext=multiline))
     return bodies.select(lenient_json(F.col("value"), schema).alias("parsed"), "src_file_path").select(
         "parsed.*", "src_file_path"
     )
