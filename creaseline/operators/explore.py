@@ -35,7 +35,7 @@ def chosen(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
 def chosen_matches(matches: DataFrame, picked: Selection) -> DataFrame:
     """Matches of the seasons in which a chosen team played or won."""
     matches = chosen(matches, "season", picked.seasons)
-    sides = [F.col(c) for c in ("team1", "team2", "winner") if c in matches.columns]
+    sides = [F.col(c).cast("string") for c in ("team1", "team2", "winner") if c in matches.columns]
     if not picked.teams or not sides:
         return matches
     return matches.where(any_of([side.isin(*picked.teams) for side in sides]))
