@@ -76,12 +76,14 @@ def innings_table(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.innings_rollup(adapter.balls(spark, folder))
 
 
-def team_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    return register.dim_team(all_team_names(spark, folder), adapter.NATION_OVERRIDES)
+def team_dimension(spark: SparkSession, folder: str, matches: DataFrame | None = None) -> DataFrame:
+    return register.dim_team(all_team_names(spark, folder, matches), adapter.NATION_OVERRIDES)
 
 
-def all_team_names(spark: SparkSession, folder: str) -> DataFrame:
-    return register.team_names(silver_match_table(spark, folder), adapter.noisy_balls(spark, folder))
+def all_team_names(spark: SparkSession, folder: str, matches: DataFrame | None = None) -> DataFrame:
+    if matches is None:
+        matches = silver_match_table(spark, folder)
+    return register.team_names(matches, adapter.noisy_balls(spark, folder))
 
 
 # ------------------------------------------------- scans, sources, sinks
@@ -605,8 +607,8 @@ def resolve_teams_deliveries(spark, folder):
 
 @query
 def resolve_teams_matches(spark, folder):
-    keys = register.team_alias_keys(team_dimension(spark, folder)).withColumnRenamed("team_id", "id")
-    rows = silver_match_table(spark, folder).select("match_id", *register.MATCH_TEAM_COLUMNS)
+    rows = settled(silver_match_table(spark, folder).select("match_id", *register.MATCH_TEAM_COLUMNS))
+    keys = register.team_alias_keys(team_dimension(spark, folder, rows)).withColumnRenamed("team_id", "id")
     return register.resolve_roles(rows, keys, register.MATCH_TEAM_ROLES, text_fn.plain_name_key, settled)
 
 

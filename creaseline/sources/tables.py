@@ -68,6 +68,7 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
     The new rows go to a sibling folder. Only when they are complete does that
     folder take the table's place; if the swap fails the old table is put back.
+    Frames built on the old files, ``df`` included, must be read anew afterwards.
     """
     spark = df.sparkSession
     mark = uuid.uuid4().hex
