@@ -7,18 +7,24 @@ line to order to customer. ``plans.adapter_sql`` states the same view in SQL.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from creaseline.functions.keys import ball_key
 from creaseline.operators.flatten import opponent
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+@lru_cache(maxsize=256)
+def table_schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a table's files, looked up once per session."""
+    return spark.read.parquet(path).schema
 
 
-def percent(col: str) -> Column:
-    return F.rint(F.col(col) * 100).cast("int")
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(table_schema(spark, path)).parquet(path)
 
 
 def text(col: Column) -> Column:
@@ -44,41 +50,37 @@ def padded(number: Column) -> Column:
 def line_balls(spark: SparkSession, folder: str) -> DataFrame:
     """What a line alone says about its ball: no join, no season, no teams."""
     lines = table(spark, folder, "lineitem")
-    extra = percent("l_tax")
-    line, part, maker = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    fell = F.col("l_returnflag") == "R"
-    striker = F.concat(F.lit("P"), text(part % 200))
-    partner = F.concat(F.lit("P"), text((part + 1) % 200))
-    maker_name = F.concat(F.lit("Supplier#"), padded(maker))
-    quantity = F.col("l_quantity").cast("int")
-    parts = lines.select(
+    maker = "lpad(string(l_suppkey), 9, '0')"
+    extra = "int(rint(l_tax * 100))"
+    parts = lines.selectExpr(
         "l_orderkey",
-        text(F.col("l_orderkey")).alias("match_id"),
-        F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("inning_no"),
-        (1 + (quantity - 1) % 20).alias("over_no"),
-        line.alias("ball_in_over"),
-        striker.alias("striker"),
-        partner.alias("non_striker"),
-        pick(
-            line % 5,
-            maker_name,
-            F.concat(F.upper(maker_name), F.lit(",")),
-            F.concat(F.lit("  "), maker_name, F.lit(" ")),
-            F.concat(F.lit("The  "), maker_name),
-            F.concat(F.lit("Sùpplier#"), padded(maker)),
-        ).alias("bowler"),
-        text(part % 200).alias("striker_id"),
-        text((part + 1) % 200).alias("non_striker_id"),
-        text(maker).alias("bowler_id"),
-        (percent("l_discount") % 7).alias("runs_batter"),
-        (extra >= 5).cast("int").alias("runs_extras"),
-        *(
-            (extra == at).cast("int").alias(f"extra_{kind}")
-            for kind, at in (("legbyes", 5), ("byes", 6), ("noballs", 7), ("wides", 8))
-        ),
-        fell.alias("wicket_fell"),
-        F.when(fell, pick(line % 4, "bowled", "caught", "run out", "lbw")).alias("wicket_kind"),
-        F.when(fell, F.when(line % 2 == 0, striker).otherwise(partner)).alias("wicket_player_out"),
+        "string(l_orderkey) AS match_id",
+        "if(l_linestatus = 'F', 1, 2) AS inning_no",
+        "1 + (int(l_quantity) - 1) % 20 AS over_no",
+        "l_linenumber AS ball_in_over",
+        "concat('P', l_partkey % 200) AS striker",
+        "concat('P', (l_partkey + 1) % 200) AS non_striker",
+        f"""CASE l_linenumber % 5
+            WHEN 0 THEN concat('Supplier#', {maker})
+            WHEN 1 THEN concat('SUPPLIER#', {maker}, ',')
+            WHEN 2 THEN concat('  Supplier#', {maker}, ' ')
+            WHEN 3 THEN concat('The  Supplier#', {maker})
+            WHEN 4 THEN concat('Sùpplier#', {maker}) END AS bowler""",
+        "string(l_partkey % 200) AS striker_id",
+        "string((l_partkey + 1) % 200) AS non_striker_id",
+        "string(l_suppkey) AS bowler_id",
+        "int(rint(l_discount * 100)) % 7 AS runs_batter",
+        f"int({extra} >= 5) AS runs_extras",
+        f"int({extra} = 5) AS extra_legbyes",
+        f"int({extra} = 6) AS extra_byes",
+        f"int({extra} = 7) AS extra_noballs",
+        f"int({extra} = 8) AS extra_wides",
+        "l_returnflag = 'R' AS wicket_fell",
+        """CASE WHEN l_returnflag = 'R' THEN
+            CASE l_linenumber % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out' ELSE 'lbw' END
+            END AS wicket_kind""",
+        """CASE WHEN l_returnflag = 'R' THEN concat('P', (l_partkey + l_linenumber % 2) % 200) END
+            AS wicket_player_out""",
     )
     place = (F.col(c) for c in ("match_id", "inning_no", "over_no", "ball_in_over"))
     return parts.withColumns(
@@ -89,17 +91,15 @@ def line_balls(spark: SparkSession, folder: str) -> DataFrame:
 def match_sides(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with season and both teams."""
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
-    home = F.col("c_nationkey")
-    away = (home + 1 + F.col("o_orderkey") % 24) % 25
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
         "o_orderkey",
-        text(F.year("o_orderdate")).alias("season"),
-        F.concat(F.lit("NATION_"), text(home)).alias("team1"),
-        F.concat(F.lit("NATION_"), text(away)).alias("team2"),
+        "string(year(o_orderdate)) AS season",
+        "concat('NATION_', c_nationkey) AS team1",
+        "concat('NATION_', (c_nationkey + 1 + o_orderkey % 24) % 25) AS team2",
         "o_orderstatus",
         "o_orderdate",
-        F.col("o_orderpriority").alias("venue"),
-        F.col("c_mktsegment").alias("city"),
+        "o_orderpriority AS venue",
+        "c_mktsegment AS city",
     )
 
 
@@ -165,34 +165,33 @@ def flawed_balls(spark: SparkSession, folder: str) -> DataFrame:
 
 def bronze_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Match rows before standardisation: raw dates, toss and result."""
-    key = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    winner = F.when(status == "F", F.col("team1")).when(status == "O", F.col("team2"))
-    raw_date = pick(
-        key % 3, *(F.date_format("o_orderdate", pattern) for pattern in ("yyyy-MM-dd", "yyyy/MM/dd", "dd-MMM-yyyy"))
+    sides = match_sides(spark, folder).withColumn(
+        "toss_winner", noisy(F.expr("if(o_orderkey % 2 = 0, team1, team2)"), F.col("o_orderkey"))
     )
-    number = F.lit(None).cast("string")
-    return match_sides(spark, folder).select(
-        text(key).alias("match_id"),
+    return sides.selectExpr(
+        "string(o_orderkey) AS match_id",
         "season",
-        F.lit("T20").alias("match_type"),
-        pick(key % 2, "male", "female").alias("gender"),
+        "'T20' AS match_type",
+        "if(o_orderkey % 2 = 0, 'male', 'female') AS gender",
         "venue",
         "city",
-        raw_date.alias("match_start_date"),
-        F.when(key % 5 == 0, F.lit("not a date")).alias("match_end_date"),
+        """CASE o_orderkey % 3
+            WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+            WHEN 1 THEN date_format(o_orderdate, 'yyyy/MM/dd')
+            ELSE date_format(o_orderdate, 'dd-MMM-yyyy') END AS match_start_date""",
+        "if(o_orderkey % 5 = 0, 'not a date', NULL) AS match_end_date",
         "team1",
         "team2",
-        noisy(pick(key % 2, F.col("team1"), F.col("team2")), key).alias("toss_winner"),
-        pick(key % 4, " Bat ", "bowl", "FIELD", "unknown").alias("toss_decision"),
-        winner.alias("winner"),
-        F.when(status == "F", "runs").when(status == "O", "wickets").alias("result"),
-        F.when(status != "P", (1 + key % 90).cast("int")).alias("result_margin"),
-        F.concat(F.lit("P"), text(key % 200)).alias("player_of_match"),
-        number.alias("src_file_path"),
-        number.alias("src_file_name"),
-        F.lit(None).cast("timestamp").alias("src_ingest_ts"),
-        number.alias("src_record_hash"),
+        "toss_winner",
+        "CASE o_orderkey % 4 WHEN 0 THEN ' Bat ' WHEN 1 THEN 'bowl' WHEN 2 THEN 'FIELD' ELSE 'unknown' END AS toss_decision",
+        "CASE o_orderstatus WHEN 'F' THEN team1 WHEN 'O' THEN team2 END AS winner",
+        "CASE o_orderstatus WHEN 'F' THEN 'runs' WHEN 'O' THEN 'wickets' END AS result",
+        "if(o_orderstatus <> 'P', int(1 + o_orderkey % 90), NULL) AS result_margin",
+        "concat('P', o_orderkey % 200) AS player_of_match",
+        "string(NULL) AS src_file_path",
+        "string(NULL) AS src_file_name",
+        "timestamp(NULL) AS src_ingest_ts",
+        "string(NULL) AS src_record_hash",
     )
 
 
