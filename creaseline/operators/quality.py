@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from creaseline.functions.metrics import ratio
-from creaseline.functions.parsing import any_of, to_number
+from creaseline.functions.parsing import to_number
 from creaseline.operators.conform import in_innings
 
 # Accepted ranges and allowed values of the bronze tables.

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from creaseline.operators import conform, flatten, quality, register, rollups, season_tables
 from creaseline.functions.text import plain_name_key
