@@ -78,18 +78,18 @@ SHINGLES = r"""
     SELECT id, list_distinct(CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' '))
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
     END) AS s
     FROM (SELECT id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM {source})
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM {source})
 """
 
 OP3 = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
 ), u AS (
     SELECT vec_id, label, e FROM v
-    WHERE label IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+    WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), l AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
     WHERE list_cosine_similarity(a.e, b.e) >= 0.98

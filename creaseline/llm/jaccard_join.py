@@ -33,6 +33,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -140,9 +141,7 @@ def count_range(frames: Iterator, range_bits: int):
 
 def counted(lists: DataFrame, range_bits: int) -> DataFrame:
     """hash_range, bits, and the frequent values with their counts, one row per range."""
-    import pandas as pd
-
-    def one(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         bits, values, counts = count_range(frame["tokens"], range_bits)
         return pd.DataFrame(
             {"hash_range": [key[0]], "bits": [bits], "often": [values.astype(np.int64)], "times": [counts.astype(np.int64)]}
