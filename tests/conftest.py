@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+sys.path[:0] = [str(Path(__file__).parent / "llm"), str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
 
 @pytest.fixture(scope="session")
