@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Dismissals credited to the bowler.
-CREDITED_DISMISSALS = (
-    "bowled",
-    "caught",
-    "caught and bowled",
-    "hit the ball twice",
-    "hit wicket",
-    "lbw",
-    "stumped",
-)
+CREDITED_DISMISSALS = ("bowled", "caught", "lbw", "stumped", "hit wicket", "caught and bowled", "hit the ball twice")
 BALLS_PER_OVER = 6.0
 FULL_INNINGS_BALLS = 120
 

@@ -42,10 +42,12 @@ def silver_matches(
     toss_decisions: Mapping[str, str] = TOSS_DECISIONS,
     result_kinds: Mapping[str, str] = RESULT_KINDS,
     date_patterns: Sequence[str] = DATE_PATTERNS,
+    order: DataFrame | None = None,
 ) -> DataFrame:
     """Match rows with standard toss decision, result and dates.
 
-    The batting order comes from the balls where they are given and is null otherwise.
+    The batting order comes from the balls where they are given, or from ``order``, a table
+    with it per match, and is null otherwise. Further columns of ``order`` are kept.
     """
     standard = matches.withColumns(
         {
@@ -55,9 +57,12 @@ def silver_matches(
             "match_end_dt": first_date(F.col("match_end_date"), date_patterns),
         }
     )
-    if balls is None:
+    if balls is not None:
+        order = batting_order(balls)
+    if order is None:
         unknown = F.lit(None).cast("string")
         standard = standard.withColumns({"first_batting_team": unknown, "second_batting_team": unknown})
     else:
-        standard = standard.join(batting_order(balls), "match_id", "left")
-    return standard.select(*SILVER_MATCHES.fieldNames())
+        standard = standard.join(order, "match_id", "left")
+    layout = SILVER_MATCHES.fieldNames()
+    return standard.select(*layout, *(c for c in (order.columns if order is not None else ()) if c not in layout))

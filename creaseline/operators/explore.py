@@ -1,13 +1,13 @@
 """Filters, rankings and summaries behind the exploration pages.
 
-Selections are plain sequences of text; an empty selection, or a column the table
-does not have, leaves the table as it is. Null never matches a selected value.
+A filter is a set of conditions. Each names columns and values, and holds where one of the
+columns, read as text, has one of the values; null never does. A condition without values,
+with the value ``All``, or on columns that a table lacks, demands nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,48 +16,28 @@ from creaseline.functions.parsing import any_of, to_number
 
 ALL = "All"
 
+# The columns that each kind of choice is compared with, by the table it is made on.
+MATCH_CHOICES = {"season": ["season"], "team": ["team1", "team2", "winner"], "venue": ["venue"], "result": ["result_std"]}
+PLAYER_CHOICES = {"season": ["season"], "player": ["player_name"]}
+PHASE_CHOICES = {"season": ["season"], "team": ["team_name"], "phase": ["phase"]}
 
-@dataclass(frozen=True)
-class Selection:
-    seasons: Sequence[str] = ()
-    teams: Sequence[str] = ()
-    players: Sequence[str] = ()
-    phases: Sequence[str] = ()
 
+def restricted(df: DataFrame, choices: Mapping[str, Sequence[str]], **picked: Sequence[str]) -> DataFrame:
+    """Rows that meet every condition: ``picked`` has the values, ``choices`` their columns.
 
-def chosen(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose value, as text, is among ``values``."""
-    if not values or column not in df.columns:
-        return df
-    return df.where(F.col(column).cast("string").isin(*values))
-
-
-def chosen_matches(matches: DataFrame, picked: Selection) -> DataFrame:
-    """Matches of the seasons in which a chosen team played or won."""
-    matches = chosen(matches, "season", picked.seasons)
-    sides = [F.col(c).cast("string") for c in ("team1", "team2", "winner") if c in matches.columns]
-    if not picked.teams or not sides:
-        return matches
-    return matches.where(any_of([side.isin(*picked.teams) for side in sides]))
-
-
-def chosen_players(record: DataFrame, picked: Selection) -> DataFrame:
-    """Batting or bowling rows of the seasons and players; teams play no part."""
-    return chosen(chosen(record, "season", picked.seasons), "player_name", picked.players)
-
-
-def chosen_phases(record: DataFrame, picked: Selection) -> DataFrame:
-    for column, values in (("season", picked.seasons), ("team_name", picked.teams), ("phase", picked.phases)):
-        record = chosen(record, column, values)
-    return record
-
-
-def equal_unless_all(df: DataFrame, column: str, value: str) -> DataFrame:
-    return df if value == ALL else df.where(F.col(column) == value)
+    A choice that the table does not offer is ignored.
+    """
+    conditions = []
+    for choice, values in picked.items():
+        columns = [F.col(c).cast("string") for c in choices.get(choice, ()) if c in df.columns]
+        if columns and values and ALL not in values:
+            conditions.append(any_of([c.isin(*values) for c in columns]))
+    return df.where(reduce(Column.__and__, conditions)) if conditions else df
 
 
-def at_least(df: DataFrame, column: str, threshold: float) -> DataFrame:
-    return df.where(F.col(column) >= threshold) if column in df.columns else df
+def reaching(df: DataFrame, **least: float) -> DataFrame:
+    """Rows whose columns reach the given values; columns the table lacks are ignored."""
+    return df.where(reduce(Column.__and__, (F.col(c) >= x for c, x in least.items() if c in df.columns), F.lit(True)))
 
 
 def ranked(column: str, ascending: bool = False) -> Column:
@@ -65,33 +45,25 @@ def ranked(column: str, ascending: bool = False) -> Column:
     return F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
 
 
-def top_n(
-    df: DataFrame, metric: str, n: int = 10, ascending: bool = False, tie_break: Sequence[str] = ()
-) -> DataFrame:
-    """The first ``n`` rows by a metric; no rows when the table lacks it."""
-    if metric not in df.columns:
-        return df.limit(0)
-    return df.orderBy(ranked(metric, ascending), *tie_break).limit(n)
-
-
 def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows in a stated order."""
     return df.orderBy(*order).limit(n)
 
 
+def top_n(df: DataFrame, metric: str, n: int = 10, ascending: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows by a metric; no rows when the table lacks it."""
+    return preview(df, n, ranked(metric, ascending), *tie_break) if metric in df.columns else df.limit(0)
+
+
 def named_table(tables: Mapping[str, Callable[[], DataFrame]], name: str) -> DataFrame | None:
     """A table by name, built only when asked for; None for an unknown name."""
     build = tables.get(name)
     return build() if build else None
 
 
-def match_explorer(
-    matches: DataFrame, picked: Selection, venue: str = ALL, result: str = ALL
-) -> DataFrame:
-    """Chosen matches of one venue and result, latest first."""
-    rows = equal_unless_all(chosen_matches(matches, picked), "venue", venue)
-    rows = equal_unless_all(rows, "result_std", result)
-    return rows.orderBy(ranked("match_start_dt"), "match_id")
+def match_explorer(matches: DataFrame, **picked: Sequence[str]) -> DataFrame:
+    """Matches that were chosen, latest first."""
+    return restricted(matches, MATCH_CHOICES, **picked).orderBy(ranked("match_start_dt"), "match_id")
 
 
 def season_total(record: DataFrame, measure: str) -> DataFrame:
@@ -115,19 +87,35 @@ def chase_rate(matches: DataFrame) -> DataFrame:
 
 
 def headline_figures(matches: DataFrame, batting: DataFrame, bowling: DataFrame) -> DataFrame:
-    """Matches, seasons, teams, runs and wickets as one row each."""
+    """Matches, seasons, teams, runs and wickets as one row each.
+
+    The matches are read once: they are counted per season and pair of teams first.
+    """
+    per_pair = matches.groupBy("season", "team1", "team2").agg(F.count(F.lit(1)).alias("n"))
+    entries = F.inline(
+        F.array(
+            F.struct(F.lit("Matches").alias("metric"), F.lit(None).cast("string").alias("name"), F.col("n").alias("n")),
+            *(
+                F.struct(F.lit(metric).alias("metric"), F.col(c).cast("string").alias("name"), F.lit(1).cast("bigint").alias("n"))
+                for metric, c in (("Seasons", "season"), ("Teams", "team1"), ("Teams", "team2"))
+            ),
+        )
+    )
+    names = per_pair.select(entries).where("metric = 'Matches' OR name IS NOT NULL").groupBy("metric", "name").agg(F.sum("n").alias("n"))
+    held = names.agg(
+        F.sum(F.when(F.col("metric") == "Matches", F.col("n"))).alias("Matches"),
+        F.count_if(F.col("metric") == "Seasons").alias("Seasons"),
+        F.count_if(F.col("metric") == "Teams").alias("Teams"),
+    )
 
-    def figures(df: DataFrame, **values: Column) -> DataFrame:
-        counted = df.agg(*(F.coalesce(v, F.lit(0)).cast("bigint").alias(name) for name, v in values.items()))
-        lines = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in values]
-        return counted.select(F.inline(F.array(*lines)))
+    def lines(df: DataFrame, *metrics: str) -> DataFrame:
+        pairs = (F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias("value")) for m in metrics)
+        return df.select(F.inline(F.array(*pairs)))
 
-    teams = matches.select(F.explode(F.array("team1", "team2")).alias("team"))
     parts = [
-        figures(matches, Matches=F.count(F.lit(1)), Seasons=F.count_distinct("season")),
-        figures(teams, Teams=F.count_distinct("team")),
-        figures(batting, Runs=F.sum("runs")),
-        figures(bowling, Wickets=F.sum("wkts")),
+        lines(held, "Matches", "Seasons", "Teams"),
+        lines(batting.agg(F.sum("runs").alias("Runs")), "Runs"),
+        lines(bowling.agg(F.sum("wkts").alias("Wickets")), "Wickets"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

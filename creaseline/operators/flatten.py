@@ -70,9 +70,9 @@ def match_rows(documents: DataFrame, path_col: str = "src_file_path") -> DataFra
     }
     flat = documents.select(info, *(value.alias(name) for name, value in columns.items()))
     return with_lineage(flat, F.col("info")).select(
-        *("match_id season match_type gender venue city match_start_date match_end_date team1 team2").split(),
-        *("toss_winner toss_decision winner result result_margin player_of_match officials").split(),
-        *("src_file_path src_file_name src_ingest_ts src_record_hash").split(),
+        "match_id", "season", "match_type", "gender", "venue", "city", "match_start_date", "match_end_date", "team1", "team2",
+        "toss_winner", "toss_decision", "winner", "result", "result_margin", "player_of_match", "officials",
+        "src_file_path", "src_file_name", "src_ingest_ts", "src_record_hash",
     )
 
 

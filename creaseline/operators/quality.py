@@ -161,21 +161,18 @@ def duplicate_examples(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFr
     return per_key.where("count > 1").orderBy(F.desc("count"), *keys).limit(n)
 
 
-def schema_report(spark: SparkSession, df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
-    """Expected against actual column types, with the values present in each column."""
+def schema_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """Expected against actual column types, from the schema alone: no data is read."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    present = [c for c in expected if c in actual]
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), *(F.count(c).alias(f"n_{c}") for c in present))
-    lines = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(wanted).alias("expected_type"),
-            F.lit(actual.get(c, "MISSING")).alias("actual_type"),
-            F.lit("PASS" if actual.get(c) == wanted else "FAIL").alias("status"),
-            (F.col(f"n_{c}") if c in actual else F.lit(None).cast("bigint")).alias("values_present"),
-        )
-        for c, wanted in expected.items()
-    ]
+    lines = [(c, wanted, actual.get(c, "MISSING"), "PASS" if actual.get(c) == wanted else "FAIL") for c, wanted in expected.items()]
+    return df.sparkSession.createDataFrame(lines, "column string, expected_type string, actual_type string, status string")
+
+
+def values_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Number of values in each column, in one pass; null for columns the table lacks."""
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *(F.count(c).alias(f"n_{c}") for c in columns if c in df.columns))
+    unknown = F.lit(None).cast("bigint")
+    lines = [F.struct(F.lit(c).alias("column"), (F.col(f"n_{c}") if c in df.columns else unknown).alias("values_present")) for c in columns]
     return counted.select(F.inline(F.array(*lines)))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creaseline.functions.keys import team_key
 from creaseline.functions.parsing import lookup
-from creaseline.functions.text import NameRules, name_key, plain_name_key, strip_marks
+from creaseline.functions.text import NameRules, name_key, strip_marks
+from creaseline.sources.schemas import DIM_PLAYER
 
 # Historic or variant team names and the name each is filed under.
 TEAM_OVERRIDES = {
@@ -16,7 +17,7 @@ TEAM_OVERRIDES = {
     "Kings XI Punjab": "Punjab Kings",
     "Rising Pune Supergiants": "Rising Pune Supergiant",
 }
-# Which kind of name decides when one key leads to several people.
+# Which kind of name decides when one key leads to several people.
 KEY_ORDER = ("unique_name", "name", "alias")
 
 MATCH_TEAM_COLUMNS = ("team1", "team2", "toss_winner", "winner", "first_batting_team", "second_batting_team")
@@ -40,34 +41,25 @@ def dim_player(
 ) -> DataFrame:
     """One row per person with every name it goes by in comparison form.
 
-    Equal aliases are removed before they are gathered, so repeated copies of one
-    alias never meet in a single task.
+    The names are those of :func:`register_keys`, spread over a column per kind; repeated
+    copies of one alias are removed before they meet. Blank names are no names.
     """
-
-    def external(column: str | None) -> Column:
-        return F.col(column) if column else F.lit(None).cast("string")
-
-    known_as = (
-        aliases.select(F.col("identifier").alias("player_id"), name_key(F.col("name"), rules).alias("alias"))
-        .distinct()
-        .groupBy("player_id")
-        .agg(_name_set("alias").alias("aliases_norm"))
+    of_kind = {kind: F.when(F.col("kind") == kind, F.col("key")) for kind in KEY_ORDER}
+    names = register_keys(people, aliases, rules).distinct().groupBy(F.col("id").alias("player_id")).agg(
+        F.min(of_kind["name"]).alias("name_norm"),
+        F.min(of_kind["unique_name"]).alias("unique_name_norm"),
+        F.sort_array(F.collect_set(of_kind["alias"])).alias("aliases_norm"),
     )
-    persons = people.select(
-        F.col("identifier").alias("player_id"),
-        "name",
-        "unique_name",
-        external(id_cricinfo).alias("id_cricinfo"),
-        external(id_cricbuzz).alias("id_cricbuzz"),
-        name_key(F.col("name"), rules).alias("name_norm"),
-        name_key(F.col("unique_name"), rules).alias("unique_name_norm"),
+    unset = F.lit(None).cast("string")
+    ids = {"id_cricinfo": id_cricinfo, "id_cricbuzz": id_cricbuzz}
+    persons = people.withColumnRenamed("identifier", "player_id").withColumns(
+        {target: F.col(source) if source else unset for target, source in ids.items()}
     )
-    gathered = F.coalesce("aliases_norm", F.array().cast("array<string>"))
-    return persons.join(known_as, "player_id", "left").select(
-        *persons.columns,
-        gathered.alias("aliases_norm"),
-        F.array_union(F.array("name_norm", "unique_name_norm"), gathered).alias("all_keys_norm"),
+    known = persons.join(names, "player_id", "left").withColumn(
+        "aliases_norm", F.coalesce("aliases_norm", F.array().cast("array<string>"))
     )
+    every = F.array_union(F.array("name_norm", "unique_name_norm"), F.col("aliases_norm"))
+    return known.withColumn("all_keys_norm", every).select(*DIM_PLAYER.fieldNames())
 
 
 def player_alias_keys(dim: DataFrame) -> DataFrame:
@@ -103,9 +95,12 @@ def register_keys(people: DataFrame, aliases: DataFrame, rules: NameRules = Name
 
 
 def one_id_per_key(keys: DataFrame, order: Sequence[str] = KEY_ORDER) -> DataFrame:
-    """The id each key stands for: the earliest kind in ``order`` wins, then the smallest id."""
+    """The id each key stands for: the earliest kind in ``order`` wins, then the smallest id.
+
+    Kinds that are not in ``order`` do not count.
+    """
     ranks = lookup(F.col("kind"), {kind: f"{at:02d}" for at, kind in enumerate(order)})
-    return keys.groupBy("key").agg(F.min(F.struct(ranks.alias("rank"), "id"))["id"].alias("id"))
+    return keys.where(F.col("kind").isin(*order)).groupBy("key").agg(F.min(F.struct(ranks.alias("rank"), "id"))["id"].alias("id"))
 
 
 def resolve_roles(
@@ -140,26 +135,27 @@ def team_names(matches: DataFrame, balls: DataFrame) -> DataFrame:
     """Distinct team names over all team columns of both tables."""
 
     def names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        return df.select(F.explode(F.array(*columns)).alias("team")).where("team is not null").distinct()
+        combinations = df.select(*columns).distinct()
+        return combinations.select(F.explode(F.array(*columns)).alias("team")).where("team is not null").distinct()
 
     return names(matches, MATCH_TEAM_COLUMNS).union(names(balls, BALL_TEAM_COLUMNS)).distinct()
 
 
 def canonical_team(team: Column, overrides: Mapping[str, str]) -> Column:
     """The override for a variant spelling, else the name itself."""
-    return F.coalesce(lookup(plain_name_key(team), override_keys(overrides)), team)
+    return F.coalesce(lookup(name_key(team), override_keys(overrides)), team)
 
 
 def override_keys(overrides: Mapping[str, str]) -> dict[str, str]:
     """Override table keyed by comparison form: a literal table of the driver program."""
-    return {" ".join(strip_marks(v).lower().strip().rstrip(",").split()): name for v, name in overrides.items()}
+    return {" ".join(strip_marks(v).lower().split()).rstrip(",").rstrip(): name for v, name in overrides.items()}
 
 
 def dim_team(names: DataFrame, overrides: Mapping[str, str] = TEAM_OVERRIDES) -> DataFrame:
     """One row per team, grouped by the comparison form of its canonical name."""
     filed = names.select(
-        plain_name_key(F.col("team")).alias("alias"), canonical_team(F.col("team"), overrides).alias("filed_as")
-    ).withColumn("name_canonical_norm", plain_name_key(F.col("filed_as")))
+        name_key(F.col("team")).alias("alias"), canonical_team(F.col("team"), overrides).alias("filed_as")
+    ).withColumn("name_canonical_norm", name_key(F.col("filed_as")))
     return (
         filed.groupBy("name_canonical_norm", "alias")
         .agg(F.min("filed_as").alias("filed_as"))

@@ -21,7 +21,7 @@ from creaseline.functions.metrics import (
     ratio,
     tally,
 )
-from creaseline.operators.rollups import appearances, innings_played, innings_scores, is_maiden, over_totals
+from creaseline.operators.rollups import INNINGS_SCORES, appearances, innings_played, innings_scores, is_maiden, over_totals
 
 
 def with_name(df: DataFrame, dim: DataFrame | None, key: str, dim_key: str, dim_name: str, name: str) -> DataFrame:
@@ -44,8 +44,8 @@ def batter_season(balls: DataFrame, dim_player: DataFrame | None = None) -> Data
         .agg(*appearances(), *totals("runs", "balls_faced", "fours", "sixes", "outs"))
     )
     return with_name(record, dim_player, "striker_id", "player_id", "name", "player_name").select(
-        *"season striker_id player_name matches_played innings_batted".split(),
-        *"runs balls_faced fours sixes outs".split(),
+        "season", "striker_id", "player_name", "matches_played", "innings_batted",
+        "runs", "balls_faced", "fours", "sixes", "outs",
         ratio(F.col("runs"), F.col("outs")).alias("average"),
         batting_rate(F.col("runs"), F.col("balls_faced")).alias("strike_rate"),
     )
@@ -65,9 +65,9 @@ def bowler_season(balls: DataFrame, dim_player: DataFrame | None = None) -> Data
     )
     bowled, conceded, wkts = (F.col(c) for c in ("balls_bowled", "runs_conceded", "wkts"))
     return with_name(record, dim_player, "bowler_id", "player_id", "name", "player_name").select(
-        *"season bowler_id player_name balls_bowled".split(),
+        "season", "bowler_id", "player_name", "balls_bowled",
         overs(bowled).alias("overs_bowled"),
-        *"maidens runs_conceded wkts".split(),
+        "maidens", "runs_conceded", "wkts",
         economy_rate(conceded, bowled).alias("economy"),
         ratio(conceded, wkts).alias("average"),
         balls_per_wicket(bowled, wkts).alias("strike_rate"),
@@ -116,20 +116,25 @@ def team_phase_season(balls: DataFrame, dim_team: DataFrame | None = None) -> Da
         .na.fill(0, [*BATTING_TOTALS, *BOWLING_TOTALS])
     )
     return with_name(record, dim_team, "team_id", "team_id", "name_canonical", "team_name").select(
-        *"season team_id team_name phase runs_scored balls_faced overs_faced".split(),
+        "season", "team_id", "team_name", "phase", "runs_scored", "balls_faced", "overs_faced",
         economy_rate(F.col("runs_scored"), F.col("balls_faced")).alias("run_rate"),
-        *"fours sixes wickets_lost runs_conceded balls_bowled overs_bowled".split(),
+        "fours", "sixes", "wickets_lost", "runs_conceded", "balls_bowled", "overs_bowled",
         economy_rate(F.col("runs_conceded"), F.col("balls_bowled")).alias("economy"),
         "wkts_taken",
     )
 
 
-def match_summary(matches: DataFrame, balls: DataFrame) -> DataFrame:
-    """Match row with the totals of both innings and whether the chase succeeded."""
-    scores = innings_scores(balls)
+def match_summary(matches: DataFrame, balls: DataFrame | None = None) -> DataFrame:
+    """Match row with the totals of both innings and whether the chase succeeded.
+
+    The totals come from the balls, or are already in ``matches`` (from
+    :func:`rollups.order_and_scores`), where the balls are then not read again.
+    """
     kept = (
-        "match_id season team1 team1_id team2 team2_id winner winner_id result_std match_start_dt venue city "
-        "first_batting_team first_batting_team_id second_batting_team second_batting_team_id"
-    ).split()
+        "match_id", "season", "team1", "team1_id", "team2", "team2_id", "winner", "winner_id", "result_std", "match_start_dt",
+        "venue", "city", "first_batting_team", "first_batting_team_id", "second_batting_team", "second_batting_team_id",
+    )
     chased = F.coalesce(F.col("winner_id") == F.col("second_batting_team_id"), F.lit(False))
-    return matches.select(*kept).join(scores, "match_id", "left").withColumn("chase_success", chased)
+    if balls is not None:
+        matches = matches.select(*kept).join(innings_scores(balls), "match_id", "left")
+    return matches.select(*kept, *INNINGS_SCORES).withColumn("chase_success", chased)

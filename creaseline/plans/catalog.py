@@ -27,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 SEASONS = ("1996", "1998")
 TEAMS = ("NATION_3", "NATION_11")
 PLAYERS = tuple(f"Supplier#{n:09d}" for n in (3, 7, 12, 40))
-PICKED = explore.Selection(seasons=SEASONS, teams=TEAMS, players=PLAYERS, phases=("PP", "DEATH"))
+PHASES = ("PP", "DEATH")
 
 
 def query(fn: Query) -> Query:
@@ -67,9 +67,10 @@ def silver_match_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def summary_table(spark: SparkSession, folder: str) -> DataFrame:
     """Match summary; in this view a team's id is its name."""
-    matches = silver_match_table(spark, folder)
+    order = rollups.order_and_scores(adapter.balls(spark, folder))
+    matches = conform.silver_matches(adapter.bronze_matches(spark, folder), order=order)
     ids = {target: F.col(name) for name, target in register.MATCH_TEAM_ROLES.items()}
-    return season_tables.match_summary(matches.withColumns(ids), adapter.line_balls(spark, folder))
+    return season_tables.match_summary(matches.withColumns(ids))
 
 
 def innings_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,9 +160,9 @@ def sink_partitioned_roundtrip(spark, folder):
 def sink_staged_overwrite(spark, folder):
     path = fresh_path(spark, "matches")
     tables.write_table(adapter.match_sides(spark, folder).select("o_orderkey", "season", "team1"), path, partition_by=["season"])
-    stored = tables.read_table(spark, path, schema=schemas.fields(o_orderkey=schemas.BIG, **schemas.columns(schemas.TEXT, "team1 season")))
+    stored = tables.read_table(spark, path, schema=schemas.fields(o_orderkey=schemas.BIG, **schemas.columns(schemas.TEXT, "team1", "season")))
     tables.replace_table(stored.withColumn("team1_key", text_fn.plain_name_key(F.col("team1"))), path, partition_by=["season"])
-    layout = schemas.fields(o_orderkey=schemas.BIG, **schemas.columns(schemas.TEXT, "team1 team1_key season"))
+    layout = schemas.fields(o_orderkey=schemas.BIG, **schemas.columns(schemas.TEXT, "team1", "team1_key", "season"))
     return tables.read_table(spark, path, schema=layout)
 
 
@@ -241,9 +242,9 @@ def sample_by_keys(spark, folder):
 # ------------------------------------------- projection and flattening
 
 BALL_COLUMNS = (
-    *"match_id season inning_no over_no ball_in_over batting_team bowling_team striker non_striker bowler".split(),
-    *"runs_batter runs_extras runs_total extra_byes extra_legbyes extra_wides extra_noballs".split(),
-    *"wicket_fell wicket_player_out wicket_kind delivery_id".split(),
+    "match_id", "season", "inning_no", "over_no", "ball_in_over", "batting_team", "bowling_team", "striker", "non_striker", "bowler",
+    "runs_batter", "runs_extras", "runs_total", "extra_byes", "extra_legbyes", "extra_wides", "extra_noballs",
+    "wicket_fell", "wicket_player_out", "wicket_kind", "delivery_id",
 )
 
 
@@ -499,47 +500,46 @@ def scatter_points(spark, folder):
 @query
 def filter_multiselect(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    rows = explore.chosen(orders, "o_orderpriority", ("1-URGENT", "5-LOW"))
-    rows = explore.chosen(rows, "no_such_column", ("x",))
-    return explore.chosen(rows, "o_orderstatus", ())
+    choices = {"priority": ["o_orderpriority"], "lacking": ["no_such_column"], "status": ["o_orderstatus"]}
+    return explore.restricted(orders, choices, priority=("1-URGENT", "5-LOW"), lacking=("x",), status=())
 
 
 @query
 def filter_matches(spark, folder):
     matches = adapter.bronze_matches(spark, folder)
-    return explore.chosen_matches(matches, PICKED).select("match_id", "season", "team1", "team2", "winner")
+    return explore.restricted(matches, explore.MATCH_CHOICES, season=SEASONS, team=TEAMS).select("match_id", "season", "team1", "team2", "winner")
 
 
 @query
 def filter_players(spark, folder):
-    return explore.chosen_players(bowler_table(spark, folder), PICKED).select(
+    return explore.restricted(bowler_table(spark, folder), explore.PLAYER_CHOICES, season=SEASONS, player=PLAYERS).select(
         "season", "bowler_id", "player_name", "wkts", "runs_conceded"
     )
 
 
 @query
 def filter_batting(spark, folder):
-    return explore.chosen_players(batter_table(spark, folder), PICKED).select(
+    return explore.restricted(batter_table(spark, folder), explore.PLAYER_CHOICES, season=SEASONS, player=PLAYERS).select(
         "season", "striker_id", "player_name", "runs"
     )
 
 
 @query
 def filter_team_phase(spark, folder):
-    picked = explore.Selection(seasons=SEASONS, teams=("Team 3", "Team 11"), phases=PICKED.phases)
-    return explore.chosen_phases(phase_table(spark, folder), picked).select(
+    picked = {"season": SEASONS, "team": ("Team 3", "Team 11"), "phase": PHASES}
+    return explore.restricted(phase_table(spark, folder), explore.PHASE_CHOICES, **picked).select(
         "season", "team_name", "phase", "runs_scored", "wkts_taken"
     )
 
 
 @query
 def leaderboard_min(spark, folder):
-    return explore.at_least(bowler_table(spark, folder), "wkts", 5).select("season", "bowler_id", "wkts", "economy")
+    return explore.reaching(bowler_table(spark, folder), wkts=5).select("season", "bowler_id", "wkts", "economy")
 
 
 @query
 def match_explorer(spark, folder):
-    rows = explore.match_explorer(summary_table(spark, folder), explore.Selection(seasons=SEASONS), "1-URGENT", "runs")
+    rows = explore.match_explorer(summary_table(spark, folder), season=SEASONS, venue=("1-URGENT",), result=("runs",))
     return rows.select("match_id", "season", "venue", "result_std", "match_start_dt", "winner", "inning1_runs")
 
 
@@ -602,14 +602,14 @@ def resolve_players_fan_out(spark, folder):
 def resolve_teams_deliveries(spark, folder):
     keys = register.team_alias_keys(team_dimension(spark, folder)).withColumnRenamed("team_id", "id")
     rows = adapter.noisy_balls(spark, folder).select("delivery_id", "striker", "batting_team", "bowling_team")
-    return register.resolve_roles(rows, keys, register.BALL_TEAM_ROLES, text_fn.plain_name_key, settled)
+    return register.resolve_roles(rows, keys, register.BALL_TEAM_ROLES, settle=settled)
 
 
 @query
 def resolve_teams_matches(spark, folder):
     rows = settled(silver_match_table(spark, folder).select("match_id", *register.MATCH_TEAM_COLUMNS))
     keys = register.team_alias_keys(team_dimension(spark, folder, rows)).withColumnRenamed("team_id", "id")
-    return register.resolve_roles(rows, keys, register.MATCH_TEAM_ROLES, text_fn.plain_name_key, settled)
+    return register.resolve_roles(rows, keys, register.MATCH_TEAM_ROLES, settle=settled)
 
 
 @query
@@ -830,7 +830,8 @@ def dq_schema(spark, folder):
         "wicket_fell": "boolean",
         "extra_penalty": "int",
     }
-    return quality.schema_report(spark, adapter.line_balls(spark, folder), expected)
+    rows = adapter.line_balls(spark, folder)
+    return quality.schema_report(rows, expected).join(quality.values_present(rows, list(expected)), "column")
 
 
 @query

@@ -38,6 +38,7 @@ FLAWED = with_views(BALLS, FLAWED_BALLS)
 ORDER_DOCS = with_views(ORDER_DOCUMENTS)
 
 LEGAL = "(extra_wides = 0 AND extra_noballs = 0)"
+# Dismissals credited to the bowler, and the bounds of the phases.
 CREDITED = (
     "(wicket_fell AND lower(wicket_kind) IN "
     "('bowled', 'caught', 'lbw', 'stumped', 'hit wicket', 'caught and bowled', 'hit the ball twice'))"
@@ -133,13 +134,13 @@ OVERRIDE = "CASE {key} WHEN 'nation_3' THEN 'NATION_4' WHEN 'nation_7' THEN 'NAT
 
 
 def filed_as(team: str) -> str:
-    return OVERRIDE.format(key=plain_name_key(team), team=team)
+    return OVERRIDE.format(key=name_key(team), team=team)
 
 
 DIM_TEAM = f"""dim_team AS (
   SELECT 'team_' || substr(sha1(norm), 1, 12) AS team_id, name_canonical, norm AS name_canonical_norm, aliases
-  FROM (SELECT {plain_name_key("filed")} AS norm, min(filed) AS name_canonical, list(DISTINCT alias) AS aliases
-    FROM (SELECT {filed_as("team")} AS filed, {plain_name_key("team")} AS alias FROM team_names)
+  FROM (SELECT {name_key("filed")} AS norm, min(filed) AS name_canonical, list(DISTINCT alias) AS aliases
+    FROM (SELECT {filed_as("team")} AS filed, {name_key("team")} AS alias FROM team_names)
     GROUP BY norm)),
 team_keys AS (
   SELECT DISTINCT team_id, unnest(list_append(aliases, name_canonical_norm)) AS key FROM dim_team)"""
@@ -371,12 +372,12 @@ SELECT match_id, inning_no, over_no, ball_in_over, bowler, w.id AS bowler_id
 FROM line_balls b LEFT JOIN player_keys w ON w.key = {plain_name_key("bowler")}"""
 ORACLES["resolve_teams_deliveries"] = TEAMS_BASE + f"""
 SELECT delivery_id, striker, batting_team, bowling_team, t.team_id AS batting_team_id, w.team_id AS bowling_team_id
-FROM noisy_balls LEFT JOIN team_keys t ON t.key = {plain_name_key("batting_team")}
-  LEFT JOIN team_keys w ON w.key = {plain_name_key("bowling_team")}"""
+FROM noisy_balls LEFT JOIN team_keys t ON t.key = {name_key("batting_team")}
+  LEFT JOIN team_keys w ON w.key = {name_key("bowling_team")}"""
 _TEAM_ROLES = ("team1", "team2", "toss_winner", "winner", "first_batting_team", "second_batting_team")
 ORACLES["resolve_teams_matches"] = TEAMS_BASE + (
     f"SELECT match_id, {', '.join(_TEAM_ROLES)}, {', '.join(f'{r}_keys.team_id AS {r}_id' for r in _TEAM_ROLES)} FROM silver "
-    + " ".join(f"LEFT JOIN team_keys {r}_keys ON {r}_keys.key = {plain_name_key(r)}" for r in _TEAM_ROLES)
+    + " ".join(f"LEFT JOIN team_keys {r}_keys ON {r}_keys.key = {name_key(r)}" for r in _TEAM_ROLES)
 )
 ORACLES["resolve_player_of_match"] = with_views(MATCH_SIDES, MATCHES, REGISTER, KEYS) + f"""
 SELECT match_id, player_of_match, id AS player_of_match_id

@@ -41,17 +41,20 @@ def read_documents(
 
     A file holds one document over many lines, or one per line without ``multiline``.
     ``first`` reads only that many files in path order: the paths are ranked by
-    Spark and no other file is opened. An empty folder is an error.
-    ``keep_malformed`` keeps unreadable documents in a column of their own.
+    Spark, that many come to the driver, and no other file is opened. An empty
+    folder is an error. Unreadable documents are left out; ``keep_malformed``
+    keeps them, in a column of their own, for :func:`quality.quarantine_split`.
     """
-    files = list_files(spark, folder, pattern)
-    wanted = [row.path for row in files.orderBy("path").limit(first or 1).collect()]
+    if first is not None and first < 1:
+        raise ValueError("first must be at least 1")
+    files = list_files(spark, folder, pattern).select("path")
+    wanted = [row.path for row in (files.limit(1) if first is None else files.orderBy("path").limit(first)).collect()]
     if not wanted:
         raise FileNotFoundError(f"no {pattern} in {folder}")
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     source = folder if first is None else wanted
     if not keep_malformed:
-        return with_source_path(reader.schema(schema).option("multiLine", multiline).json(source))
+        return with_source_path(reader.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(source))
     bodies = with_source_path(reader.text(source, wholetext=multiline))
     return bodies.select(lenient_json(F.col("value"), schema).alias("parsed"), "src_file_path").select(
         "parsed.*", "src_file_path"

@@ -4,7 +4,6 @@ import json
 
 
 from creaseline.operators import conform, flatten, quality, register, rollups, season_tables
-from creaseline.functions.text import plain_name_key
 from creaseline.sources import documents, schemas, tables
 from test_documents import DOCUMENTS
 
@@ -38,12 +37,12 @@ def test_raw_to_gold(spark, tmp_path):
 
     for _ in range(2):  # a second run changes nothing
         resolved = register.resolve_roles(balls, ids, register.BALL_PLAYER_ROLES)
-        resolved = register.resolve_roles(resolved, team_ids, register.BALL_TEAM_ROLES, plain_name_key)
+        resolved = register.resolve_roles(resolved, team_ids, register.BALL_TEAM_ROLES)
         tables.replace_table(resolved, at("balls"), partition_by=["season"])
         balls = tables.read_table(spark, at("balls"), schema=resolved.schema)
     assert balls.count() == 6 and dict(balls.dtypes)["season"] == "string"
     matches = register.resolve_roles(matches, ids, register.AWARD_ROLE)
-    matches = register.resolve_roles(matches, team_ids, register.MATCH_TEAM_ROLES, plain_name_key)
+    matches = register.resolve_roles(matches, team_ids, register.MATCH_TEAM_ROLES)
 
     dim = register.dim_player(people, aliases)
     batters = {r.striker_id: r for r in season_tables.batter_season(balls, dim).collect()}

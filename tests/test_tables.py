@@ -128,15 +128,14 @@ def test_winner_mismatches(rows):
 
 def test_filters(rows):
     df = rows("season string, team1 string, team2 string, winner string", ("1", "A", "B", None), ("2", "C", "D", "A"), (None, "A", "C", "C"))
-    assert explore.chosen(df, "season", ()).count() == 3
-    assert explore.chosen(df, "nothing", ("1",)).count() == 3
-    assert explore.chosen(df, "season", ("1", "None")).count() == 1
-    assert explore.chosen(df.withColumn("season", F.col("season").cast("int")), "season", ("2",)).count() == 1
-    assert explore.chosen_matches(df, explore.Selection(teams=("A",))).count() == 3
-    assert explore.chosen_matches(df, explore.Selection(seasons=("2",), teams=("B",))).count() == 0
-    assert explore.chosen_matches(df.select("season"), explore.Selection(teams=("A",))).count() == 3
-    assert explore.equal_unless_all(df, "team1", explore.ALL).count() == 3
-    assert explore.at_least(df, "runs", 3).count() == 3
+    count = lambda table=df, **picked: explore.restricted(table, explore.MATCH_CHOICES, **picked).count()
+    assert count(season=()) == count(nothing=("1",)) == count(season=(explore.ALL,)) == 3
+    assert count(season=("1", "None")) == 1
+    assert count(df.withColumn("season", F.col("season").cast("int")), season=("2",)) == 1
+    assert count(team=("A",)) == 3
+    assert count(season=("2",), team=("B",)) == 0
+    assert count(df.select("season"), team=("A",)) == 3
+    assert explore.reaching(df, runs=3).count() == 3 and explore.reaching(df, season=2).count() == 1
 
 
 def test_top_n_and_values(rows):
