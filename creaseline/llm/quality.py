@@ -45,6 +45,9 @@ LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,'\"-")
 CAPITALS = bytes(range(65, 91))
 ORDINARY_WORDS = 1000
+ORDINARY_BYTES = 5.5
+ADDED_WORDS = 10
+ADDED_LINES = 3
 
 
 def traits_of(text: str | None) -> tuple[float, ...]:
@@ -60,8 +63,12 @@ def traits_of(text: str | None) -> tuple[float, ...]:
     lines = [line for line in raw.split(b"\n") if line]
     # The vocabulary of long texts repeats itself: it is compared with what stretches of equal length hold.
     stretches = [words[at : at + ORDINARY_WORDS] for at in range(0, len(words), ORDINARY_WORDS)]
-    variety = sum(len(set(s)) for s in stretches) / len(words)
-    return symbols / filled, capitals / filled, echoes / len(words), len(set(lines)) / len(lines), filled / len(words), variety
+    variety = sum(len(set(s)) for s in stretches)
+    # A few ordinary words and lines more keep short texts from looking odd.
+    n = len(words) + ADDED_WORDS
+    line_share = (len(set(lines)) + ADDED_LINES) / (len(lines) + ADDED_LINES)
+    word_bytes = (filled + ADDED_WORDS * ORDINARY_BYTES) / n
+    return symbols / filled, capitals / filled, echoes / n, line_share, word_bytes, (variety + ADDED_WORDS) / n
 
 
 TRAITS_SCHEMA = ", ".join(f"{name} double" for name in BINS)

@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from creaseline.llm.words import WordHashes, mixed_bits, word_hashes
 from creaseline.sources.workspace import settled
 
-SAMPLE_ROWS = 12_000
-SHARDS = 8
-ROUNDS = 6
+SAMPLE_ROWS = 16_000
+SHARDS = 4
+ROUNDS = 12
 HASH_BITS = 28
 LEAST_DOCS = 4  # of the sample, that have a feature
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.6, 0.5
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
 CUTOFF = 0.3
 FILTER_BITS = 18
 LOWER = bytes(c + 32 if 65 <= c < 91 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
