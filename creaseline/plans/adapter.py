@@ -232,19 +232,70 @@ def counted(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
+def player(n: Column) -> Column:
+    return F.concat(F.lit("P"), text(n % 200))
+
+
+def sides_of(k: Column) -> tuple[Column, Column]:
+    """Both teams of the match with key ``k``."""
+    return F.concat(F.lit("NATION_"), text(k % 25)), F.concat(F.lit("NATION_"), text((k + 1 + k % 24) % 25))
+
+
+def document_head(k: Column) -> Column:
+    """The info part of a document: one date or two, a season written with a slash, no result, no star."""
+    home, away = sides_of(k)
+    year = 2007 + k % 15
+    season = F.when(
+        k % 5 == 0, F.concat(text(year), F.lit("/"), F.lpad(text((year + 1) % 100), 2, "0"))
+    ).otherwise(text(year))
+    start = F.date_add(F.lit("2008-01-01").cast("date"), (k % 5000).cast("int"))
+    nothing = F.lit(None).cast("bigint")
+    by = F.when(k % 3 == 0, F.struct((1 + k % 90).alias("runs"), nothing.alias("wickets"))).when(
+        k % 3 == 1, F.struct(nothing.alias("runs"), (1 + k % 10).alias("wickets"))
+    )
+    stars = F.when(k % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(player(k)))
+    info = F.struct(
+        season.alias("season"),
+        F.lit("T20").alias("match_type"),
+        pick(k % 2, "male", "female").alias("gender"),
+        F.concat(F.lit("Ground "), text(k)).alias("venue"),
+        F.when(k % 6 != 0, F.concat(F.lit("City "), text(k % 50))).alias("city"),
+        F.when(k % 2 == 0, F.array(text(start)))
+        .otherwise(F.array(text(start), text(F.date_add(start, 1))))
+        .alias("dates"),
+        F.array(home, away).alias("teams"),
+        F.struct(
+            F.when(k % 2 == 0, home).otherwise(away).alias("winner"), pick(k % 3, "bat", "field", "bowl").alias("decision")
+        ).alias("toss"),
+        F.struct(F.when(k % 3 == 0, home).when(k % 3 == 1, away).alias("winner"), by.alias("by")).alias("outcome"),
+        stars.alias("player_of_match"),
+        F.struct(
+            F.array(F.concat(F.lit("U"), text(k % 40))).alias("umpires"),
+            F.lit(None).cast("array<string>").alias("tv_umpires"),
+            F.lit(None).cast("array<string>").alias("reserve_umpires"),
+            F.lit(None).cast("array<string>").alias("match_referees"),
+        ).alias("officials"),
+    )
+    return info
+
+
+def document(k: Column, innings: Column) -> list[Column]:
+    return [
+        F.concat(F.lit("file:/matches/"), text(k), F.lit(".json")).alias("src_file_path"),
+        document_head(k).alias("info"),
+        innings.alias("innings"),
+    ]
+
+
 def match_documents(keys: DataFrame) -> DataFrame:
     """A nested match document for every key of a one-column table, built from the key alone.
 
     The documents include the awkward cases: no innings, no overs, no balls,
     over without number, ball without extras, none, one or two wickets, a third
-    innings, one date or two, a season written with a slash, no result.
+    innings.
     """
     k = F.col(keys.columns[0]).cast("bigint")
-    home = F.concat(F.lit("NATION_"), text(k % 25))
-    away = F.concat(F.lit("NATION_"), text((k + 1 + k % 24) % 25))
-
-    def player(n: Column) -> Column:
-        return F.concat(F.lit("P"), text(n % 200))
+    home, away = sides_of(k)
 
     def ball(at: Column) -> Column:
         extras = F.when(at % 3 != 0, (at % 4 == 0).cast("bigint")).otherwise(0)
@@ -294,48 +345,72 @@ def match_documents(keys: DataFrame) -> DataFrame:
             F.when((k + i) % 7 != 0, overs_here).alias("overs"),
         )
 
-    year = 2007 + k % 15
-    season = F.when(
-        k % 5 == 0, F.concat(text(year), F.lit("/"), F.lpad(text((year + 1) % 100), 2, "0"))
-    ).otherwise(text(year))
-    start = F.date_add(F.lit("2008-01-01").cast("date"), (k % 5000).cast("int"))
-    nothing = F.lit(None).cast("bigint")
-    by = F.when(k % 3 == 0, F.struct((1 + k % 90).alias("runs"), nothing.alias("wickets"))).when(
-        k % 3 == 1, F.struct(nothing.alias("runs"), (1 + k % 10).alias("wickets"))
+    innings = F.when(k % 11 != 0, F.transform(counted(k % 4), side))
+    return keys.select(*document(k, innings))
+
+
+def line_ball() -> Column:
+    """A line as a ball of a document: extras where there are any; no, one or two wickets, or an empty list."""
+    tax, number = F.rint(F.col("l_tax") * 100).cast("bigint"), F.col("l_linenumber").cast("bigint")
+    scored, part = F.rint(F.col("l_discount") * 100).cast("bigint") % 7, F.col("l_partkey")
+    extra = F.when(tax >= 5, F.lit(1)).otherwise(0).cast("bigint")
+    of_kind = lambda rate: F.when(tax == rate, extra)
+    fielder = F.struct(player(part + 9).alias("name"), (number % 2 == 0).alias("substitute"))
+    wicket = F.struct(
+        player(part).alias("player_out"),
+        pick(number % 4, "bowled", "caught", "run out", "lbw").alias("kind"),
+        F.array(fielder).alias("fielders"),
     )
-    stars = F.when(k % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(player(k)))
-    info = F.struct(
-        season.alias("season"),
-        F.lit("T20").alias("match_type"),
-        pick(k % 2, "male", "female").alias("gender"),
-        F.concat(F.lit("Ground "), text(k)).alias("venue"),
-        F.when(k % 6 != 0, F.concat(F.lit("City "), text(k % 50))).alias("city"),
-        F.when(k % 2 == 0, F.array(text(start)))
-        .otherwise(F.array(text(start), text(F.date_add(start, 1))))
-        .alias("dates"),
-        F.array(home, away).alias("teams"),
-        F.struct(
-            F.when(k % 2 == 0, home).otherwise(away).alias("winner"), pick(k % 3, "bat", "field", "bowl").alias("decision")
-        ).alias("toss"),
-        F.struct(F.when(k % 3 == 0, home).when(k % 3 == 1, away).alias("winner"), by.alias("by")).alias("outcome"),
-        stars.alias("player_of_match"),
-        F.struct(
-            F.array(F.concat(F.lit("U"), text(k % 40))).alias("umpires"),
-            F.lit(None).cast("array<string>").alias("tv_umpires"),
-            F.lit(None).cast("array<string>").alias("reserve_umpires"),
-            F.lit(None).cast("array<string>").alias("match_referees"),
-        ).alias("officials"),
+    second = F.struct(player(part + 1).alias("player_out"), F.lit("run out").alias("kind"), F.array(fielder).alias("fielders"))
+    return F.struct(
+        player(part).alias("batter"),
+        player(part + 1).alias("non_striker"),
+        F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("bowler"),
+        F.struct(scored.alias("batter"), extra.alias("extras"), (scored + extra).alias("total")).alias("runs"),
+        F.when(
+            tax >= 5,
+            F.struct(of_kind(6).alias("byes"), of_kind(5).alias("legbyes"), of_kind(8).alias("wides"), of_kind(7).alias("noballs")),
+        ).alias("extras"),
+        F.when(F.col("l_returnflag") == "R", F.when(number % 4 == 3, F.array(wicket, second)).otherwise(F.array(wicket)))
+        .when(F.col("l_returnflag") == "N", F.slice(F.array(wicket), 1, 0))
+        .alias("wickets"),
     )
-    innings = F.when(k % 11 != 0, F.transform(counted(k % 4), side))
-    return keys.select(
-        F.concat(F.lit("file:/matches/"), text(k), F.lit(".json")).alias("src_file_path"),
-        info.alias("info"),
-        innings.alias("innings"),
+
+
+def line_innings(spark: SparkSession, folder: str) -> DataFrame:
+    """k, innings: the lines of each order, nested by side and over.
+
+    Some innings have no overs, some overs no balls, and some matches no over numbers. An order has few
+    lines, so that no nested value is large.
+    """
+    side = F.when(F.col("l_linestatus") == "F", 1).otherwise(2)
+    over = ((F.col("l_quantity").cast("int") - 1) % 20).cast("bigint")
+    lines = table(spark, folder, "lineitem").select(  # several lines may have one number
+        F.col("l_orderkey").alias("k"), side.alias("side"), over.alias("over"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_returnflag", line_ball().alias("ball")).alias("entry"),
+    )
+
+    def gathered(column: str, field: str) -> Column:
+        return F.transform(F.sort_array(F.collect_list(column)), lambda x: x[field])
+
+    k = F.col("k")
+    overs = lines.groupBy("k", "side", "over").agg(gathered("entry", "ball").alias("balls"))
+    balls = F.when((k + F.col("over")) % 13 != 0, F.col("balls")).otherwise(F.slice("balls", 1, 0))
+    six = F.struct(F.when(k % 5 != 0, F.col("over")).alias("over"), balls.alias("deliveries"))
+    sides = overs.select("k", "side", F.struct("over", six.alias("six")).alias("entry")).groupBy("k", "side").agg(gathered("entry", "six").alias("overs"))
+    home, away = sides_of(k)
+    batting = F.struct(
+        F.when(F.col("side") == 1, home).otherwise(away).alias("team"), F.when((k + F.col("side")) % 7 != 0, F.col("overs")).alias("overs")
     )
+    entries = sides.select("k", F.struct("side", batting.alias("batting")).alias("entry"))
+    return entries.groupBy("k").agg(gathered("entry", "batting").alias("innings"))
 
 
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return match_documents(table(spark, folder, "orders").select("o_orderkey"))
+    """A document per order, its balls the order's lines; every eleventh has no innings."""
+    keys = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"))
+    joined = keys.join(line_innings(spark, folder), "k", "left")
+    return joined.select(*document(F.col("k"), F.when(F.col("k") % 11 != 0, F.col("innings"))))
 
 
 def supplier_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -188,5 +188,44 @@ doc_balls AS (
   FROM doc_at)"""
 
 
-ORDER_DOCUMENTS = _DOCUMENTS.replace("{keys}", "SELECT o_orderkey AS k FROM orders")
+_HEADS, _, _REST = _DOCUMENTS.replace("{keys}", "SELECT o_orderkey AS k FROM orders").partition("doc_innings AS")
+ORDER_DOCUMENTS = """
+doc_lines AS (
+  SELECT *, dense_rank() OVER (PARTITION BY k ORDER BY side) AS i,
+    dense_rank() OVER (PARTITION BY k, side ORDER BY six) - 1 AS nth,
+    row_number() OVER (PARTITION BY k, side, six ORDER BY num, p, s, l_discount, l_tax, flag) AS b
+  FROM (SELECT l_orderkey AS k, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS side,
+      (CAST(l_quantity AS INTEGER) - 1) % 20 AS six, l_linenumber AS num, l_partkey AS p, l_suppkey AS s, l_returnflag AS flag, l_discount, l_tax,
+      CAST(round(l_discount * 100) AS INTEGER) % 7 AS scored, CAST(round(l_tax * 100) AS INTEGER) AS tax
+    FROM lineitem WHERE l_orderkey % 11 <> 0)),
+doc_rows AS (
+  SELECT DISTINCT k, i, side, CAST(NULL AS BIGINT) AS six, CAST(NULL AS BIGINT) AS nth, CAST(NULL AS BIGINT) AS b,
+    CAST(NULL AS BIGINT) AS num, CAST(NULL AS BIGINT) AS p, CAST(NULL AS BIGINT) AS s, CAST(NULL AS VARCHAR) AS flag,
+    CAST(NULL AS INTEGER) AS scored, CAST(NULL AS INTEGER) AS tax
+  FROM doc_lines WHERE (k + side) % 7 = 0
+  UNION ALL SELECT DISTINCT k, i, side, six, nth, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM doc_lines WHERE (k + side) % 7 <> 0 AND (k + six) % 13 = 0
+  UNION ALL SELECT k, i, side, six, nth, b, num, p, s, flag, scored, tax
+  FROM doc_lines WHERE (k + side) % 7 <> 0 AND (k + six) % 13 <> 0),
+""" + _HEADS.replace("CASE WHEN k % 11 <> 0 THEN k % 4 ELSE 0 END AS n_innings", """coalesce(sides, 0) AS n_innings, first_side""").replace(
+    "  FROM docs)", "  FROM docs LEFT JOIN (SELECT k, count(DISTINCT side) AS sides, min(side) AS first_side FROM doc_lines GROUP BY k) USING (k))"
+) + """
+doc_numbered AS (
+  SELECT keyed.k AS k, match_id, season, team1, team2, i, b, num, p, s, flag, scored, tax, CASE side WHEN 1 THEN team1 WHEN 2 THEN team2 END AS batting_team,
+    CASE WHEN keyed.k % 5 <> 0 THEN six ELSE nth END + 1 AS over_no
+  FROM keyed LEFT JOIN doc_rows ON keyed.k = doc_rows.k),
+doc_balls AS (
+  SELECT match_id, season, CAST(i AS INTEGER) AS inning_no, CAST(over_no AS INTEGER) AS over_no, CAST(b AS INTEGER) AS ball_in_over,
+    batting_team, CASE WHEN batting_team = team1 THEN team2 ELSE team1 END AS bowling_team,
+    'P' || (p % 200) AS striker, 'P' || ((p + 1) % 200) AS non_striker, 'S' || s AS bowler,
+    scored AS runs_batter, CAST(tax >= 5 AS INTEGER) AS runs_extras, scored + CAST(tax >= 5 AS INTEGER) AS runs_total,
+    CAST(tax = 6 AS INTEGER) AS extra_byes, CAST(tax = 5 AS INTEGER) AS extra_legbyes,
+    CAST(tax = 8 AS INTEGER) AS extra_wides, CAST(tax = 7 AS INTEGER) AS extra_noballs,
+    coalesce(flag = 'R', FALSE) AS wicket_fell,
+    CASE WHEN flag = 'R' THEN 'P' || (p % 200) END AS wicket_player_out,
+    CASE WHEN flag = 'R' THEN CASE num % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out' ELSE 'lbw' END END AS wicket_kind,
+    CASE WHEN flag = 'R' THEN 'P' || ((p + 9) % 200) END AS first_fielder,
+    k || '.json' AS src_file_name,
+    CASE WHEN b IS NOT NULL THEN match_id || printf('-%02d-%02d-%02d', i, over_no, b) END AS delivery_id
+  FROM doc_numbered)"""
 SUPPLIER_DOCUMENTS = _DOCUMENTS.replace("{keys}", "SELECT s_suppkey AS k FROM supplier")

@@ -184,8 +184,8 @@ SELECT replace(season, '-', '/') AS season, venue, team1 || '|' || team2 AS team
   CASE WHEN k % 2 = 0 THEN CAST(start_date AS VARCHAR) ELSE start_date || '|' || CAST(start_date + 1 AS DATE) END AS dates,
   CASE k % 3 WHEN 0 THEN 'bat' WHEN 1 THEN 'field' ELSE 'bowl' END AS toss_decision,
   CASE k % 3 WHEN 0 THEN team1 WHEN 1 THEN team2 END AS winner,
-  CAST(CASE WHEN k % 11 = 0 THEN -1 ELSE n_innings END AS INTEGER) AS n_innings,
-  CASE WHEN n_innings > 0 THEN team1 END AS inning1_team,
+  CAST(CASE WHEN n_innings = 0 THEN -1 ELSE n_innings END AS INTEGER) AS n_innings,
+  CASE first_side WHEN 1 THEN team1 WHEN 2 THEN team2 END AS inning1_team,
   'file:/matches/' || k || '.json' AS src_file_path
 FROM keyed"""
 ORACLES["scan_csv_register"] = with_views(REGISTER) + "SELECT * FROM people"
@@ -284,8 +284,8 @@ FROM silver"""
 ORACLES["silver_matches_documents"] = ORDER_DOCS + """
 SELECT match_id, season, start_date AS match_start_dt,
   CASE WHEN k % 2 = 1 THEN CAST(start_date + 1 AS DATE) END AS match_end_dt,
-  CASE WHEN n_innings >= 1 THEN team1 END AS first_batting_team,
-  CASE WHEN n_innings >= 2 THEN team2 END AS second_batting_team
+  CASE first_side WHEN 1 THEN team1 WHEN 2 THEN team2 END AS first_batting_team,
+  CASE WHEN n_innings = 2 THEN team2 END AS second_batting_team
 FROM keyed"""
 
 # -------------------------------------------------- scalar functions
