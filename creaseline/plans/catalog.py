@@ -941,6 +941,38 @@ def manifest_new_files(spark, folder):
     )
 
 
+@query
+def ingest_increment(spark, folder):
+    """Two deliveries of files, each taken in when it arrives: bronze rows and manifest grow by the new files only."""
+    suppliers = table(spark, folder, "supplier")
+    files, bronze, manifest = (fresh_path(spark, name) for name in ("documents", "bronze", "manifest"))
+    tables.write_table(
+        spark.createDataFrame([], "file_name string, file_size bigint, modified_time timestamp, ingested_ts timestamp"), manifest
+    )
+    for condition in ("s_nationkey < 10", "s_nationkey >= 10"):
+        documents.write_document_files(adapter.match_documents(suppliers.where(condition).select("s_suppkey")), files)
+        arrived, new = documents.read_new_documents(spark, files, tables.read_table(spark, manifest), "*.txt")
+        new = settled(new)
+        tables.write_table(flatten.match_rows(arrived).drop("officials"), bronze, mode="append")
+        tables.write_table(documents.manifest_rows(new), manifest, mode="append")
+    held = tables.read_table(spark, manifest).select("file_name").distinct()
+    rows = tables.read_table(spark, bronze)
+    return rows.join(held.withColumnRenamed("file_name", "src_file_name"), "src_file_name").select("match_id", "venue", "season")
+
+
+@query
+def quarantine_documents(spark, folder):
+    """One document per file, every seventh cut short: the unreadable ones are set apart, whole."""
+    path = fresh_path(spark, "documents")
+    docs = adapter.supplier_documents(spark, folder).select(F.to_json(F.struct("info", "innings"), {"pretty": "true"}).alias("body"), "info.venue")
+    broken = F.regexp_extract("venue", r"(\d+)$", 1).cast("int") % 7 == 0
+    texts = docs.select(F.when(broken, F.expr("left(body, length(body) - 2)")).otherwise(F.col("body")).alias("value"))
+    texts.write.option("maxRecordsPerFile", 1).text(path)
+    good, bad = quality.quarantine_split(documents.read_documents(spark, path, "*.txt", keep_malformed=True), documents.CORRUPT)
+    kept = good.select(F.lit("good").alias("state"), F.col("info.venue").alias("venue"), F.lit(None).cast("string").alias("opening"))
+    return kept.union(bad.select(F.lit("bad"), F.lit(None).cast("string"), F.trim(F.substring(documents.CORRUPT, 1, 1))))
+
+
 def parsed_events(spark: SparkSession, folder: str) -> DataFrame:
     """Event properties parsed leniently; every seventh text is cut short."""
     props = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))

@@ -566,6 +566,11 @@ SELECT count(*) AS files_read, count(*) AS files_in_table, 'PASS' AS status FROM
 ORACLES["manifest_new_files"] = """
 SELECT 'new' AS state, count(*) FILTER (s_nationkey >= 10) AS files FROM supplier
 UNION ALL SELECT 'all', count(*) FROM supplier"""
+ORACLES["ingest_increment"] = with_views(SUPPLIER_DOCUMENTS) + "SELECT match_id, venue, season FROM keyed"
+ORACLES["quarantine_documents"] = """
+SELECT CASE WHEN s_suppkey % 7 = 0 THEN 'bad' ELSE 'good' END AS state, CASE WHEN s_suppkey % 7 <> 0 THEN 'Ground ' || s_suppkey END AS venue,
+  CASE WHEN s_suppkey % 7 = 0 THEN '{' END AS opening
+FROM supplier"""
 ORACLES["quarantine_split"] = """
 SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE 'good' END AS state,
   CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,

@@ -36,6 +36,7 @@ def read_documents(
     schema: StructType = MATCH_DOCUMENT,
     keep_malformed: bool = False,
     multiline: bool = True,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """One row per document, tagged with the path of its file.
 
@@ -44,6 +45,7 @@ def read_documents(
     Spark, that many come to the driver, and no other file is opened. An empty
     folder is an error. Unreadable documents are left out; ``keep_malformed``
     keeps them, in a column of their own, for :func:`quality.quarantine_split`.
+    ``modified_after``, a time in the session's zone, leaves out the files that are not younger.
     """
     if first is not None and first < 1:
         raise ValueError("first must be at least 1")
@@ -52,6 +54,8 @@ def read_documents(
     if not wanted:
         raise FileNotFoundError(f"no {pattern} in {folder}")
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
     source = folder if first is None else wanted
     if not keep_malformed:
         return with_source_path(reader.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(source))
@@ -90,6 +94,21 @@ def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(manifest, ["file_name", "file_size", "modified_time"], "left_anti")
 
 
+def read_new_documents(spark: SparkSession, folder: str, manifest: DataFrame, pattern: str = "*.json", **options) -> tuple[DataFrame, DataFrame]:
+    """The documents of files that the manifest does not hold, and these files.
+
+    Files older than the oldest new one are not opened; of the rest, those that the
+    manifest holds are left out by their paths.
+    """
+    new = new_files(list_files(spark, folder, pattern), manifest)
+    just_before = F.min("modified_time") - F.expr("INTERVAL 1 SECOND")
+    after = new.agg(F.date_format(just_before, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    documents = read_documents(spark, folder, pattern, modified_after=after, **options)
+    plain = lambda path: F.regexp_replace(path, ":/+", ":/")  # noqa: E731  both forms of a local path
+    paths = new.select(plain("path").alias("path"))
+    return documents.join(paths, plain("src_file_path") == F.col("path"), "left_semi"), new
+
+
 def manifest_rows(files: DataFrame) -> DataFrame:
     """Manifest lines for files that have been taken in."""
     return files.select("file_name", "file_size", "modified_time", F.current_timestamp().alias("ingested_ts"))

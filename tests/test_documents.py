@@ -168,3 +168,14 @@ def test_rollup_lineage(rows):
     df = lineage.with_rollup_lineage(rows("a int, b string", (1, None)), "aggregate:x", ["a", "b"])
     row = df.first()
     assert (row.src_file_name, len(row.src_record_hash)) == ("aggregate:x", 40)
+
+
+def test_only_new_files_are_read(spark, folder, tmp_path):
+    before = documents.manifest_rows(documents.list_files(spark, folder)).limit(0)
+    every, files = documents.read_new_documents(spark, folder, before)
+    assert every.count() == files.count() == 3
+    held = documents.manifest_rows(files)
+    none, files = documents.read_new_documents(spark, folder, held)
+    assert none.count() == files.count() == 0
+    with pytest.raises(ValueError):
+        documents.read_documents(spark, folder, first=0)
