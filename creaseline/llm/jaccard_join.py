@@ -49,7 +49,7 @@ FILTER_BITS = 27  # the repeated n-grams' filter is broadcast as so many bits: 1
 TOKENS_PER_RANGE = 4_000_000
 TOKENS_PER_LIST = 4_000_000
 FRAGMENTS = 8
-STAR_ROUNDS = 4
+HUBS = (1, 4, 8)  # sets that all others of an n-gram are compared with, in rounds
 SETS_REMEMBERED = 50_000
 BROADCAST_IDS = 1_000_000
 GAP = np.uint16(65535)
@@ -171,8 +171,8 @@ def prefix_length(n: int, similarity: Fraction = SIMILARITY) -> int:
     return n - -(-n * similarity.numerator // similarity.denominator) + 1
 
 
-def leading(shingles: np.ndarray, bits: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The repeated n-grams in the leading fragment of a set."""
+def leading(shingles: np.ndarray, bits: np.ndarray, often: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The repeated n-grams in the leading fragment of a set, and how many of the set precede each."""
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     slot = short >> np.uint32(32 - FILTER_BITS)
     repeated = (bits[slot >> np.uint32(3)] >> (slot & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
@@ -182,7 +182,8 @@ def leading(shingles: np.ndarray, bits: np.ndarray, often: np.ndarray, times: np
         rank[repeated] = np.where(often[at] == short[repeated], times[at], 1)
     length = prefix_length(len(shingles))
     order = np.argsort(rank, kind="stable")[:length]  # the shingles are sorted already
-    return shingles[order[repeated[order]]]
+    places = np.flatnonzero(repeated[order])
+    return shingles[order[places]], places
 
 
 def second_scan(shared):
@@ -193,7 +194,7 @@ def second_scan(shared):
         bits = np.frombuffer(raw, np.uint8)
         seen, known = WordHashes(), set()
         for batch in batches:
-            tokens, signs = [], []
+            tokens, places, signs, sizes = [], [], [], []
             for text in batch.column(0).cast(pa.binary()):
                 shingles = shingle_set(text.as_py(), seen)
                 sign = set_signature(shingles)
@@ -202,11 +203,14 @@ def second_scan(shared):
                 if len(known) >= SETS_REMEMBERED:
                     known.clear()
                 known.add(sign)
-                found = leading(shingles, bits, often, times)
+                found, before = leading(shingles, bits, often, times)
                 tokens.append(found.view(np.int64))
+                places.append(before.astype(np.int32))
                 signs.append(np.full(len(found), sign, np.int64))
+                sizes.append(np.full(len(found), len(shingles), np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(signs))], names=["token", "sig"])
+                columns = [pa.array(np.concatenate(c)) for c in (tokens, signs, sizes, places)]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "sig", "n", "place"])
 
     return rows
 
@@ -230,7 +234,7 @@ def fragment_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sig) of every document; (token, sig) of the leading fragments."""
+    """(doc_id, n, sig) of every document; (token, sig, n, place) of the leading fragments."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     range_bits = min(16, max(6, (size // 7 // TOKENS_PER_RANGE).bit_length()))
@@ -242,7 +246,7 @@ def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for row in counts.select("hash_range", "bits").toLocalIterator():  # fixed size in all
         bits[row[0] * width : (row[0] + 1) * width] = row[1]
     shared = spark.sparkContext.broadcast((bytes(bits), *frequent_values(counts)))
-    leads = docs.select("text").mapInArrow(second_scan(shared), "token long, sig long")
+    leads = docs.select("text").mapInArrow(second_scan(shared), "token long, sig long, n int, place int")
     return classes, settled(leads, "jaccard-leads")
 
 
@@ -269,8 +273,8 @@ def plausible(pairs: DataFrame, sizes: DataFrame, leads: DataFrame) -> DataFrame
     What lies behind the leading fragment of a set is at most three quarters of it, less one.
     """
     pairs = with_sizes(pairs, sizes).where(length_filter("na", "nb"))
-    left = pairs.join(leads.withColumnRenamed("sig", "a"), "a")
-    shared = left.join(leads.withColumnRenamed("sig", "b"), ["b", "token"])
+    left = pairs.join(leads.select("token", F.col("sig").alias("a")), "a")
+    shared = left.join(leads.select("token", F.col("sig").alias("b")), ["b", "token"])
     shared = shared.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
     behind = F.ceil(F.greatest("na", "nb") * SIMILARITY.numerator / SIMILARITY.denominator) - 1
     return shared.where(reaches(F.col("common") + behind, "na", "nb")).select("a", "b", "na", "nb")
@@ -292,28 +296,41 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")).where(reaches(F.col("overlap"), "na", "nb"))
 
 
-def links(docs: DataFrame, classes: DataFrame, leads: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def hub_pairs(members: DataFrame, seeds: list[int]) -> DataFrame:
+    """Each member of an n-gram with a few others, the same ones for all: those least under a seed."""
+    least = [F.min(F.col("sig").bitwiseXOR(F.lit(s))).bitwiseXOR(F.lit(s)) for s in seeds]
+    hubs = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.array(*least).alias("hubs"))
+    pairs = members.join(hubs.where("low <> high"), "token").select("sig", "component", F.explode("hubs").alias("hub")).distinct()
+    known = members.select(F.col("sig").alias("hub"), F.col("component").alias("other")).distinct()
+    return pairs.join(known, "hub").where("component <> other")
+
+
+def open_pairs(members: DataFrame) -> DataFrame:
+    """Every two members of an n-gram that are not connected, if it can be their first common one.
+
+    What stands from it on in either set must still allow the similarity.
+    """
+    several = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    mine = settled(members.join(several.select("token"), "token"), "jaccard-open")
+    theirs = mine.select("token", F.col("sig").alias("hub"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("place").alias("spot"))
+    rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("spot"))
+    fits = length_filter("n", "m") & reaches(rest, "n", "m") & (F.col("sig") < F.col("hub")) & (F.col("component") != F.col("other"))
+    return mine.join(theirs, "token").where(fits).select("sig", "hub")
+
+
+def links(docs: DataFrame, classes: DataFrame, leads: DataFrame) -> DataFrame:
     """Edges (a, b) between classes that connect all similar ones."""
     sizes = settled(classes.where("n > 0").select("sig", "n").distinct(), "jaccard-sizes")
     repeated = leads.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high")
-    leads = settled(leads.join(repeated.select("token"), "token").distinct(), "jaccard-repeated")
+    leads = settled(leads.join(repeated.select("token"), "token").dropDuplicates(["token", "sig"]), "jaccard-repeated")
+    rng = np.random.default_rng(1)
     edges, labels, done = None, None, None
-    for round_ in range(star_rounds + 1):
-        if edges is None:
+    for hubs in (*HUBS, 0):
+        if labels is None:
             members = leads.withColumn("component", F.col("sig"))
         else:
             members = leads.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        several = members.groupBy("token").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(round_), "sig"), "sig", "component")).alias("hub"),
-        ).where("low <> high")
-        if round_ < star_rounds:
-            pairs = members.join(several, "token").where(F.col("component") != F.col("hub.component"))
-            pairs = pairs.select("sig", F.col("hub.sig").alias("hub"))
-        else:
-            mine = settled(members.join(several.select("token"), "token"), "jaccard-open")
-            other = mine.select("token", F.col("sig").alias("hub"), F.col("component").alias("other"))
-            pairs = mine.join(other, "token").where("sig < hub and component <> other").select("sig", "hub")
+        pairs = hub_pairs(members, rng.integers(0, 2**62, hubs).tolist()) if hubs else open_pairs(members)
         pairs = pairs.select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")

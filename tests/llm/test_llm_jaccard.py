@@ -61,10 +61,10 @@ def texts(seed, groups=25, hub=0):
     return [(k * 7 % 10007, t) for k, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("seed, hub, rounds", [(1, 0, 4), (2, 60, 4), (3, 40, 0)])
+@pytest.mark.parametrize("seed, hub, rounds", [(1, 0, (1, 4, 8)), (2, 60, (1, 2)), (3, 40, ())])
 def test_components(rows, monkeypatch, seed, hub, rounds):
     monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
-    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "HUBS", rounds)
     docs = texts(seed, hub=hub) + [(20000, None), (20001, ""), (20002, " \n"), (20003, "a b c"), (20004, "A B c"), (20005, "x " * 3000)]
     table = rows("doc_id long, text string, n int", *((*d, 1) for d in docs))
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(table.repartition(4)).collect()}
