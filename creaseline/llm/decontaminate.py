@@ -29,24 +29,30 @@ from creaseline.llm.words import WordHashes, mixed_bits, shingle_set, shingles_i
 
 HASHES = 64
 SLICE = 1 << 14  # shingles that are hashed at once
-FILTER_BITS = 20
+FILTER_BITS = 18
+FILTER_MASK = np.uint32((1 << FILTER_BITS) - 1)  # the low bits, since minima have low high bits
 BLOCK_BYTES = 8_000_000  # of item texts per scan, and so of the broadcast
-MULTIPLIERS = mixed_bits(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+MULTIPLIERS = (mixed_bits(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def hashed(shingles: np.ndarray) -> np.ndarray:
+    """All hash values of each shingle, in 32 bits; what these confuse is told apart by the verification."""
+    return (shingles >> np.uint64(32)).astype(np.uint32)[:, None] * MULTIPLIERS
 
 
 class Partition:
     """Items of one size class, found by the minima of their signatures."""
 
     def __init__(self, items: list[int], shingles: list[np.ndarray]):
-        minima = np.concatenate([(shingles[i][:, None] * MULTIPLIERS).min(axis=0) for i in items])
+        minima = np.concatenate([hashed(shingles[i]).min(axis=0) for i in items])
         order = np.argsort(minima)
         self.minima = minima[order]
         self.items = np.repeat(items, HASHES)[order]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.minima >> np.uint64(64 - FILTER_BITS)] = True
+        self.filter[self.minima & FILTER_MASK] = True
 
     def candidates(self, minima: np.ndarray) -> set[int]:
-        found = minima[self.filter[minima >> np.uint64(64 - FILTER_BITS)]]
+        found = minima[self.filter[minima & FILTER_MASK]]
         low, high = np.searchsorted(self.minima, found, "left"), np.searchsorted(self.minima, found, "right")
         return {int(i) for a, b in zip(low, high) for i in self.items[a:b]}
 
@@ -72,15 +78,14 @@ class Items:
         smallest = next(iter(self.partitions))
         width = 1 << smallest
         step = max(width, SLICE // width * width)
-        blocks = [
-            np.minimum.reduceat(ordered[at : at + step, None] * MULTIPLIERS, np.arange(0, min(step, len(ordered) - at), width), axis=0)
-            for at in range(0, len(ordered), step)
-        ]
+        ordered = np.pad(ordered, (0, -len(ordered) % width), "edge")  # whole blocks, with the same minima
+        blocks = [hashed(ordered[at : at + step]).reshape(-1, width, HASHES).min(axis=1) for at in range(0, len(ordered), step)]
         minima, size = np.concatenate(blocks), smallest
         for wanted, partition in self.partitions.items():
             while size < wanted:
-                minima = np.minimum.reduceat(minima, np.arange(0, len(minima), 2), axis=0)
-                size += 1
+                even = minima[::2]
+                even[: len(minima) // 2] = np.minimum(even[: len(minima) // 2], minima[1::2])
+                minima, size = even, size + 1
             windows = np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima
             found |= partition.candidates(windows.ravel())
         return found
