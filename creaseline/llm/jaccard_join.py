@@ -30,27 +30,29 @@ Classes are told apart by a 64-bit signature.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm.components import component_labels
+from creaseline.llm.components import component_labels, nearer_labels
 from creaseline.llm.words import WordHashes, set_signature, shingle_set
 from creaseline.sources.workspace import settled
 
 SIMILARITY = Fraction(3, 4)
 FREQUENT = 8
 MOST_FREQUENT_KEPT = 1 << 20  # entries of the frequency table that is broadcast
-FILTER_BITS = 27  # the repeated n-grams' filter is broadcast as so many bits: 16 MB
-TOKENS_PER_RANGE = 4_000_000
-TOKENS_PER_LIST = 4_000_000
+FILTER_BITS = 26  # the repeated n-grams' filter is broadcast as so many bits: 8 MB
+TOKENS_PER_RANGE = 2_000_000
+TOKENS_PER_LIST = 2_000_000
 FRAGMENTS = 8
-HUBS = (1, 4, 8)  # sets that all others of an n-gram are compared with, in rounds
+HUBS = (1, 8)  # sets that all others of an n-gram are compared with, in rounds
 SETS_REMEMBERED = 50_000
+BATCH_ROWS = 500
 BROADCAST_IDS = 1_000_000
 GAP = np.uint16(65535)
 
@@ -247,7 +249,9 @@ def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         bits[row[0] * width : (row[0] + 1) * width] = row[1]
     shared = spark.sparkContext.broadcast((bytes(bits), *frequent_values(counts)))
     leads = docs.select("text").mapInArrow(second_scan(shared), "token long, sig long, n int, place int")
-    return classes, settled(leads, "jaccard-leads")
+    leads = settled(leads, "jaccard-leads")
+    shared.destroy()
+    return classes, leads
 
 
 def length_filter(a: str, b: str):
@@ -341,14 +345,28 @@ def links(docs: DataFrame, classes: DataFrame, leads: DataFrame) -> DataFrame:
             continue
         found = settled(verified(likely, docs, classes).select("a", "b"), "jaccard-links")
         edges = found if edges is None else edges.union(found)
-        labels = settled(component_labels(edges, "a", "b").toDF("sig", "component"), "jaccard-components")
+        if hubs:
+            labels = settled(nearer_labels(edges, "a", "b").toDF("sig", "component"), "jaccard-components")
     return leads.select(F.col("sig").alias("a"), F.col("sig").alias("b")).limit(0) if edges is None else edges
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Whole texts go to Python in batches of so many rows meanwhile, which bounds a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    classes, leads = scanned(docs)
-    edges = links(docs, classes, leads)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        classes, leads = scanned(docs)
+        edges = links(docs, classes, leads)
     labels = component_labels(edges, "a", "b").toDF("sig", "root")
     first = classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     first = first.join(labels, "sig", "left").withColumn("root", F.coalesce("root", "sig"))

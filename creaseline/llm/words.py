@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
