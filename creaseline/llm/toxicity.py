@@ -3,7 +3,7 @@
 A document's features are its distinct words, pairs of neighbours and pairs with one word
 between, hashed to a fixed range. The model is fitted on a bounded sample of the labelled
 documents (SAMPLE_ROWS, chosen by hash). Each round, the sample's shards run the updates
-over their documents from a common state, and what they add to the state is averaged over
+over their documents, PASSES times, from a common state, and what they add to the state is averaged over
 the shards that met a coordinate. Rates are kept per coordinate, and the L1 term leaves
 few weights, which are broadcast to score every whole text.
 
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from creaseline.llm.words import WordHashes, mixed_bits, word_hashes
 from creaseline.sources.workspace import settled
 
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS = 8_000
 SHARDS = 4
-ROUNDS = 12
+ROUNDS, PASSES = 6, 2  # passes over a shard in each round
 HASH_BITS = 28
 LEAST_DOCS = 4  # of the sample, that have a feature
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
@@ -66,6 +66,22 @@ def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "toxic", "found"])
 
 
+def places_of(shared):
+    """Features as their places in the vocabulary, the intercept first; others are left out."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch in batches:
+            places = []
+            for found in batch.column(2):
+                found = found.values.to_numpy()
+                at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
+                places.append(np.concatenate([[0], at[vocabulary[at] == found]]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32()))], names=["doc_id", "toxic", "places"])
+
+    return rows
+
+
 def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The proximal step; the intercept at place 0 has no penalty."""
     least = np.full(len(z), L1)
@@ -89,13 +105,12 @@ def shard_pass(shared, round_: int):
     """What one pass over a shard adds to the common state."""
 
     def added(frame: pd.DataFrame) -> pd.DataFrame:
-        words, z, n = shared.value
+        z, n = shared.value
         frame = frame.sort_values(["doc_id", "toxic"]).sample(frac=1, random_state=round_)
-        places = []
-        for found in frame["found"]:
-            at = np.minimum(np.searchsorted(words, found), len(words) - 1)
-            places.append(np.concatenate([[0], at[words[at] == found]]))
-        new_z, new_n = run_shard(places, frame["toxic"].to_numpy(float), z.copy(), n.copy())
+        places, toxic = frame["places"].to_list(), frame["toxic"].to_numpy(float)
+        new_z, new_n = z.copy(), n.copy()
+        for _ in range(PASSES):
+            run_shard(places, toxic, new_z, new_n)
         moved = np.flatnonzero(new_n != n)
         return pd.DataFrame({"place": moved, "dz": (new_z - z)[moved], "dn": (new_n - n)[moved]})
 
@@ -119,9 +134,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     vocabulary = vocabulary.where(F.col("count") >= LEAST_DOCS).select("feature").toArrow()["feature"].to_numpy()
     vocabulary = np.concatenate([[0], np.sort(vocabulary.astype(np.int64))])  # the intercept first
     z, n = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
-    sharded = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int"))
+    places = sample.mapInArrow(places_of(spark.sparkContext.broadcast(vocabulary)), "doc_id long, toxic int, places array<int>")
+    sharded = settled(places.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int")), "toxic-places")
     for round_ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((vocabulary, z, n))
+        shared = spark.sparkContext.broadcast((z, n))
 
         parts = sharded.groupBy("shard").applyInPandas(shard_pass(shared, round_), "place int, dz double, dn double")
         moved = parts.groupBy("place").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).orderBy("place").toArrow()
