@@ -14,23 +14,36 @@ from creaseline.llm import decontaminate, jaccard_join, mixing, quality, shardin
 from creaseline.sources.workspace import settled
 
 
+BATCH_ROWS = 500
+
+
+def use_small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of so many rows, which bounds a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_small_batches(spark)
     return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_small_batches(spark)
     return jaccard_join.keep_first(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_small_batches(spark)
     return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    use_small_batches(spark)
     return sharding.shard_documents(docs)
 
 
