@@ -27,15 +27,6 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def nearer_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """node, component: nodes with a smaller node that they are connected with, after one round.
-
-    Nodes with equal labels are connected; the reverse holds for stars, not for every graph.
-    """
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
-    return _star(_star(edges, True), False).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
-
-
 def component_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node, component: every node of the edges with the smallest node of its component.
 
