@@ -1,13 +1,17 @@
 """Personal data by bootstrapped contextual extraction.
 
 Email addresses, IP addresses, card and phone numbers are first found by their form. They
-are the seeds. What else looks like an identifier (a chunk with a digit or an at sign) is
-a candidate. Seeds and candidates, by their text, are the instances of a graph whose other
-side are lexical patterns: the words before and after a mention, together with the form of
-the mention (digits and letters reduced to classes). Rounds of scoring follow, as grouped
+are the seeds. What else looks like an identifier (a chunk with a digit or an at sign, or
+several chunks of digits and marks, one blank apart) is a candidate for the kinds whose
+checks it passes: digits in number for a phone, also the Luhn sum for a card, four octets
+or the longer notation for an IP address, one at sign in some writing for an email address.
+A chunk that passes none is known to be of no kind. Seeds and candidates, by their text,
+are the instances of a graph whose other side are lexical patterns: the words before and
+after a mention, and whether it is of letters or of numbers. Rounds of scoring follow, as grouped
 aggregation: a pattern is worth the share of its instances that are known to be of a kind,
 shrunk for patterns with few instances, and an unknown instance is worth what its patterns
-together make likely. Mentions that a pattern of high confidence covers are added.
+together make likely. Mentions that a pattern of high confidence covers are added, if they
+are candidates for its kind.
 
 Added spans never overlap the spans found by form, nor each other; the latter are kept.
 
@@ -19,6 +23,7 @@ pattern. An empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -36,9 +41,15 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-MARKED = re.compile(r"[0-9@][^\s\"'<>|]*")  # from the first digit or at sign of a chunk on
+MARKED = re.compile(r"(?:[0-9@]|[(\[{][aA][tT][)\]}])[^\s\"'<>|]*")  # from the first digit or at sign of a chunk on
 CHUNK_ENDS = frozenset(" \t\n\r\x0b\x0c\"'<>|")
 CHUNK_CHARS = 64  # longer chunks are no identifiers
+LEAST_CHARS = 6
+LABEL = re.compile(r"[^\W\d_]{2,}\.?[:=]+(?=[+(]*[0-9]|[^\s:=]*@)")
+NUMERIC = re.compile(r"[+(]*[0-9][0-9().+/-]*")
+AT_SIGN = re.compile(r"@|[(\[{]at[)\]}]", re.IGNORECASE)
+PARTED = re.compile(r"\[\.\]|\(\.\)|[.,-]")  # what may stand between octets
+MOST_PIECES = 8  # chunks of digits in one candidate
 CONTEXT_CHARS = 40
 ROUNDS = 3
 PRIOR_INSTANCES = 2.0
@@ -111,42 +122,112 @@ def near_word(piece: str, last: bool) -> str:
     return re.sub(r"[0-9]+", "9", word.strip(".,;:!?()[]{}\"'*#$%&|"))
 
 
-def chunks(text: str) -> Iterator[tuple[int, int]]:
-    """Chunks of up to CHUNK_CHARS with a digit or an at sign, without marks behind them."""
+def chunks(text: str) -> Iterator[tuple[int, int, int]]:
+    """Chunks of up to CHUNK_CHARS with a digit or an at sign: start, end without marks, end."""
     for part in MARKED.finditer(text):
         start, least = part.start(), max(0, part.start() - CHUNK_CHARS)
         while start > least and text[start - 1] not in CHUNK_ENDS and not text[start - 1].isspace():
             start -= 1
-        end = part.start() + len(part[0].rstrip(".,;:!?*#$%&)"))
-        if 6 <= end - start <= CHUNK_CHARS:
-            yield start, end
-
-
-def refused(value: str) -> bool:
-    """It has the form of a kind and has failed its check: known not to be one."""
-    return any(p.search(value) for p in (DIALLED, DOMAIN)) or DOTTED.fullmatch(value) or DIGITS.fullmatch(value)
+        if part.end() - start > 2 * CHUNK_CHARS:
+            continue
+        label = LABEL.match(text, start, part.end())
+        if label and not long_address(text[start : part.end()]):
+            start = label.end()
+        value = text[start : part.end()].rstrip(".,;:!?*#$%&")
+        while value[-1:] == ")" and value.count(")") > value.count("("):
+            value = value[:-1].rstrip(".,;:!?*#$%&")
+        end = start + len(value)
+        while start < part.start() and (text[start] in "[{*#" or text[start] == "(" and ")" not in text[start:end]):
+            start += 1
+        if text[start:end][:1] == "(" and text[end - 1] == ")" and not NUMERIC.fullmatch(text, start, end):
+            start, end = start + 1, end - 1
+        if start < end <= start + CHUNK_CHARS:
+            yield start, end, part.end()
+
+
+def long_address(value: str) -> bool:
+    """It is an IP address in the notation with colons."""
+    if value.count(":") < 2:
+        return False
+    try:
+        return bool(ipaddress.IPv6Address(value))
+    except ValueError:
+        return False
+
+
+def possible_kinds(value: str) -> list[str]:
+    """Kinds whose checks a text passes that the base expressions have not found."""
+    octets = PARTED.split(value)
+    four = len(octets) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 for p in octets)
+    kinds = ["ip"] if four and all(int(p) <= 255 for p in octets) or long_address(value) else []
+    if not (four and value.count(".") == 3) and all(p.isascii() and NUMERIC.fullmatch(p) for p in value.split(" ")):
+        digits = "".join(filter(str.isdigit, value))
+        if 13 <= len(digits) <= 19 and "+" not in value and luhn(digits):
+            kinds.append("card")
+        if 7 <= len(digits) <= 15 and "+" not in value[1:].lstrip("+("):
+            kinds.append("phone")
+    sides = AT_SIGN.split(value)
+    if len(sides) == 2 and all(any(map(str.isalnum, side)) for side in sides):
+        kinds.append("email")
+    return kinds
+
+
+def numbers(text: str, pieces: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[str]]]:
+    """Of chunks of digits one blank apart, as many together as can be of a kind, from the left."""
+    at = 0
+    while at < len(pieces):
+        a, most, digits = pieces[at][0], at, 0
+        for k in range(at, min(len(pieces), at + MOST_PIECES)):
+            own = sum(map(str.isdigit, text[pieces[k][0] : pieces[k][1]]))
+            digits += own
+            if k > at and (own < 2 or digits > 19 or pieces[k][1] - a > CHUNK_CHARS):
+                break
+            most = k
+        for k in range(most, at - 1, -1):
+            kinds = possible_kinds(text[a : pieces[k][1]])
+            if kinds:
+                break
+        yield a, pieces[k][1], kinds
+        at = k + 1
+
+
+def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, list[str]]]:
+    """What overlaps no seed, with the kinds that it can be of."""
+    at, pieces, behind = 0, [], -1
+    for a, b, whole in chunks(text):
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        free = at >= len(taken) or taken[at][0] >= b
+        digits = free and NUMERIC.fullmatch(text, a, b)
+        if pieces and not (digits and a == behind + 1 and text[behind] == " "):
+            yield from numbers(text, pieces)
+            pieces = []
+        if digits:
+            pieces.append((a, b))
+            behind = b if b == whole else -2
+        elif free:
+            yield a, b, possible_kinds(text[a:b])
+    yield from numbers(text, pieces)
 
 
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Seeds, candidates (no kind) and refused ones (kind "none") with their contexts."""
+    """Seeds, candidates (no kind, but kinds) and what can be of no kind ("none") with their contexts."""
     taken = sorted((a, b, kind) for kind, a, b in spans)
-    found = list(taken)
-    at = 0
-    for a, b in chunks(text):
-        while at < len(taken) and taken[at][1] <= a:
-            at += 1
-        if at >= len(taken) or taken[at][0] >= b:
-            found.append((a, b, "none" if refused(text[a:b]) else None))
+    found = [(a, b, kind, None) for a, b, kind in taken]
+    for a, b, kinds in candidates(text, taken):
+        if b - a >= LEAST_CHARS:
+            found.append((a, b, None if kinds else "none", ",".join(kinds) or None))
     out = []
-    for a, b, kind in found:
+    for a, b, kind, kinds in found:
         before, after = text[max(0, a - CONTEXT_CHARS) : a], text[b : b + CONTEXT_CHARS]
         left, right = near_word(before, True), near_word(after, False)
-        out.append({"start": a, "end": b, "kind": kind, "value": text[a:b].lower()[:CHUNK_CHARS], "form": form_of(text[a:b])[:CHUNK_CHARS], "left": left, "right": right})
+        out.append({"start": a, "end": b, "kind": kind, "kinds": kinds, "value": text[a:b].lower()[:CHUNK_CHARS], "form": form_of(text[a:b])[:CHUNK_CHARS], "left": left, "right": right})
     return out
 
 
-MENTION = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("value", pa.string()), ("form", pa.string()), ("left", pa.string()), ("right", pa.string())])
-MENTION_DDL = "struct<start:long,end:long,kind:string,value:string,form:string,left:string,right:string>"
+TEXTS = ("kind", "kinds", "value", "form", "left", "right")
+MENTION = pa.struct([("start", pa.int64()), ("end", pa.int64()), *((c, pa.string()) for c in TEXTS)])
+MENTION_DDL = f"struct<start:long,end:long,{','.join(f'{c}:string' for c in TEXTS)}>"
 
 
 def joined(spans) -> str:
@@ -169,35 +250,46 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pattern_edges(mentioned: DataFrame) -> DataFrame:
-    """pattern, value, kind (null for candidates): distinct edges of the graph."""
+    """pattern, value, kind (null for candidates), kinds: distinct edges of the graph.
+
+    Candidates without kinds may be of every kind. A pattern has a word at least.
+    """
+    if "kinds" not in mentioned.columns:
+        mentioned = mentioned.withColumn("kinds", F.lit(None).cast("string"))
     around = [("b", "left", None), ("a", None, "right"), ("ba", "left", "right")]
-    text = lambda tag, l, r: F.concat_ws("\u0001", F.lit(tag), "form", *(c for c in (l, r) if c))
-    patterns = F.array(*(text(*x) for x in around))
+    letters = F.when(F.col("form").rlike(r"\p{L}") & ~F.col("form").rlike(":.*:"), "a").otherwise("9")  # long addresses are numbers
+    text = lambda tag, words: F.when(F.concat(*words) != "", F.concat_ws("\u0001", F.lit(tag), letters, *words))
+    patterns = F.array_compact(F.array(*(text(tag, [c for c in (l, r) if c]) for tag, l, r in around)))
     return mentioned.withColumn("pattern", F.explode(patterns))
 
 
+def may_be(kind: str):
+    """A candidate, by its kinds, can be of a kind."""
+    return F.col("kinds").isNull() | F.array_contains(F.split("kinds", ","), F.col(kind))
+
+
 def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind, confidence of the patterns that may add mentions.
 
     An instance is known as far as the best pattern round has made it likely; seeds are
-    known for certain, refused ones too, and candidates start as unknown.
+    known for certain, those of no kind too, and candidates start as unknown.
     """
-    edges = settled(edges.select("pattern", "value", "kind").distinct(), "private-edges")
+    edges = settled(edges.select("pattern", "value", "kind", "kinds").distinct(), "private-edges")
     likely = None
     for _ in range(rounds):
         if likely is None:
             seen = edges.select("pattern", "value", "kind", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("belief"))
         else:
-            unknown = edges.where("kind is null").drop("kind").join(likely, "value", "left")
+            unknown = edges.where("kind is null").drop("kind", "kinds").join(likely, "value", "left")
             unknown = unknown.select("pattern", "value", F.col("likely_kind").alias("kind"), F.coalesce("belief", F.lit(0.0)).alias("belief"))
-            known = edges.where("kind is not null").withColumn("belief", F.lit(1.0))
+            known = edges.where("kind is not null").drop("kinds").withColumn("belief", F.lit(1.0))
             seen = known.unionByName(unknown)
         total = seen.groupBy("pattern").agg(F.count("*").alias("instances"))
         mass = seen.where("kind <> 'none'").groupBy("pattern", "kind").agg(F.sum("belief").alias("mass"))
         confidence = F.col("mass") / (F.col("instances") + PRIOR_INSTANCES)
         patterns = mass.join(total, "pattern").withColumn("confidence", confidence)
         patterns = settled(patterns.where(F.col("mass") >= LEAST_INSTANCES), "private-patterns")
-        voted = edges.where("kind is null").select("pattern", "value").join(patterns, "pattern")
+        voted = edges.where("kind is null").select("pattern", "value", "kinds").join(patterns, "pattern").where(may_be("kind"))
         doubt = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))
         votes = voted.groupBy("value", "kind").agg((1 - doubt).alias("belief"))
         best = F.max(F.struct("belief", "kind")).alias("best")
@@ -214,7 +306,7 @@ def private_spans(docs: DataFrame) -> DataFrame:
     found = settled(found.withColumn("row", F.monotonically_increasing_id()), "private-scan")
     mentioned = pattern_edges(found.select("row", F.explode("mentions").alias("m")).select("row", "m.*"))
     patterns = confident_patterns(mentioned)
-    hits = mentioned.where("kind is null").join(patterns, "pattern")
+    hits = mentioned.where("kind is null").join(patterns, "pattern").where(may_be("new_kind"))
     best = F.max(F.struct("confidence", "new_kind")).alias("best")
     hits = hits.groupBy("row", "start", "end").agg(best)
     added = hits.groupBy("row").agg(F.collect_list(F.struct(F.col("best.new_kind").alias("kind"), "start", "end")).alias("new"))

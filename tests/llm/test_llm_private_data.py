@@ -75,3 +75,42 @@ def test_a_learnt_context_adds_spans(rows):
 
 def test_empty(rows):
     assert private_data.private_spans(planted(rows).limit(0)).collect() == []
+
+
+def test_kinds_that_a_text_can_be_of():
+    wanted = {
+        "555-123-4567": ["phone"], "712.555.101": ["phone"], "712 555 1010": ["phone"], "4111.1111.1111.1111": ["card"],
+        "4111 1111  1111 1111": [], "4111111111111112": [], "300.1.1.1": [], "192.168.300.12": [], "10.0.0[.]1": ["ip"], "10-20-30-40": ["ip", "phone"],
+        "fe80::1:2": ["ip"], "joé@b.org": ["email"], "joe[at]b.org": ["email"], "@handle": [], "a@b@c": [], "04dbebab91ab": [], "2024": [],
+    }
+    assert {value: private_data.possible_kinds(value) for value in wanted} == wanted
+
+
+def test_candidates_span_blanks_and_leave_seeds_alone():
+    def found(text):
+        seen = private_data.mentions(text, private_data.base_spans(text))
+        return {(text[m["start"] : m["end"]], m["kind"] or m["kinds"]) for m in seen}
+
+    assert found("call 712 555 1010, or 2024") == {("712 555 1010", "phone")}
+    assert found("+1 (826) 555-4081 190.137.223.204 du") == {("190.137.223.204", "ip"), ("+1 (826) 555-4081", "phone")}
+    assert found("tel:555-123-4567. (joé@b.org) mailto:zoé@b.org") == {("555-123-4567", "phone"), ("joé@b.org", "email"), ("zoé@b.org", "email")}
+    assert found("x 4111111111111112 7536784127813050 y") == {("4111111111111112", "none"), ("7536784127813050", "card")}
+
+
+def test_contexts_add_spans_of_every_kind(rows):
+    """Seeds after one word teach it; what the expressions miss after it is found, what fails a check is not."""
+    cards = ["4111111111111111", "5500005555555559", "4012888888881881", "4222222222222", "378282246310005", "30569309025904"]
+    cards += ["5105105105105100", "6011111111111117", "6011000990139424", "3530111333300000", "3566002020360505", "371449635398431"]
+    seeds = [f"x mail ann{k}@b{k}.org or" for k in range(12)] + [f"x from 10.1.2.{k} at" for k in range(12)]
+    seeds += [f"x charge {c} for" for c in cards] + [f"x dial +1 (212) 555-10{k:02d} now" for k in range(12)]
+    missed = {
+        "x mail joé@b.org or": "email:7:16", "x mail joe[at]b.org or": "email:7:19", "x from 10.1.2[.]77 at": "ip:7:18", "x from fe80::17 at": "ip:7:15",
+        "x charge 4111.1111.1111.1111 for": "card:9:28", "x charge 4111  1111 1111 1111 for": None, "x charge 4111111111111112 for": None,
+        "x dial 712.555.101 now": "phone:7:18", "x dial 555-123-4567 now": "phone:7:19", "x dial 712 555 1010 now": "phone:7:19",
+        "x from 300.1.1.1 at": None, "x dial 04dbebab91ab85 now": None, "y other 555-123-9999 words": None,
+    }
+    table = rows("doc_id long, text string", *enumerate([*seeds, *missed]))
+    found = {r.doc_id: r for r in private_data.private_spans(table).collect()}
+    assert {text: found[k].spans or None for k, text in enumerate(missed, len(seeds))} == missed
+    assert [found[k].added for k in range(len(seeds))] == [0] * len(seeds)
+    assert all(found[k].added == (span is not None) for k, span in enumerate(missed.values(), len(seeds)))
