@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creaseline.llm.words import WordHashes, mixed_bits, shingle_set, shingles_in_order, word_hashes
+from creaseline.sources.workspace import settled
 
 HASHES = 64
 SLICE = 1 << 14  # shingles that are hashed at once
@@ -134,6 +135,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, share: tuple[int, int
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents in which no item is found. Rows without an id are judged as one document."""
-    leaks = contained_items(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    """Documents in which no item is found. Rows are judged by a stored number, so ids may repeat or be null."""
+    numbered = settled(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")
+    leaks = contained_items(numbered.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+    leaks = leaks.select(F.col("doc_id").alias("_row")).distinct()
+    return numbered.join(leaks, "_row", "left_anti").select(*docs.columns)

@@ -54,6 +54,7 @@ HUBS = (1, 4, 8)  # sets that all others of an n-gram are compared with, in roun
 SETS_REMEMBERED = 50_000
 BATCH_ROWS = 500
 BROADCAST_IDS = 1_000_000
+ROW = "_row"  # the row number that stages carry
 GAP = np.uint16(65535)
 
 SCAN_SCHEMA = "doc_id long, n long, sig long, hash_range int, tokens binary"
@@ -378,13 +379,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Documents without those that have an earlier one in their component.
+    """Of each component the row with the least id, then row number; ids may repeat or be null.
 
-    Rows that repeat a kept id are kept once. Rows without an id, and texts without words,
-    link with nothing and stay.
+    Rows are told apart by a stored number, not by their id. Texts without words link with
+    nothing and stay.
     """
-    found = settled(jaccard_components(docs), "jaccard-result")
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = settled(found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-repeats")
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    numbered = settled(docs.withColumn(ROW, F.monotonically_increasing_id()), "jaccard-rows")
+    found = settled(jaccard_components(numbered.select(F.col(ROW).alias("doc_id"), "text")), "jaccard-result")
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = found.join(several, "component_id").select(F.col("doc_id").alias(ROW), "component_id")
+    members = settled(members.join(numbered.select(ROW, "doc_id"), ROW), "jaccard-members")
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", ROW)
+    first = members.groupBy("component_id").agg(F.min(rank)[ROW].alias("first"))
+    gone = settled(members.join(first, "component_id").where(F.col(ROW) != F.col("first")).select(ROW), "jaccard-gone")
+    return numbered.join(gone, ROW, "left_anti").select(*docs.columns)

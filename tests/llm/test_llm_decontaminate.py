@@ -51,3 +51,10 @@ def test_empty(rows):
     assert decontaminate.contained_items(d.limit(0), b).collect() == []
     assert decontaminate.contained_items(d, b.limit(0)).collect() == []
     assert decontaminate.decontaminated(d, b.limit(0)).count() == d.count()
+
+
+def test_leaks_go_by_row_not_by_id(rows):
+    passage = "one two three four five six seven eight"
+    docs = [(None, "x " + passage), (None, "a clean text without an id at all"), (3, passage), (3, "another clean text that repeats an id"), (4, None)]
+    left = decontaminate.decontaminated(rows("doc_id long, text string", *docs), rows("item_id long, text string", (1, passage)))
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, [docs[1], docs[3], docs[4]]))

@@ -111,3 +111,12 @@ def test_graph_components(spark):
     assert {r.node: r.component for r in found} == {n: reach(nodes, links)[n] for n in nodes}
     assert len(found) == len(nodes)
     assert components.component_labels(table.limit(0), "x", "y").collect() == []
+
+
+def test_rows_are_kept_by_row_not_by_id(rows):
+    """Unlinked texts of one id both stay; of near copies one stays, also without an id."""
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    values = [(1, "one two three four five six"), (1, "seven eight nine ten eleven twelve"), (None, near), (None, near + " 1"), (None, None), (None, ""), (7, "p q r s t z"), (5, "p q r s t z"), (None, "p q r s t z")]
+    kept = jaccard_join.keep_first(rows("doc_id long, text string", *values)).collect()
+    wanted = [values[0], values[1], values[2], values[4], values[5], values[7]]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, wanted))
