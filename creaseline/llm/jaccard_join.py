@@ -4,7 +4,8 @@ Sets are the distinct five-word shingles of whole texts; two documents link when
 Jaccard similarity reaches 0.75. Equal sets are joined once, through their class.
 
 The n-grams have one global order: first those of a single set, then the others, then the
-frequent ones by frequency, and by hash within each. The order is cut into fragments.
+frequent ones by frequency, and by hash within each. Only the leading fragment of a set
+follows this order; verification cuts whole sets into fragments by hash range instead.
 
 1. A first scan notes each document's class, and counts all n-grams. The counts travel as
    sorted, delta-coded lists, cut by hash range, so that no n-gram is a group of its own.
@@ -13,8 +14,10 @@ frequent ones by frequency, and by hash within each. The order is cut into fragm
    once. The first and the least common n-grams lie here, so passages that many documents
    share stay out of it.
 3. Partial overlaps in the leading fragment are counted per pair; what is left of either
-   set bounds the rest. Only pairs that can still reach the similarity go on.
-4. For these, partial overlaps are counted in each further fragment and summed per pair.
+   set bounds the rest. Only pairs that can still reach the similarity go on. This overlap
+   is a filter only; it is not added to those of the next step.
+4. For these, whole sets, the leading n-grams included, are cut into FRAGMENTS ranges of the
+   hash; partial overlaps are counted in each range and summed per pair.
 
 Only components are asked for, so the members of an n-gram are first compared with one of
 them, in several rounds with another one each, and pairs that are connected by then need
