@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from creaseline.llm import (
-    chat, decontaminate, jaccard_join, mixing, private_data, quality, sharding, toxicity, url_filter, vector_join,
+    chat, decontaminate, jaccard_join, mixing, packing, prefix_trie, private_data, quality, repeats, sharding, toxicity,
+    url_filter, vector_join,
 )
 
 
@@ -65,11 +68,28 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.token_pieces(table(spark, folder, "documents"), vocabulary, carried=["doc_id"])
+    pieces = pieces.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.packed(pieces)
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.conversation_turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie_table(prefix_trie.with_shared_heads(turns))
+
+
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.word_runs(repeats.with_planted_repeats(table(spark, folder, "documents")), carried=["doc_id"])
+    return repeats.run_digests(found).select("row.doc_id", F.col("*")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_private_data, op2_toxicity, op3_vector_join, op4_url_filter, op5_mixing, op6_quality, op7_jaccard_join, op8_chat,
-        op9_decontaminate, op10_sharding,
+        op9_decontaminate, op10_sharding, op11_packing, op12_prefix_trie, op13_repeats,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -144,4 +164,38 @@ FROM (SELECT id, unnest(s) AS g FROM d) t JOIN q ON t.g = q.g GROUP BY t.id, q.i
 """
 )
 
-ORACLES = {"op3_vector_join": OP3, "op7_jaccard_join": OP7, "op8_chat": OP8, "op9_decontaminate": OP9}
+# The unsigned CRC-32 of an id's decimal form, digit by digit.
+OP12 = r"""
+WITH t AS (
+    SELECT conv_id, list({'said': coalesce(role, '') || chr(10) || coalesce(text, ''),
+        'words': len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations GROUP BY conv_id
+), h AS (
+    SELECT conv_id, turns, (xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda state, b: list_reduce([xor(state, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 4)::BIGINT AS h
+    FROM t
+), c AS (
+    SELECT h.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(h.turns, h + 1, len(h.turns))) AS turns
+    FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 20
+), e AS (
+    SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM c
+), p AS (
+    SELECT conv_id, depth, list_transform(turns[:depth], lambda x: x.said) AS path, len(turns) = depth AS ended,
+        CASE WHEN depth = 0 THEN 0 ELSE turns[depth].words END AS words
+    FROM e
+), n AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) * (count(*) - 1) AS saved,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+    FROM p GROUP BY path, depth
+), k AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), u AS (
+    SELECT path[:d] AS path, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (leaf))::BIGINT AS n_leaves
+    FROM (SELECT n.path, saved, k.path IS NULL AS leaf, unnest(range(0, depth + 1)) AS d FROM n LEFT JOIN k USING (path)) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens,
+    sha256(n.ends) AS ends_sha256
+FROM n JOIN u USING (path) LEFT JOIN k USING (path) LEFT JOIN n q ON n.depth > 0 AND q.path = n.path[:n.depth - 1]
+"""
+
+ORACLES = {"op3_vector_join": OP3, "op7_jaccard_join": OP7, "op8_chat": OP8, "op9_decontaminate": OP9, "op12_prefix_trie": OP12}
