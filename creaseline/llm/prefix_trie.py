@@ -5,17 +5,21 @@ greatest depth up: the nodes of a depth are the conversations that end there, me
 the nodes one deeper that have lost their last turn. One grouping merges and aggregates
 both, so each node is complete when it is found, and nothing is looked at twice.
 
+A round takes a stretch of depths. Rows that share their prefix at the stretch's floor with no
+other row have nothing to merge with, so their nodes follow at once, all the way down to the
+floor; for the others the stretch is halved, down to single depths, where the last turn is
+stripped and the rows are regrouped. Rounds are therefore needed where prefixes part, not for
+every turn of a long conversation. Each round is stored; a lost executor costs its part of one.
+
 Turns are digests of 128 bits and word counts, texts are not carried. A conversation's
 keys, one per depth, are digests of the key before and the turn; equal conversations become
-one row before the first round. Several rounds make one stored step, as one plan whose
-groupings are shared: a lost executor costs its part of a step.
+one row before the first round.
 
-Every round groups the nodes of one depth by key. Sums and least ids are combined before
+Regrouping is by key. Sums and least ids are combined before
 the shuffle, so a first turn that a third of all conversations share is one row per task.
 The ids that end at a node are joined in numbered ranges of 10,000 first. A conversation's
-digests and keys are gathered into one row: some 40 bytes a turn and 16 bytes a depth; and the
-rounds are as many as the turns of the longest conversation. Both bound the method, not the
-number of conversations.
+digests and keys are gathered into one row: some 40 bytes a turn and 16 bytes a depth, which
+bounds the length of one conversation (some ten million turns), not their number.
 
 Nulls: null role and text are empty, a null turn comes first, a null conv_id is one
 conversation. Turns with equal numbers follow by role, then by digest. Repeated rows are
@@ -33,7 +37,6 @@ from pyspark.sql import functions as F
 from creaseline.sources.workspace import settled
 
 WORD = r"[^\x20\x09-\x0D]+"
-LEVELS_PER_STEP = 8
 IDS_PER_RANGE = 10_000
 TURN = "struct<digest:binary,words:bigint>"
 
@@ -102,65 +105,98 @@ def endings(turns: DataFrame) -> DataFrame:
     return whole.withColumn("depth", F.size("words"))
 
 
-def _nodes(ended: DataFrame, deeper: DataFrame | None, depth: int) -> DataFrame:
-    """Nodes of one depth: what ends there, merged with the nodes one deeper less their last turn."""
-    here = ended.where(F.col("depth") == depth).select(
-        F.col("keys"), F.col("words"), "conv_id", "n_convs", F.lit(0).alias("n_children"), F.lit(0).alias("n_leaves"),
-        F.lit(0).alias("saved"), F.sha2(F.col("ends").cast("binary"), 256).alias("ends_sha256"),
+def _ending_rows(ended: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    return ended.select(
+        "keys", "words", "conv_id", "n_convs", zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved"),
+        F.sha2(F.col("ends").cast("binary"), 256).alias("ends_sha256"),
     )
-    if deeper is not None:
-        stripped = deeper.select(
-            F.slice("keys", 1, depth + 1).alias("keys"), F.slice("words", 1, depth).alias("words"), "conv_id", "n_convs",
-            F.lit(1).alias("n_children"), "n_leaves", F.col("saved_tokens").alias("saved"), F.lit(None).cast("string").alias("ends_sha256"),
-        )
-        here = here.union(stripped)
-    merged = here.groupBy("keys", "words").agg(
+
+
+def _stripped(nodes: DataFrame, depth: Column) -> DataFrame:
+    """Nodes one deeper than ``depth``, less their last turn."""
+    return nodes.select(
+        F.slice("keys", F.lit(1), depth + 1).alias("keys"), F.slice("words", F.lit(1), depth).alias("words"), "conv_id", "n_convs",
+        F.lit(1).cast("long").alias("n_children"), "n_leaves", F.col("saved_tokens").alias("saved"),
+        F.lit(None).cast("string").alias("ends_sha256"),
+    )
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """The nodes of one depth: the rows of that depth by key."""
+    merged = rows.groupBy("keys", "words").agg(
         F.min("conv_id").alias("conv_id"),
-        F.sum("n_convs").alias("n_convs"),
-        F.sum("n_children").alias("n_children"),
-        F.sum("n_leaves").alias("n_leaves"),
-        F.sum("saved").alias("saved"),
+        *(F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")),
         F.max("ends_sha256").alias("ends_sha256"),
     )
-    last = F.lit(0) if depth == 0 else F.element_at("words", depth)
+    last = F.when(F.size("words") > 0, F.element_at("words", -1)).otherwise(0)
     return merged.select(
-        F.lit(depth).alias("depth"), "keys", "words", "conv_id", "n_convs", "n_children",
-        F.greatest(F.col("n_leaves"), F.lit(1)).cast("long").alias("n_leaves"),
-        (F.col("saved") + (F.col("n_convs") - 1) * last).cast("long").alias("saved_tokens"), "ends_sha256",
+        "keys", "words", "conv_id", "n_convs", "n_children", F.greatest(F.col("n_leaves"), F.lit(1)).alias("n_leaves"),
+        (F.col("saved") + (F.col("n_convs") - 1) * last).alias("saved_tokens"), "ends_sha256",
+    )
+
+
+def _chain(alone: DataFrame, floor: int) -> DataFrame:
+    """The nodes above ``floor`` of rows that meet no other row there: nothing merges on the way."""
+    steps = alone.withColumn("depth", F.size("words")).withColumn("at", F.explode(F.sequence(F.col("depth"), F.lit(floor + 1))))
+    top = F.col("at") == F.col("depth")
+    words = F.aggregate(F.slice("words", F.col("at"), F.col("depth") - F.col("at") + 1), F.lit(0).cast("long"), lambda a, w: a + w)
+    return steps.select(
+        F.slice("keys", F.lit(1), F.col("at") + 1).alias("keys"), F.slice("words", F.lit(1), F.col("at")).alias("words"), "conv_id", "n_convs",
+        F.when(top, F.col("n_children")).otherwise(1).alias("n_children"), F.greatest(F.col("n_leaves"), F.lit(1)).alias("n_leaves"),
+        (F.col("saved") + (F.col("n_convs") - 1) * words).alias("saved_tokens"), F.when(top, F.col("ends_sha256")).alias("ends_sha256"),
     )
 
 
-def prefix_nodes(turns: DataFrame, levels_per_step: int = LEVELS_PER_STEP) -> DataFrame:
+def _peeled(rows: DataFrame, top: int, floor: int) -> tuple[list[DataFrame], DataFrame]:
+    """The nodes of depths floor + 1 to ``top``, and these stripped to the depth ``floor``."""
+    if top - floor == 1:
+        nodes = settled(_merged(rows), "trie-nodes")
+        return [nodes], _stripped(nodes, F.lit(floor))
+    if floor > 0:
+        rows = rows.withColumn("floor", F.element_at("keys", floor + 1))
+        shared = rows.groupBy("floor").count().where("count > 1").select("floor", F.lit(True).alias("shared"))
+        rows = settled(rows.join(shared, "floor", "left").drop("floor"), "trie-rows")
+        nodes = _chain(rows.where("shared IS NULL").drop("shared"), floor)
+        found, left = [nodes], _stripped(nodes.where(F.size("words") == floor + 1), F.lit(floor))
+        rows = rows.where("shared").drop("shared")
+        top = rows.agg(F.max(F.size("words"))).first()[0]
+        if top is None:
+            return found, left
+    else:
+        found, left = [], rows.limit(0)
+    middle = max((top + floor) // 2, floor)
+    if middle > floor:
+        upper, stripped = _peeled(rows.where(F.size("words") > middle), top, middle)
+        lower, rest = _peeled(rows.where(F.size("words") <= middle).union(stripped), middle, floor)
+        return found + upper + lower, left.union(rest)
+    nodes, rest = _peeled(rows, top, floor)
+    return found + nodes, left.union(rest)
+
+
+def prefix_nodes(turns: DataFrame) -> DataFrame:
     """depth, key, parent_key, conv_id (least member), n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 
     ``turns`` has conv_id and turns, as ``conversation_turns`` gives them, one row per
     conversation. ends_sha256 is null where no conversation ends.
     """
     ended = settled(endings(turns), "trie-endings")
-    top = ended.agg(F.max("depth")).first()[0]
-    steps, deeper = [], None
-    depth = -1 if top is None else top
-    while depth >= 0:
-        levels = []
-        for depth in range(depth, max(depth - levels_per_step, -1), -1):
-            deeper = _nodes(ended, deeper, depth)
-            levels.append(deeper)
-        step = settled(reduce(DataFrame.union, levels), "trie-step")
-        deeper = step.where(F.col("depth") == depth)
-        steps.append(step)
-        depth -= 1
-    empty = _nodes(ended.limit(0), None, 0)
-    return reduce(DataFrame.union, steps, empty).select(
-        "depth",
+    top = ended.agg(F.max("depth")).first()[0] or 0
+    rows, found = _ending_rows(ended), []
+    if top > 0:
+        found, stripped = _peeled(rows.where(F.size("words") > 0), top, 0)
+        rows = rows.where(F.size("words") == 0).union(stripped)
+    return reduce(DataFrame.union, found, _merged(rows)).select(
+        F.size("words").alias("depth"),
         F.element_at("keys", -1).alias("key"),
-        F.when(F.col("depth") > 0, F.element_at("keys", -2)).alias("parent_key"),
+        F.when(F.size("words") > 0, F.element_at("keys", -2)).alias("parent_key"),
         "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
     )
 
 
-def trie_table(turns: DataFrame, **options) -> DataFrame:
+def trie_table(turns: DataFrame) -> DataFrame:
     """The nodes with parent_conv_id, the least member of the parent, in place of keys."""
-    nodes = settled(prefix_nodes(turns, **options), "trie-nodes")
+    nodes = settled(prefix_nodes(turns), "trie-nodes")
     parents = nodes.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
     return nodes.join(parents, "parent_key", "left").select(
         "conv_id",

@@ -48,9 +48,9 @@ def plain_shared(table):
     return out
 
 
-def nodes(df, **options):
+def nodes(df):
     names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    return sorted((tuple(r) for r in prefix_trie.trie_table(df, **options).select(names).collect()), key=str)
+    return sorted((tuple(r) for r in prefix_trie.trie_table(df).select(names).collect()), key=str)
 
 
 SCHEMA = "conv_id long, turn long, role string, text string, key string, depth int"
@@ -73,8 +73,14 @@ def test_peeling_without_shared_heads(rows, table):
     own = {}
     for c, turn, role, text in sorted(table, key=lambda r: (r[1] is not None, r[1] or 0)):
         own.setdefault(c, []).append((role or "", text or ""))
-    for step in (3, 50):
-        assert nodes(df, levels_per_step=step) == plain_trie(own)
+    assert nodes(df) == plain_trie(own)
+
+
+def test_long_conversations_that_part_late(rows):
+    own = {c: [("user", f"x {t}") for t in range(90)] + [("user", f"own {c // 2} {t}") for t in range(c)] for c in range(6)}
+    own |= {10: own[0][:40], 11: own[0][:40] + [("user", "late")], 12: [("user", "alone")] * 200}
+    said = [(c, k, *turn, "", 0) for c, turns in own.items() for k, turn in enumerate(turns)]
+    assert nodes(prefix_trie.conversation_turns(rows(SCHEMA, *said))) == plain_trie(own)
 
 
 def test_shared_heads(rows, table):
