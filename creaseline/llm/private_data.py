@@ -37,7 +37,7 @@ from creaseline.sources.workspace import settled
 KINDS = ("email", "ip", "card", "phone")
 LOCAL_PART = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")  # possessive: a long run of digits is read once
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
