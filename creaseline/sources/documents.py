@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -59,10 +62,23 @@ def read_documents(
     source = folder if first is None else wanted
     if not keep_malformed:
         return with_source_path(reader.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(source))
-    bodies = with_source_path(reader.text(source, wholetext=multiline))
-    return bodies.select(lenient_json(F.col("value"), schema).alias("parsed"), "src_file_path").select(
-        "parsed.*", "src_file_path"
-    )
+    return parsed_texts(with_source_path(reader.text(source, wholetext=multiline)), schema)
+
+
+def parsed_texts(bodies: DataFrame, schema: StructType = MATCH_DOCUMENT) -> DataFrame:
+    """Document texts (column ``value``) parsed; the text of an unreadable or empty one is kept whole."""
+    parsed = bodies.select("value", lenient_json(F.col("value"), schema).alias("parsed"), "src_file_path")
+    unreadable = F.coalesce(F.col(f"parsed.{CORRUPT}"), F.when(F.col("parsed").isNull() | (F.trim("value") == ""), F.col("value")))
+    fields = [F.col(f"parsed.{name}").alias(name) for name in schema.fieldNames()]
+    return parsed.select(*fields, unreadable.alias(CORRUPT), "src_file_path")
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], schema: StructType = MATCH_DOCUMENT) -> DataFrame:
+    """The documents of the given files, one each, unreadable ones kept in a column of their own."""
+    if not paths:
+        return parsed_texts(spark.createDataFrame([], "value string, src_file_path string"), schema)
+    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
+    return parsed_texts(with_source_path(spark.read.text(literal, wholetext=True)), schema)
 
 
 def lenient_json(body: Column, schema: StructType) -> Column:

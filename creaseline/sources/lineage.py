@@ -8,8 +8,8 @@ from creaseline.functions.keys import base_name, record_hash
 
 
 def with_source_path(df: DataFrame) -> DataFrame:
-    """Tag each row of a file scan with the path of its file."""
-    return df.withColumn("src_file_path", F.col("_metadata.file_path"))
+    """Tag each row of a file scan with the path of its file, as it is written (the scan gives it as a URI)."""
+    return df.withColumn("src_file_path", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
 def with_lineage(df: DataFrame, payload: Column, path_col: str = "src_file_path") -> DataFrame:

@@ -1,21 +1,24 @@
-"""Layer tables: reading, writing, staged replacement, export."""
+"""Layer tables: reading, writing, replacement by versions, export."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from creaseline.sources import versions
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
-    """Scan a table by format name.
+    """Scan a table by format name, a versioned one in its latest version.
 
     Give the schema of partitioned tables: it keeps season labels text, which
     Spark would otherwise read from folder names as numbers.
     """
+    if versions.is_versioned(spark, path):
+        return versions.read_part(spark, path, fmt=fmt, schema=schema)
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(path)
 
@@ -54,6 +57,8 @@ def write_table(
     file and merge those that do not, so no season depends on a single task.
     With ``touched_partitions_only`` an overwrite leaves other partitions alone.
     """
+    if versions.is_versioned(df.sparkSession, path):
+        raise ValueError(f"{path} has versions; replace_table adds the next one")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt).partitionBy(*partition_by)
@@ -64,30 +69,16 @@ def write_table(
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
-    """Overwrite a table that ``df`` itself may read.
+    """Give a table new contents, which ``df`` may compute from the old ones.
 
-    The new rows go to a sibling folder. Only when they are complete does that
-    folder take the table's place; if the swap fails the old table is put back.
-    Frames built on the old files, ``df`` included, must be read anew afterwards.
+    The rows become the table's next version. Readers of the old version finish on it, new
+    ones see the new version, and a second writer that started from the same version fails.
+    A plain table becomes versioned by its first replacement; its old files stay beside it.
     """
     spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    target = jvm_path(path)
-    fresh, old = (jvm_path(target.getParent(), f"_{word}_{target.getName()}_{mark}") for word in ("new", "old"))
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    write_table(df, fresh.toString(), fmt, partition_by, mode="errorifexists")
-    existed = files.exists(target)
-    if existed and not files.rename(target, old):
-        raise OSError(f"could not set {path} aside; its replacement is at {fresh.toString()}")
-    if not files.rename(fresh, target):
-        if existed:
-            files.rename(old, target)
-        raise OSError(f"could not move the new table to {path}; it is at {fresh.toString()}")
-    if existed:
-        files.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    before = versions.latest(spark, path)
+    segment = versions.write_segment(df, path, fmt=fmt, partition_by=partition_by)
+    versions.commit(spark, path, {versions.ROWS: [segment]}, before)
     return path
 
 
