@@ -75,8 +75,6 @@ def parsed_texts(bodies: DataFrame, schema: StructType = MATCH_DOCUMENT) -> Data
 
 def read_files(spark: SparkSession, paths: Sequence[str], schema: StructType = MATCH_DOCUMENT) -> DataFrame:
     """The documents of the given files, one each, unreadable ones kept in a column of their own."""
-    if not paths:
-        return parsed_texts(spark.createDataFrame([], "value string, src_file_path string"), schema)
     literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
     return parsed_texts(with_source_path(spark.read.text(literal, wholetext=True)), schema)
 

@@ -80,14 +80,15 @@ def ingest(
     """Take the new and changed files of a folder into the store.
 
     ``layers`` has a function per part, from documents to rows with the column
-    ``src_file_name``. Files are known by their base name. The paths of the new files come to
+    ``src_file_name``. Files are known by their base name; Spark's scans do not list files
+    without a single byte, so they are as if absent. The paths of the new files come to
     the driver, where Spark's own scan lists them as well.
     """
     before = versions.latest(spark, store)
     known = manifest(spark, store, before)
     arrived = settled(arrivals(spark, folder, pattern, known), "arrived")
-    listed_files = [(row.path, row.file_size) for row in arrived.select("path", "file_size").toLocalIterator()]
-    if not listed_files:
+    paths = [row.path for row in arrived.select("path").toLocalIterator()]
+    if not paths:
         return Ingested(before)
     names = arrived.select(FILE_NAME).distinct()
     replaced = known.join(names, FILE_NAME, "left_semi").groupBy("segment").count().collect()  # one row per touched run
@@ -95,10 +96,9 @@ def ingest(
 
     seen = Observation()
     unreadable = F.col(CORRUPT).isNotNull()
-    parsed = read_files(spark, [path for path, size in listed_files if size]).observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(unreadable).alias("bad"))
+    parsed = read_files(spark, paths).observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(unreadable).alias("bad"))
     staged = settled(parsed, "parsed")
-    documents = len(listed_files)  # a scan gives no row for an empty file, which is no document either
-    bad = seen.get["bad"] + documents - seen.get["documents"]
+    documents, bad = seen.get["documents"], seen.get["bad"]
     if bad * 100 > limit_percent * documents:
         raise TooManyBadDocuments(f"{bad} of {documents} documents cannot be read; the limit is {limit_percent} percent")
 
@@ -107,8 +107,7 @@ def ingest(
     good = staged.where(~unreadable).drop(CORRUPT)
     name = base_name(F.col("src_file_path")).alias(FILE_NAME)
     new = {part: layer(good) for part, layer in layers.items()}
-    empty = arrived.where("file_size = 0").select(F.col("path").alias("src_file_path"), FILE_NAME, F.lit("").alias("record"))
-    new[QUARANTINE] = staged.where(unreadable).select("src_file_path", name, F.col(CORRUPT).alias("record")).union(empty)
+    new[QUARANTINE] = staged.where(unreadable).select("src_file_path", name, F.col(CORRUPT).alias("record"))
     new[FILES] = arrived.select(FILE_NAME, "file_size", "modified_time", F.current_timestamp().alias("ingested_ts"), F.lit(run).alias("segment"))
     parts = {}
     for part, rows in new.items():
@@ -122,4 +121,4 @@ def ingest(
             parts[part].append(versions.write_segment(rest, store, part, kept))
         parts[part].append(versions.write_segment(rows, store, part, run))
     version = versions.commit(spark, store, parts, before)
-    return Ingested(version, documents, sum(row["count"] for row in replaced), documents - bad, bad)
+    return Ingested(version, len(paths), sum(row["count"] for row in replaced), documents - bad, bad)
