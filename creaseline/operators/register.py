@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -108,27 +109,36 @@ def resolve_roles(
     keys: DataFrame,
     roles: Mapping[str, str],
     comparison: Callable[[Column], Column] = name_key,
-    settle: Callable[[DataFrame], DataFrame] = lambda names: names,
+    settle: Callable[[DataFrame], DataFrame] = lambda table: table,
 ) -> DataFrame:
     """Add an id column for each name column of ``roles``.
 
-    ``keys`` has columns (id, key). The names in use are taken once, over all
-    roles together; only these distinct names are brought to comparison form and
-    looked up, and the facts then join on the raw name. Pass a table writer as
-    ``settle`` to store that name table first: Spark then knows its size when it
-    plans the joins, and broadcasts it only below its own threshold.
+    ``keys`` has columns (id, key). The facts are shuffled once, whatever the number of
+    roles: the distinct combinations of names are resolved role by role, from the
+    distinct names brought to comparison form once, and the facts then join on their
+    combination. Combinations are found by an aggregate, which one name in a third of all
+    rows shortens, and are unique, so that the join can be split where one is frequent.
+    Rows without any name are dealt by their other columns and meet nothing. Pass a table
+    writer as ``settle`` to store names and combinations first: Spark then knows their size
+    when it plans the joins, and broadcasts them only below its own threshold.
 
     Target columns that exist already are replaced, so a second run changes
     nothing. With several ids per key every match is kept, which repeats the row.
     """
     facts = facts.drop(*roles.values())
-    columns = facts.columns
-    in_use = facts.select(F.explode(F.array(*roles)).alias("text")).where("text is not null").distinct()
+    columns, names = facts.columns, list(roles)
+    named = reduce(Column.__or__, (F.col(name).isNotNull() for name in names))
+    combined = settle(facts.where(named).select(*names).distinct())
+    in_use = combined.select(F.explode(F.array(*names)).alias("text")).where("text is not null").distinct()
     known = settle(in_use.withColumn("key", comparison(F.col("text"))).join(keys, "key").select("text", "id"))
     for name, target in roles.items():
         side = known.select(F.col("text").alias(name), F.col("id").alias(target))
-        facts = facts.join(side, name, "left")
-    return facts.select(*columns, *roles.values())
+        combined = combined.join(side, name, "left")
+    mark = F.xxhash64(*names)
+    combined = settle(combined.select(mark.alias("_mark"), *(F.col(c).alias(f"_{c}") for c in names), *roles.values()))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names))
+    marked = facts.withColumn("_own", F.when(named, mark).otherwise(F.xxhash64(*columns)))
+    return marked.join(combined, (F.col("_own") == F.col("_mark")) & same, "left").select(*columns, *roles.values())
 
 
 def team_names(matches: DataFrame, balls: DataFrame) -> DataFrame:

@@ -227,11 +227,6 @@ NATION_OVERRIDES = {"NATION_3": "NATION_4", "NATION_7": "NATION_8"}
 # ------------------------------------------------------------ documents
 
 
-def counted(n: Column) -> Column:
-    """1 to n; empty for n = 0."""
-    return F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
-
-
 def player(n: Column) -> Column:
     return F.concat(F.lit("P"), text(n % 200))
 
@@ -287,68 +282,6 @@ def document(k: Column, innings: Column) -> list[Column]:
     ]
 
 
-def match_documents(keys: DataFrame) -> DataFrame:
-    """A nested match document for every key of a one-column table, built from the key alone.
-
-    The documents include the awkward cases: no innings, no overs, no balls,
-    over without number, ball without extras, none, one or two wickets, a third
-    innings.
-    """
-    k = F.col(keys.columns[0]).cast("bigint")
-    home, away = sides_of(k)
-
-    def ball(at: Column) -> Column:
-        extras = F.when(at % 3 != 0, (at % 4 == 0).cast("bigint")).otherwise(0)
-        fielder = F.struct(player(at + 9).alias("name"), (at % 2 == 0).alias("substitute"))
-        wicket = F.struct(
-            player(at).alias("player_out"),
-            pick(at % 4, "bowled", "caught", "run out", "lbw").alias("kind"),
-            F.array(fielder).alias("fielders"),
-        )
-        second = F.struct(
-            player(at + 1).alias("player_out"), F.lit("run out").alias("kind"), F.array(fielder).alias("fielders")
-        )
-        return F.struct(
-            player(at).alias("batter"),
-            player(at + 1).alias("non_striker"),
-            player(at + 2).alias("bowler"),
-            F.struct(
-                (at % 7).alias("batter"), extras.alias("extras"), (at % 7 + extras).alias("total")
-            ).alias("runs"),
-            F.when(
-                at % 3 != 0,
-                F.struct(
-                    F.when(at % 8 == 0, extras).alias("byes"),
-                    F.lit(None).cast("bigint").alias("legbyes"),
-                    F.when(at % 8 == 4, extras).alias("wides"),
-                    F.lit(None).cast("bigint").alias("noballs"),
-                ),
-            ).alias("extras"),
-            F.when(at % 11 == 0, F.array(wicket))
-            .when(at % 11 == 1, F.array(wicket, second))
-            .when(at % 11 == 2, F.slice(F.array(wicket), 1, 0))
-            .alias("wickets"),
-        )
-
-    def over(i: Column, o: Column) -> Column:
-        first = k + i * 3 + o * 5 + 7
-        n_balls = (k + i + o) % 7
-        steps = F.when(n_balls > 0, F.sequence(first, first + (n_balls - 1) * 7, F.lit(7).cast("bigint")))
-        balls_here = F.transform(F.coalesce(steps, F.array().cast("array<bigint>")), ball)
-        number = F.when((k + i + o) % 5 != 0, (o * 2).cast("bigint"))
-        return F.struct(number.alias("over"), balls_here.alias("deliveries"))
-
-    def side(i: Column) -> Column:
-        overs_here = F.transform(counted((k + i) % 5), lambda o: over(i, o))
-        return F.struct(
-            F.when(i % 2 == 1, home).otherwise(away).alias("team"),
-            F.when((k + i) % 7 != 0, overs_here).alias("overs"),
-        )
-
-    innings = F.when(k % 11 != 0, F.transform(counted(k % 4), side))
-    return keys.select(*document(k, innings))
-
-
 def line_ball() -> Column:
     """A line as a ball of a document: extras where there are any; no, one or two wickets, or an empty list."""
     tax, number = F.rint(F.col("l_tax") * 100).cast("bigint"), F.col("l_linenumber").cast("bigint")
@@ -377,16 +310,15 @@ def line_ball() -> Column:
     )
 
 
-def line_innings(spark: SparkSession, folder: str) -> DataFrame:
-    """k, innings: the lines of each order, nested by side and over.
+def nested_innings(lines: DataFrame) -> DataFrame:
+    """k, innings: the lines of each key ``k``, nested by side and over.
 
-    Some innings have no overs, some overs no balls, and some matches no over numbers. An order has few
-    lines, so that no nested value is large.
+    Some innings have no overs, some overs no balls, and some matches no over numbers.
     """
     side = F.when(F.col("l_linestatus") == "F", 1).otherwise(2)
     over = ((F.col("l_quantity").cast("int") - 1) % 20).cast("bigint")
-    lines = table(spark, folder, "lineitem").select(  # several lines may have one number
-        F.col("l_orderkey").alias("k"), side.alias("side"), over.alias("over"),
+    lines = lines.select(  # several lines may have one number
+        "k", side.alias("side"), over.alias("over"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_returnflag", line_ball().alias("ball")).alias("entry"),
     )
 
@@ -406,12 +338,30 @@ def line_innings(spark: SparkSession, folder: str) -> DataFrame:
     return entries.groupBy("k").agg(gathered("entry", "batting").alias("innings"))
 
 
+def nested_documents(keys: DataFrame, lines: DataFrame) -> DataFrame:
+    """A document per key, its balls the key's lines; every eleventh has no innings."""
+    joined = keys.join(nested_innings(lines), "k", "left")
+    return joined.select("k", *document(F.col("k"), F.when(F.col("k") % 11 != 0, F.col("innings"))))
+
+
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """A document per order, its balls the order's lines; every eleventh has no innings."""
+    """A document per order. An order has few lines, so that no nested value is large."""
     keys = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"))
-    joined = keys.join(line_innings(spark, folder), "k", "left")
-    return joined.select(*document(F.col("k"), F.when(F.col("k") % 11 != 0, F.col("innings"))))
+    lines = table(spark, folder, "lineitem").withColumn("k", F.col("l_orderkey"))
+    return nested_documents(keys, lines).drop("k")
+
+
+def period_documents(spark: SparkSession, folder: str, days: int = 1) -> DataFrame:
+    """A document per period of so many days of orders, with the period's number as ``k``.
+
+    There are some 2,400 days, and a day has about as many lines as a match has balls at 600,000 lines.
+    """
+    day = F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    orders = table(spark, folder, "orders").select("o_orderkey", F.floor(day / days).cast("bigint").alias("k"))
+    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return nested_documents(orders.select("k").distinct(), lines)
 
 
-def supplier_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return match_documents(table(spark, folder, "supplier").select("s_suppkey"))
+def changed_documents(documents: DataFrame, shift: int = 5000) -> DataFrame:
+    """The same matches after a correction of their heads, which are those of a later key."""
+    return documents.withColumn("info", document_head(F.col("k") + shift))

@@ -154,41 +154,9 @@ keyed AS (
   SELECT *, substr(sha1(lower(season || '|' || team1 || '|' || team2 || '|' || venue || '|' || start_date)), 1, 16)
     AS match_id
   FROM headers),
-doc_innings AS (
-  SELECT *, CASE WHEN (k + i) % 7 <> 0 THEN (k + i) % 5 ELSE 0 END AS n_overs,
-    CASE WHEN i % 2 = 1 THEN team1 ELSE team2 END AS batting_team
-  FROM (SELECT *, unnest(CASE WHEN n_innings > 0 THEN range(1, n_innings + 1) ELSE [NULL] END) AS i FROM keyed)),
-doc_overs AS (
-  SELECT *, (k + i + o) % 7 AS n_balls,
-    CASE WHEN (k + i + o) % 5 <> 0 THEN o * 2 + 1 ELSE o END AS over_no
-  FROM (SELECT *, unnest(CASE WHEN n_overs > 0 THEN range(1, n_overs + 1) ELSE [NULL] END) AS o FROM doc_innings)),
-doc_at AS (
-  SELECT *, k + i * 3 + o * 5 + b * 7 AS n
-  FROM (SELECT *, unnest(CASE WHEN n_balls > 0 THEN range(1, n_balls + 1) ELSE [NULL] END) AS b FROM doc_overs)),
-doc_balls AS (
-  SELECT match_id, season, CAST(i AS INTEGER) AS inning_no, CAST(over_no AS INTEGER) AS over_no,
-    CAST(b AS INTEGER) AS ball_in_over,
-    CASE WHEN i IS NOT NULL THEN batting_team END AS batting_team,
-    CASE WHEN i IS NOT NULL AND batting_team = team1 THEN team2 ELSE team1 END AS bowling_team,
-    'P' || (n % 200) AS striker, 'P' || ((n + 1) % 200) AS non_striker, 'P' || ((n + 2) % 200) AS bowler,
-    CAST(n % 7 AS INTEGER) AS runs_batter,
-    CAST(CASE WHEN n % 3 <> 0 AND n % 4 = 0 THEN 1 WHEN n IS NOT NULL THEN 0 END AS INTEGER) AS runs_extras,
-    CAST(n % 7 + CASE WHEN n % 3 <> 0 AND n % 4 = 0 THEN 1 ELSE 0 END AS INTEGER) AS runs_total,
-    CAST(CASE WHEN n % 3 <> 0 AND n % 8 = 0 THEN 1 WHEN n IS NOT NULL THEN 0 END AS INTEGER) AS extra_byes,
-    CAST(CASE WHEN n IS NOT NULL THEN 0 END AS INTEGER) AS extra_legbyes,
-    CAST(CASE WHEN n % 3 <> 0 AND n % 8 = 4 THEN 1 WHEN n IS NOT NULL THEN 0 END AS INTEGER) AS extra_wides,
-    CAST(CASE WHEN n IS NOT NULL THEN 0 END AS INTEGER) AS extra_noballs,
-    coalesce(n % 11 < 2, FALSE) AS wicket_fell,
-    CASE WHEN n % 11 < 2 THEN 'P' || (n % 200) END AS wicket_player_out,
-    CASE WHEN n % 11 < 2 THEN CASE n % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out'
-      ELSE 'lbw' END END AS wicket_kind,
-    CASE WHEN n % 11 < 2 THEN 'P' || ((n + 9) % 200) END AS first_fielder,
-    k || '.json' AS src_file_name,
-    CASE WHEN b IS NOT NULL THEN match_id || printf('-%02d-%02d-%02d', i, over_no, b) END AS delivery_id
-  FROM doc_at)"""
-
+"""
 
-_HEADS, _, _REST = _DOCUMENTS.replace("{keys}", "SELECT o_orderkey AS k FROM orders").partition("doc_innings AS")
+_HEADS = _DOCUMENTS.replace("{keys}", "SELECT o_orderkey AS k FROM orders")
 ORDER_DOCUMENTS = """
 doc_lines AS (
   SELECT *, dense_rank() OVER (PARTITION BY k ORDER BY side) AS i,
@@ -225,7 +193,37 @@ doc_balls AS (
     CASE WHEN flag = 'R' THEN 'P' || (p % 200) END AS wicket_player_out,
     CASE WHEN flag = 'R' THEN CASE num % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out' ELSE 'lbw' END END AS wicket_kind,
     CASE WHEN flag = 'R' THEN 'P' || ((p + 9) % 200) END AS first_fielder,
+    CASE WHEN flag = 'R' THEN fielders END AS fielders, substr(sha1(CASE WHEN b IS NULL THEN '{}' ELSE record END), 1, 16) AS src_record_hash,
     k || '.json' AS src_file_name,
     CASE WHEN b IS NOT NULL THEN match_id || printf('-%02d-%02d-%02d', i, over_no, b) END AS delivery_id
-  FROM doc_numbered)"""
-SUPPLIER_DOCUMENTS = _DOCUMENTS.replace("{keys}", "SELECT s_suppkey AS k FROM supplier")
+  FROM (SELECT *, '{"batter":"P' || (p % 200) || '","non_striker":"P' || ((p + 1) % 200) || '","bowler":"S' || s || '","runs":{"batter":' || scored
+      || ',"extras":' || CAST(tax >= 5 AS INTEGER) || ',"total":' || (scored + CAST(tax >= 5 AS INTEGER)) || '}'
+      || CASE tax WHEN 5 THEN ',"extras":{"legbyes":1}' WHEN 6 THEN ',"extras":{"byes":1}' WHEN 7 THEN ',"extras":{"noballs":1}'
+        WHEN 8 THEN ',"extras":{"wides":1}' ELSE '' END
+      || CASE flag WHEN 'N' THEN ',"wickets":[]' WHEN 'R' THEN ',"wickets":[{"player_out":"P' || (p % 200) || '","kind":"'
+        || CASE num % 4 WHEN 0 THEN 'bowled' WHEN 1 THEN 'caught' WHEN 2 THEN 'run out' ELSE 'lbw' END || '","fielders":' || fielders || '}'
+        || CASE WHEN num % 4 = 3 THEN ',{"player_out":"P' || ((p + 1) % 200) || '","kind":"run out","fielders":' || fielders || '}' ELSE '' END || ']'
+        ELSE '' END || '}' AS record
+    FROM (SELECT *, '[{"name":"P' || ((p + 9) % 200) || '","substitute":' || CASE num % 2 WHEN 0 THEN 'true' ELSE 'false' END || '}]' AS fielders
+      FROM doc_numbered)))"""
+MATCH_RECORD = """'{"season":"' || replace(season, '-', '/') || '","match_type":"T20","gender":"' || CASE k % 2 WHEN 0 THEN 'male' ELSE 'female' END
+  || '","venue":"' || venue || '"' || CASE WHEN k % 6 <> 0 THEN ',"city":"City ' || (k % 50) || '"' ELSE '' END || ',"dates":["' || start_date
+  || CASE WHEN k % 2 = 1 THEN '","' || CAST(start_date + 1 AS DATE) ELSE '' END || '"],"teams":["' || team1 || '","' || team2
+  || '"],"toss":{"winner":"' || CASE WHEN k % 2 = 0 THEN team1 ELSE team2 END || '","decision":"'
+  || CASE k % 3 WHEN 0 THEN 'bat' WHEN 1 THEN 'field' ELSE 'bowl' END || '"},"outcome":{'
+  || CASE k % 3 WHEN 0 THEN '"winner":"' || team1 || '","by":{"runs":' || (1 + k % 90) || '}'
+    WHEN 1 THEN '"winner":"' || team2 || '","by":{"wickets":' || (1 + k % 10) || '}' ELSE '' END
+  || '},"player_of_match":[' || CASE WHEN k % 4 <> 0 THEN '"P' || (k % 200) || '"' ELSE '' END || '],"officials":{"umpires":["U' || (k % 40) || '"]}}'"""
+DAY = "CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS BIGINT)"
+WEEK = f"({DAY} // 7)"
+
+
+def period_documents(period: str) -> str:
+    return (
+        ORDER_DOCUMENTS.replace("SELECT o_orderkey AS k FROM orders", f"SELECT DISTINCT {period} AS k FROM orders")
+        .replace("SELECT l_orderkey AS k,", f"SELECT {period} AS k,")
+        .replace("FROM lineitem WHERE l_orderkey % 11 <> 0", f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {period} % 11 <> 0")
+    )
+
+
+DAILY_DOCUMENTS, WEEKLY_DOCUMENTS = period_documents(DAY), period_documents(WEEK)

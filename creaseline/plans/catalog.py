@@ -18,7 +18,7 @@ from creaseline.operators import (
 )
 from creaseline.plans import adapter
 from creaseline.plans.adapter import table
-from creaseline.sources import documents, lineage, schemas, tables
+from creaseline.sources import documents, ingest, lineage, schemas, tables, versions
 from creaseline.sources.workspace import fresh_path, settled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,17 +100,16 @@ def scan_json_nested(spark, folder):
 
 @query
 def scan_json_multiline(spark, folder):
-    """One indented document per file."""
+    """One indented document per file, a file per day of orders."""
     path = fresh_path(spark, "documents")
-    documents.write_document_files(adapter.supplier_documents(spark, folder), path)
+    documents.write_document_files(adapter.period_documents(spark, folder), path)
     return flatten.ball_rows(documents.read_documents(spark, path, "*.txt")).select(*BALL_COLUMNS)
 
 
 @query
 def scan_file_subset(spark, folder):
     path = fresh_path(spark, "documents")
-    with_key = adapter.supplier_documents(spark, folder).withColumn("doc", F.regexp_extract("src_file_path", r"(\d+)\.json$", 1))
-    documents.write_document_files(with_key, path, "doc")
+    documents.write_document_files(adapter.period_documents(spark, folder), path, "k")
     return documents.read_documents(spark, path, "*.txt", first=50).select(
         F.col("info.venue").alias("venue"), F.col("info.season").alias("season")
     )
@@ -199,6 +198,29 @@ def named_table_head(spark, folder):
     return explore.named_table(named, "silver.deliveries_sample")
 
 
+@query
+def named_tables(spark, folder):
+    """Rows of every table that can be asked for by name."""
+    named = {name: lambda build=build: build(spark, folder) for name, build in NAMED_TABLES.items()}
+    sizes = [tables.table_size(explore.named_table(named, name)).select(F.lit(name).alias("table"), "rows", "columns") for name in named]
+    return quality.combine(sizes)
+
+
+@query
+def sink_versions(spark, folder):
+    """A table replaced twice: a reader opened before, the version read by its number, and the table as it is."""
+    path = fresh_path(spark, "versioned")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    tables.replace_table(orders, path)
+    opened = tables.read_table(spark, path)
+    tables.replace_table(opened.where("o_orderstatus <> 'O'"), path)
+    tables.replace_table(tables.read_table(spark, path).where("o_orderstatus = 'F'"), path)
+    second = versions.read_part(spark, path, version=versions.read_version(spark, path, 2))
+    seen = {"opened before": opened, "second": second, "latest": tables.read_table(spark, path)}
+    counts = [F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys")]
+    return quality.combine([df.agg(*counts).withColumn("reader", F.lit(name)) for name, df in seen.items()])
+
+
 @query
 def export_csv_head(spark, folder):
     rows = batter_table(spark, folder).select("season", "striker_id", "player_name", "runs", "balls_faced", "outs")
@@ -248,10 +270,15 @@ BALL_COLUMNS = (
 )
 
 
+# The fielders as text, to compare across engines, and where a ball came from.
+BALL_LINEAGE = ("to_json(wicket_fielders) AS wicket_fielders", "src_file_path", "src_file_name", "src_record_hash")
+
+
 @query
 def bronze_matches(spark, folder):
+    """All but the nested officials, which are text, and the time of the run."""
     rows = flatten.match_rows(adapter.order_documents(spark, folder))
-    return rows.drop("officials", "src_ingest_ts", "src_record_hash")
+    return rows.withColumn("officials", F.to_json("officials")).drop("src_ingest_ts")
 
 
 @query
@@ -264,9 +291,7 @@ def bronze_officials(spark, folder):
 @query
 def bronze_deliveries(spark, folder):
     rows = flatten.ball_rows(adapter.order_documents(spark, folder))
-    return rows.select(
-        *BALL_COLUMNS, F.get("wicket_fielders", F.lit(0))["name"].alias("first_fielder"), "src_file_name"
-    )
+    return rows.selectExpr(*BALL_COLUMNS, "get(wicket_fielders, 0).name AS first_fielder", *BALL_LINEAGE)
 
 
 @query
@@ -354,7 +379,7 @@ SILVER_BALL_COLUMNS = tuple(c for c in BALL_COLUMNS if c != "delivery_id") + ("d
 @query
 def silver_deliveries(spark, folder):
     raw = flatten.ball_rows(adapter.order_documents(spark, folder))
-    return conform.silver_deliveries(raw).select(*SILVER_BALL_COLUMNS)
+    return conform.silver_deliveries(raw).selectExpr(*SILVER_BALL_COLUMNS, *BALL_LINEAGE)
 
 
 @query
@@ -368,7 +393,8 @@ def silver_matches_documents(spark, folder):
     """Documents to silver matches, batting order from their own balls."""
     docs = adapter.order_documents(spark, folder)
     rows = conform.silver_matches(flatten.match_rows(docs), flatten.ball_rows(docs))
-    return rows.select("match_id", "season", "match_start_dt", "match_end_dt", "first_batting_team", "second_batting_team")
+    lineage_columns = ("src_file_path", "src_file_name", "src_record_hash")
+    return rows.select("match_id", "season", "match_start_dt", "match_end_dt", "first_batting_team", "second_batting_team", *lineage_columns)
 
 
 # -------------------------------------------------- scalar functions
@@ -913,14 +939,9 @@ def innings_reconciliation(spark, folder):
 # ------------------------------- jobs the configuration only declares
 
 
-def supplier_files(spark: SparkSession, folder: str) -> str:
-    path = fresh_path(spark, "documents")
-    return documents.write_document_files(adapter.supplier_documents(spark, folder), path)
-
-
 @query
 def dq_file_coverage(spark, folder):
-    path = supplier_files(spark, folder)
+    path = documents.write_document_files(adapter.period_documents(spark, folder), fresh_path(spark, "documents"))
     balls = flatten.ball_rows(documents.read_documents(spark, path, "*.txt"))
     return quality.file_coverage(documents.list_files(spark, path, "*.txt"), balls)
 
@@ -928,12 +949,11 @@ def dq_file_coverage(spark, folder):
 @query
 def manifest_new_files(spark, folder):
     """Two deliveries of files: only those of the second are new to the manifest."""
-    suppliers = table(spark, folder, "supplier")
-    first, second = (suppliers.where(c).select("s_suppkey") for c in ("s_nationkey < 10", "s_nationkey >= 10"))
+    weekly = settled(adapter.period_documents(spark, folder, 7), "weekly")
     path = fresh_path(spark, "documents")
-    documents.write_document_files(adapter.match_documents(first), path)
+    documents.write_document_files(weekly.where("k < 150"), path)
     manifest = settled(documents.manifest_rows(documents.list_files(spark, path, "*.txt")))
-    documents.write_document_files(adapter.match_documents(second), path)
+    documents.write_document_files(weekly.where("k >= 150"), path)
     files = documents.list_files(spark, path, "*.txt")
     new = documents.new_files(files, manifest)
     return new.agg(F.count(F.lit(1)).alias("files")).select(F.lit("new").alias("state"), "files").union(
@@ -941,36 +961,65 @@ def manifest_new_files(spark, folder):
     )
 
 
+DOCUMENT_LAYERS = {"matches": lambda docs: flatten.match_rows(docs).drop("officials"), "deliveries": flatten.ball_rows}
+
+
+def week_of(path):
+    """Files of this view are known by the week in their folder's name."""
+    return F.regexp_extract(path, r"/k=(\d+)/", 1)
+
+
 @query
 def ingest_increment(spark, folder):
-    """Two deliveries of files, each taken in when it arrives: bronze rows and manifest grow by the new files only."""
-    suppliers = table(spark, folder, "supplier")
-    files, bronze, manifest = (fresh_path(spark, name) for name in ("documents", "bronze", "manifest"))
-    tables.write_table(
-        spark.createDataFrame([], "file_name string, file_size bigint, modified_time timestamp, ingested_ts timestamp"), manifest
-    )
-    for condition in ("s_nationkey < 10", "s_nationkey >= 10"):
-        documents.write_document_files(adapter.match_documents(suppliers.where(condition).select("s_suppkey")), files)
-        arrived, new = documents.read_new_documents(spark, files, tables.read_table(spark, manifest), "*.txt")
-        new = settled(new)
-        tables.write_table(flatten.match_rows(arrived).drop("officials"), bronze, mode="append")
-        tables.write_table(documents.manifest_rows(new), manifest, mode="append")
-    held = tables.read_table(spark, manifest).select("file_name").distinct()
-    rows = tables.read_table(spark, bronze)
-    return rows.join(held.withColumnRenamed("file_name", "src_file_name"), "src_file_name").select("match_id", "venue", "season")
+    """Two deliveries of files. The second brings new ones, and corrects a third of those taken in: their rows are replaced."""
+    weekly = settled(adapter.period_documents(spark, folder, 7), "weekly")
+    files, store = fresh_path(spark, "documents"), fresh_path(spark, "store")
+    documents.write_document_files(weekly.where("k % 3 <> 2"), files, "k")
+    ingest.ingest(spark, files, store, DOCUMENT_LAYERS, "*.txt", name=week_of)
+    documents.write_document_files(weekly.where("k % 3 = 2").union(adapter.changed_documents(weekly.where("k % 3 = 1"))), files, "k")
+    ingest.ingest(spark, files, store, DOCUMENT_LAYERS, "*.txt", name=week_of)
+    balls = versions.read_part(spark, store, "deliveries").groupBy("src_file_name", "match_id").agg(F.count("delivery_id").alias("balls"))
+    matches = versions.read_part(spark, store, "matches").select("src_file_name", "match_id", "venue", "season")
+    held = ingest.manifest(spark, store).select("src_file_name")
+    return held.join(matches, "src_file_name").join(balls, ["src_file_name", "match_id"]).drop("match_id")
+
+
+def write_broken(docs: DataFrame, every: int, path: str) -> DataFrame:
+    """One document per file, one in ``every`` cut short; the texts as they were written."""
+    whole = docs.select("k", F.to_json(F.struct("info", "innings"), {"pretty": "true"}).alias("body"))
+    texts = settled(whole.selectExpr("k", f"if(k % {every} = 0, left(body, length(body) - 2), body) AS value"), "texts")
+    texts.write.partitionBy("k").text(path)
+    return texts
 
 
 @query
 def quarantine_documents(spark, folder):
-    """One document per file, every seventh cut short: the unreadable ones are set apart, whole."""
-    path = fresh_path(spark, "documents")
-    docs = adapter.supplier_documents(spark, folder).select(F.to_json(F.struct("info", "innings"), {"pretty": "true"}).alias("body"), "info.venue")
-    broken = F.regexp_extract("venue", r"(\d+)$", 1).cast("int") % 7 == 0
-    texts = docs.select(F.when(broken, F.expr("left(body, length(body) - 2)")).otherwise(F.col("body")).alias("value"))
-    texts.write.option("maxRecordsPerFile", 1).text(path)
-    good, bad = quality.quarantine_split(documents.read_documents(spark, path, "*.txt", keep_malformed=True), documents.CORRUPT)
-    kept = good.select(F.lit("good").alias("state"), F.col("info.venue").alias("venue"), F.lit(None).cast("string").alias("opening"))
-    return kept.union(bad.select(F.lit("bad"), F.lit(None).cast("string"), F.trim(F.substring(documents.CORRUPT, 1, 1))))
+    """Some documents cannot be read: they are stored whole beside the match rows of the others."""
+    files, store = fresh_path(spark, "documents"), fresh_path(spark, "store")
+    texts = write_broken(adapter.period_documents(spark, folder, 7), 71, files)
+    ingest.ingest(spark, files, store, DOCUMENT_LAYERS, "*.txt", name=week_of)
+    good = versions.read_part(spark, store, "matches").select(F.lit("good").alias("state"), "src_file_name", "venue", F.lit(None).cast("boolean").alias("whole"))
+    written = texts.select(F.col("k").cast("string").alias("src_file_name"), "value")
+    bad = ingest.quarantined(spark, store).join(written, "src_file_name")
+    return good.union(bad.select(F.lit("bad"), "src_file_name", F.lit(None).cast("string"), F.col("record") == F.concat("value", F.lit("\n"))))
+
+
+@query
+def quarantine_gate(spark, folder):
+    """Two folders, with less and with more bad documents than the limit: the second leaves no version."""
+    weekly = settled(adapter.period_documents(spark, folder, 7), "weekly")
+    outcome = []
+    for every in (71, 31):
+        files, store = fresh_path(spark, "documents"), fresh_path(spark, "store")
+        write_broken(weekly, every, files)
+        try:
+            ingest.ingest(spark, files, store, DOCUMENT_LAYERS, "*.txt", name=week_of)
+        except ingest.TooManyBadDocuments:
+            pass
+        rows = versions.read_part(spark, store, "files", schema=ingest.MANIFEST).agg(F.count(F.lit(1)).alias("files"))
+        bad = ingest.quarantined(spark, store).agg(F.count(F.lit(1)).alias("bad"))
+        outcome.append(rows.join(bad).select(F.lit(every).alias("one_in"), "files", "bad"))
+    return quality.combine(outcome)
 
 
 def parsed_events(spark: SparkSession, folder: str) -> DataFrame:

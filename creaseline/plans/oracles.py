@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from creaseline.plans.adapter_sql import (
     BALLS,
+    DAILY_DOCUMENTS,
+    DAY,
     FLAWED_BALLS,
     LINE_BALLS,
+    MATCH_RECORD,
     MATCH_SIDES,
     MATCHES,
     NOISY_BALLS,
     ORDER_DOCUMENTS,
     REGISTER,
     SILVER_MATCHES,
-    SUPPLIER_DOCUMENTS,
+    WEEK,
+    WEEKLY_DOCUMENTS,
     name_key,
     noisy,
     plain_name_key,
@@ -173,12 +177,12 @@ def flat(array: str) -> str:
 # ------------------------------------------------- scans, sources, sinks
 
 ORACLES["scan_json_nested"] = ORDER_DOCS + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
-ORACLES["scan_json_multiline"] = with_views(SUPPLIER_DOCUMENTS) + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
-ORACLES["scan_file_subset"] = """
+ORACLES["scan_json_multiline"] = with_views(DAILY_DOCUMENTS) + f"SELECT {', '.join(BALL_COLUMNS)} FROM doc_balls"
+ORACLES["scan_file_subset"] = f"""
 SELECT 'Ground ' || k AS venue,
   CASE WHEN k % 5 = 0 THEN (2007 + k % 15) || '/' || lpad(CAST((2008 + k % 15) % 100 AS VARCHAR), 2, '0')
     ELSE CAST(2007 + k % 15 AS VARCHAR) END AS season
-FROM (SELECT s_suppkey AS k FROM supplier ORDER BY CAST(s_suppkey AS VARCHAR) LIMIT 50)"""
+FROM (SELECT DISTINCT {DAY} AS k FROM orders ORDER BY CAST(k AS VARCHAR) LIMIT 50)"""
 ORACLES["raw_profile"] = with_views(ORDER_DOCUMENTS) + """
 SELECT replace(season, '-', '/') AS season, venue, team1 || '|' || team2 AS teams,
   CASE WHEN k % 2 = 0 THEN CAST(start_date AS VARCHAR) ELSE start_date || '|' || CAST(start_date + 1 AS DATE) END AS dates,
@@ -201,6 +205,19 @@ ORACLES["scan_missing_as_empty"] = (
 )
 SAMPLE = "match_id, inning_no, over_no, ball_in_over, striker, bowler, runs_total, season"
 ORACLES["named_table_head"] = ALL_BALLS + f"SELECT {SAMPLE} FROM balls ORDER BY {SAMPLE} LIMIT 5000"
+ORACLES["named_tables"] = with_views(BALLS, SILVER_MATCHES, NOISY_BALLS, TEAM_NAMES, DIM_TEAM, BATTER, BOWLER, PHASES) + " UNION ALL ".join(
+    f'SELECT \'{name}\' AS "table", {count} AS "rows", CAST({width} AS INTEGER) AS "columns" FROM {view}'
+    for name, view, width, count in (
+        ("gold.batter_season", "batter", 12, "count(*)"), ("gold.bowler_season", "bowler", 11, "count(*)"),
+        ("gold.team_phase_season", "phases", 16, "count(*)"), ("gold.match_summary", "silver", 23, "count(*)"),
+        ("silver.matches", "silver", 22, "count(*)"), ("silver.dim_player", "supplier", 9, "count(*)"),
+        ("silver.dim_team", "dim_team", 4, "count(*)"), ("silver.deliveries_sample", "balls", 8, "least(count(*), 5000)"),
+    )
+)
+ORACLES["sink_versions"] = """
+SELECT 'opened before' AS reader, count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+UNION ALL SELECT 'second', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT 'latest', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus = 'F'"""
 ORACLES["export_csv_head"] = with_views(BALLS, BATTER) + (
     "SELECT season, striker_id, player_name, runs, balls_faced, outs FROM batter ORDER BY season, striker_id LIMIT 500"
 )
@@ -235,11 +252,13 @@ SELECT match_id, season, 'T20' AS match_type, CASE k % 2 WHEN 0 THEN 'male' ELSE
   CASE k % 3 WHEN 0 THEN 'runs' WHEN 1 THEN 'wickets' END AS result,
   CAST(CASE k % 3 WHEN 0 THEN 1 + k % 90 WHEN 1 THEN 1 + k % 10 END AS INTEGER) AS result_margin,
   CASE WHEN k % 4 <> 0 THEN 'P' || (k % 200) END AS player_of_match,
-  'file:/matches/' || k || '.json' AS src_file_path, k || '.json' AS src_file_name
+  'file:/matches/' || k || '.json' AS src_file_path, k || '.json' AS src_file_name,
+  substr(sha1(""" + MATCH_RECORD + """), 1, 16) AS src_record_hash, '{"umpires":["U' || (k % 40) || '"]}' AS officials
 FROM keyed"""
 ORACLES["bronze_officials"] = ORDER_DOCS + "SELECT match_id, 'U' || (k % 40) AS umpire FROM keyed"
+BALL_ORIGIN = "fielders AS wicket_fielders, 'file:/matches/' || src_file_name AS src_file_path, src_file_name, src_record_hash"
 ORACLES["bronze_deliveries"] = ORDER_DOCS + (
-    f"SELECT {', '.join(BALL_COLUMNS)}, first_fielder, src_file_name FROM doc_balls"
+    f"SELECT {', '.join(BALL_COLUMNS)}, first_fielder, {BALL_ORIGIN} FROM doc_balls"
 )
 ORACLES["flatten_ordinals"] = ORDER_DOCS + (
     'SELECT inning_no, over_no, ball_in_over, count(*) AS "rows" FROM doc_balls GROUP BY ALL'
@@ -275,7 +294,7 @@ SELECT event_id, substr(sha1(CASE WHEN event_type <> 'error' THEN '{"event_id":'
   || event_type || '","user_id":' || user_id || '}' ELSE '{}' END), 1, 16) AS record_hash
 FROM events"""
 ORACLES["silver_deliveries"] = ORDER_DOCS + (
-    f"SELECT {', '.join(SILVER_BALL_COLUMNS)} FROM doc_balls WHERE delivery_id IS NOT NULL"
+    f"SELECT {', '.join(SILVER_BALL_COLUMNS)}, {BALL_ORIGIN} FROM doc_balls WHERE delivery_id IS NOT NULL"
 )
 ORACLES["silver_matches"] = SILVER + """
 SELECT match_id, season, match_type, gender, venue, city, match_start_dt, match_end_dt, team1, team2, toss_winner,
@@ -285,7 +304,8 @@ ORACLES["silver_matches_documents"] = ORDER_DOCS + """
 SELECT match_id, season, start_date AS match_start_dt,
   CASE WHEN k % 2 = 1 THEN CAST(start_date + 1 AS DATE) END AS match_end_dt,
   CASE first_side WHEN 1 THEN team1 WHEN 2 THEN team2 END AS first_batting_team,
-  CASE WHEN n_innings = 2 THEN team2 END AS second_batting_team
+  CASE WHEN n_innings = 2 THEN team2 END AS second_batting_team, 'file:/matches/' || k || '.json' AS src_file_path,
+  k || '.json' AS src_file_name, substr(sha1(""" + MATCH_RECORD + """), 1, 16) AS src_record_hash
 FROM keyed"""
 
 # -------------------------------------------------- scalar functions
@@ -561,16 +581,24 @@ FROM innings"""
 
 # ------------------------------- jobs the configuration only declares
 
-ORACLES["dq_file_coverage"] = """
-SELECT count(*) AS files_read, count(*) AS files_in_table, 'PASS' AS status FROM supplier"""
-ORACLES["manifest_new_files"] = """
-SELECT 'new' AS state, count(*) FILTER (s_nationkey >= 10) AS files FROM supplier
-UNION ALL SELECT 'all', count(*) FROM supplier"""
-ORACLES["ingest_increment"] = with_views(SUPPLIER_DOCUMENTS) + "SELECT match_id, venue, season FROM keyed"
-ORACLES["quarantine_documents"] = """
-SELECT CASE WHEN s_suppkey % 7 = 0 THEN 'bad' ELSE 'good' END AS state, CASE WHEN s_suppkey % 7 <> 0 THEN 'Ground ' || s_suppkey END AS venue,
-  CASE WHEN s_suppkey % 7 = 0 THEN '{' END AS opening
-FROM supplier"""
+DAYS = f"WITH days AS (SELECT DISTINCT {DAY} AS k FROM orders)\n"
+ORACLES["dq_file_coverage"] = DAYS + "SELECT count(*) AS files_read, count(*) AS files_in_table, 'PASS' AS status FROM days"
+WEEKS = f"WITH weeks AS (SELECT DISTINCT {WEEK} AS k FROM orders)\n"
+ORACLES["manifest_new_files"] = WEEKS + """
+SELECT 'new' AS state, count(*) FILTER (k >= 150) AS files FROM weeks UNION ALL SELECT 'all', count(*) FROM weeks"""
+ORACLES["ingest_increment"] = with_views(WEEKLY_DOCUMENTS) + """
+SELECT CAST(k AS VARCHAR) AS src_file_name, 'Ground ' || n AS venue, coalesce(balls, 0) AS balls,
+  CASE WHEN n % 5 = 0 THEN (2007 + n % 15) || '-' || lpad(CAST((2008 + n % 15) % 100 AS VARCHAR), 2, '0')
+    ELSE CAST(2007 + n % 15 AS VARCHAR) END AS season
+FROM (SELECT k, CASE k % 3 WHEN 1 THEN k + 5000 ELSE k END AS n FROM docs)
+LEFT JOIN (SELECT k, count(b) AS balls FROM doc_rows GROUP BY k) USING (k)"""
+ORACLES["quarantine_documents"] = WEEKS + """
+SELECT CASE WHEN k % 71 = 0 THEN 'bad' ELSE 'good' END AS state, CAST(k AS VARCHAR) AS src_file_name,
+  CASE WHEN k % 71 <> 0 THEN 'Ground ' || k END AS venue, CASE WHEN k % 71 = 0 THEN TRUE END AS whole
+FROM weeks"""
+ORACLES["quarantine_gate"] = WEEKS + """
+SELECT CAST(71 AS INTEGER) AS one_in, count(*) AS files, count(*) FILTER (k % 71 = 0) AS bad FROM weeks
+UNION ALL SELECT CAST(31 AS INTEGER), CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
 ORACLES["quarantine_split"] = """
 SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE 'good' END AS state,
   CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,

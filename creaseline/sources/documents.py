@@ -93,11 +93,14 @@ def read_register(spark: SparkSession, path: str, schema: StructType) -> DataFra
 def write_document_files(documents: DataFrame, path: str, folder_key: str | None = None) -> str:
     """Write every document to a file of its own, indented over many lines.
 
-    With ``folder_key`` each file lies in a folder named after that column.
+    With ``folder_key`` each file lies in a folder named after that column, and replaces
+    what that folder held.
     """
     body = F.to_json(F.struct("info", "innings"), {"pretty": "true"}).alias("value")
+    documents = documents.repartition(documents.sparkSession.sparkContext.defaultParallelism)  # files take longer than rows
     if folder_key:
-        documents.select(body, folder_key).write.partitionBy(folder_key).text(path)
+        writer = documents.select(body, folder_key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(folder_key).text(path)
     else:
         documents.select(body).write.mode("append").option("maxRecordsPerFile", 1).text(path)
     return path

@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
 from creaseline.functions.keys import base_name
@@ -63,9 +63,9 @@ def quarantined(spark: SparkSession, store: str, version: versions.Version | Non
     return versions.read_part(spark, store, QUARANTINE, schema=BAD_DOCUMENTS, version=version)
 
 
-def arrivals(spark: SparkSession, folder: str, pattern: str, known: DataFrame) -> DataFrame:
+def arrivals(spark: SparkSession, folder: str, pattern: str, known: DataFrame, name: Callable[[Column], Column] = base_name) -> DataFrame:
     """Files of the folder that the manifest does not hold with the same name, size and change time."""
-    listed = list_files(spark, folder, pattern).withColumnRenamed("file_name", FILE_NAME)
+    listed = list_files(spark, folder, pattern).select(name(F.col("path")).alias(FILE_NAME), "path", "file_size", "modified_time")
     return listed.join(known, [FILE_NAME, "file_size", "modified_time"], "left_anti")
 
 
@@ -76,17 +76,19 @@ def ingest(
     layers: Mapping[str, Callable[[DataFrame], DataFrame]],
     pattern: str = "*.json",
     limit_percent: float = QUARANTINE_LIMIT_PERCENT,
+    name: Callable[[Column], Column] = base_name,
 ) -> Ingested:
     """Take the new and changed files of a folder into the store.
 
     ``layers`` has a function per part, from documents to rows with the column
-    ``src_file_name``. Files are known by their base name; Spark's scans do not list files
+    ``src_file_path``. Files are known by what ``name`` makes of their path, the base name by
+    default, which becomes ``src_file_name`` in every part. Spark's scans do not list files
     without a single byte, so they are as if absent. The paths of the new files come to
     the driver, where Spark's own scan lists them as well.
     """
     before = versions.latest(spark, store)
     known = manifest(spark, store, before)
-    arrived = settled(arrivals(spark, folder, pattern, known), "arrived")
+    arrived = settled(arrivals(spark, folder, pattern, known, name), "arrived")
     paths = [row.path for row in arrived.select("path").toLocalIterator()]
     if not paths:
         return Ingested(before)
@@ -105,9 +107,9 @@ def ingest(
     run = uuid.uuid4().hex
     kept = f"{run}-kept"
     good = staged.where(~unreadable).drop(CORRUPT)
-    name = base_name(F.col("src_file_path")).alias(FILE_NAME)
-    new = {part: layer(good) for part, layer in layers.items()}
-    new[QUARANTINE] = staged.where(unreadable).select("src_file_path", name, F.col(CORRUPT).alias("record"))
+    named = lambda rows: rows.withColumn(FILE_NAME, name(F.col("src_file_path")))
+    new = {part: named(layer(good)) for part, layer in layers.items()}
+    new[QUARANTINE] = named(staged.where(unreadable)).select("src_file_path", FILE_NAME, F.col(CORRUPT).alias("record"))
     new[FILES] = arrived.select(FILE_NAME, "file_size", "modified_time", F.current_timestamp().alias("ingested_ts"), F.lit(run).alias("segment"))
     parts = {}
     for part, rows in new.items():

@@ -127,3 +127,40 @@ def test_hot_key_keeps_every_row(spark, people, aliases):
         assert found.count() == n and found.where("bowler_id = 'p1'").count() == n // 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def exchanges_of(df):
+    """Exchanges below the facts' side of the last join, as the plan text has them."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_shuffled_once_for_all_roles(spark, rows, tmp_path):
+    from creaseline.sources.workspace import settled
+
+    facts = settled(rows("a string, b string, c string, other long", *((f"n{k % 5}", f"n{k % 3}", None, k) for k in range(50))), "facts")
+    keys = settled(rows("id string, key string", *((f"i{k}", f"n{k}") for k in range(4))), "keys")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = register.resolve_roles(facts, keys, {"a": "a_id", "b": "b_id", "c": "c_id"}, settle=settled)
+        plan = exchanges_of(found)
+        assert plan.count("Exchange hashpartitioning") == 2  # the facts and the combinations
+        assert sorted((r.other, r.a_id, r.b_id, r.c_id) for r in found.collect()) == sorted(
+            (k, f"i{k % 5}" if k % 5 < 4 else None, f"i{k % 3}", None) for k in range(50)
+        )
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_a_third_of_all_rows_under_one_name_or_none(rows):
+    many = [("hot", None, k) for k in range(3000)] + [(None, None, k) for k in range(3000)] + [(f"n{k % 7}", "hot", k) for k in range(3000)]
+    keys = rows("id string, key string", ("h", "hot"), ("x", "n1"), ("y", "n1"))
+    found = register.resolve_roles(rows("a string, b string, k long", *many), keys, {"a": "a_id", "b": "b_id"})
+    by = {}
+    for r in found.collect():
+        by[(r.a, r.b, r.a_id, r.b_id)] = by.get((r.a, r.b, r.a_id, r.b_id), 0) + 1
+    assert by[("hot", None, "h", None)] == 3000 and by[(None, None, None, None)] == 3000
+    assert by[("n1", "hot", "x", "h")] == by[("n1", "hot", "y", "h")] == sum(k % 7 == 1 for k in range(3000))
+    assert sum(n for (a, *_), n in by.items() if a not in ("hot", "n1", None)) == sum(k % 7 != 1 for k in range(3000))
