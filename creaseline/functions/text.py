@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
 
 # The characters Python's str.strip() and str.split() treat as blank, as a Java
 # regular expression class. It lists everything else, letters first, since that is decided fastest.
@@ -29,59 +28,61 @@ class NameRules:
     collapse_spaces: bool = True
 
 
-@cache
-def mark_stripper():
-    """The function from texts to texts without combining marks.
-
-    It is a local function over the standard library only, so executors receive it whole
-    and need not have this package. Every character is decomposed on its own, hence
-    runs of other than ASCII characters are taken out, folded and put back.
-    """
-    import re
-    import unicodedata
-
-    beyond_ascii = re.compile(r"[^\x00-\x7f]+")
+HANGUL = (0xAC00, 0xD7A3)
 
-    def strip_all(texts):
-        known = {}
 
-        def fold(found):
-            run = found.group()
-            if run not in known:
-                parts = unicodedata.normalize("NFKD", run)
-                known[run] = "".join(c for c in parts if unicodedata.combining(c) == 0)
-            return known[run]
-
-        return [None if text is None else beyond_ascii.sub(fold, text) for text in texts]
-
-    return strip_all
+def strip_marks(text: str) -> str:
+    """Compatibility decomposition without the combining marks, for a literal."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
 @cache
-def _strip_marks_batch():
-    strip_all = mark_stripper()
+def mark_tables() -> tuple[str, str, str, str]:
+    """What decomposition does to each character, from Python's Unicode data.
 
-    def batch(texts: pd.Series) -> pd.Series:
-        return texts.__class__(strip_all(texts), dtype=object)
-
-    # not evaluated a second time for a filter or a join on its result
-    return F.pandas_udf(batch, StringType()).asNondeterministic()
-
-
-def strip_marks(text: str) -> str:
-    """Compatibility decomposition without the combining marks, for a literal."""
-    return mark_stripper()([text])[0]
+    Characters with one character in their place, followed by marks, which go; what
+    stands in the place of the former; characters with several in their place; and these, parted
+    by zeros. Hangul syllables are left to arithmetic.
+    """
+    single, gone, several = {}, [], {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        if not HANGUL[0] <= code <= HANGUL[1]:
+            char = chr(code)
+            plain = strip_marks(char)
+            if not plain:
+                gone.append(char)
+            elif plain != char:
+                (single if len(plain) == 1 else several)[char] = plain
+    return "".join([*single, *gone]), "".join(single.values()), "".join(several), "\0".join(several.values())
+
+
+def _hangul(char: Column) -> Column:
+    """The two or three letters of a syllable; null for any other character."""
+    place = F.ascii(char) - HANGUL[0]
+    letters = lambda first, n: F.lit("".join(chr(first + k) for k in range(n)))
+    part = lambda text, at: F.substr(text, at.cast("int") + 1, F.lit(1))
+    lead, vowel = part(letters(0x1100, 19), F.floor(place / 588)), part(letters(0x1161, 21), F.floor(place % 588 / 28))
+    tail = F.when(place % 28 == 0, "").otherwise(part(letters(0x11A7, 28), place % 28))
+    return F.when(place.between(0, HANGUL[1] - HANGUL[0]), F.concat(lead, vowel, tail))
 
 
 def without_marks(col: Column) -> Column:
-    """Diacritics removed.
+    """Diacritics removed: compatibility decomposition, every character on its own, without combining marks.
 
-    Spark has no Unicode decomposition function, so this one step runs in Python.
-    Pure ASCII text cannot change under it: such rows send a null to the worker
-    and keep their own value.
+    Spark has no such function. It is a translation table made from Unicode data, of constant
+    size, which Spark applies by itself; only texts with characters that become several are
+    taken apart. ASCII text cannot change.
     """
-    is_ascii = F.octet_length(col) == F.char_length(col)
-    return F.when(is_ascii, col).otherwise(_strip_marks_batch()(F.when(~is_ascii, col)))
+    source, target, several, parts = mark_tables()
+
+    def expanded(char: Column) -> Column:
+        place = F.instr(F.lit(several), char) - 1
+        return F.coalesce(F.get(F.split(F.lit(parts), "\0"), place), _hangul(char), char)
+
+    char_class = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in several) + f"\\x{{{HANGUL[0]:x}}}-\\x{{{HANGUL[1]:x}}}]"
+    apart = F.array_join(F.transform(F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0)), expanded), "")
+    whole = F.when(col.rlike(char_class), apart).otherwise(col)
+    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(F.translate(whole, source, target))
 
 
 def strip_blank(col: Column) -> Column:

@@ -43,6 +43,11 @@ def batter_season(balls: DataFrame, dim_player: DataFrame | None = None) -> Data
         .groupBy("season", "striker_id")
         .agg(*appearances(), *totals("runs", "balls_faced", "fours", "sixes", "outs"))
     )
+    return batter_columns(record, dim_player)
+
+
+def batter_columns(record: DataFrame, dim_player: DataFrame | None) -> DataFrame:
+    """Name and rates of a batting record."""
     return with_name(record, dim_player, "striker_id", "player_id", "name", "player_name").select(
         "season", "striker_id", "player_name", "matches_played", "innings_batted",
         "runs", "balls_faced", "fours", "sixes", "outs",
@@ -63,6 +68,11 @@ def bowler_season(balls: DataFrame, dim_player: DataFrame | None = None) -> Data
             F.sum("wkts").alias("wkts"),
         )
     )
+    return bowler_columns(record, dim_player)
+
+
+def bowler_columns(record: DataFrame, dim_player: DataFrame | None) -> DataFrame:
+    """Name and rates of a bowling record."""
     bowled, conceded, wkts = (F.col(c) for c in ("balls_bowled", "runs_conceded", "wkts"))
     return with_name(record, dim_player, "bowler_id", "player_id", "name", "player_name").select(
         "season", "bowler_id", "player_name", "balls_bowled",
@@ -97,6 +107,11 @@ def team_phase_season(balls: DataFrame, dim_team: DataFrame | None = None) -> Da
         tally(legal()).alias("balls_bowled"),
         tally(credited_wicket()).alias("wkts_taken"),
     )
+    return phase_columns(pairings, dim_team)
+
+
+def phase_columns(pairings: DataFrame, dim_team: DataFrame | None) -> DataFrame:
+    """The record of each team from the sums of each pairing, with name and rates."""
 
     def role(team: str, kept: tuple[str, ...]) -> Column:
         unset = F.lit(None).cast("bigint")

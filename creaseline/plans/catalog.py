@@ -10,13 +10,14 @@ from creaseline.operators import (
     conform,
     explore,
     flatten,
+    partials,
     quality,
     register,
     rollups,
     sampling,
     season_tables,
 )
-from creaseline.plans import adapter
+from creaseline.plans import adapter, layers
 from creaseline.plans.adapter import table
 from creaseline.sources import documents, ingest, lineage, schemas, tables, versions
 from creaseline.sources.workspace import fresh_path, settled
@@ -685,6 +686,69 @@ def match_summary(spark, folder):
     return summary_table(spark, folder)
 
 
+@query
+def merged_batter_season(spark, folder):
+    """The gold tables once more, from the stored sums per over."""
+    return layers.batters(spark, folder)
+
+
+@query
+def merged_bowler_season(spark, folder):
+    return layers.bowlers(spark, folder)
+
+
+@query
+def merged_team_phase_season(spark, folder):
+    return layers.phases(spark, folder)
+
+
+@query
+def merged_match_summary(spark, folder):
+    return layers.summaries(spark, folder)
+
+
+def delivered(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The balls in two deliveries: the second has the odd matches of two seasons."""
+    second = F.col("season").isin(*SEASONS) & (F.col("match_id").cast("bigint") % 2 == 1)
+    balls = adapter.balls(spark, folder)
+    return balls.where(~second), balls.where(second)
+
+
+def season_refresh(spark: SparkSession, folder: str, sums: str, gold: str) -> DataFrame:
+    """Take in two deliveries; the second rewrites the gold rows of the seasons it touches, no others."""
+    names = layers.named_people(spark, folder)
+    touched = None
+    for delivery in delivered(spark, folder):
+        rows = settled(partials.over_sums(delivery), "delivery")
+        tables.write_table(rows, sums, partition_by=["season"], mode="append")
+        held = tables.read_table(spark, sums, schema=rows.schema)
+        if touched is not None:  # the seasons of one delivery: a few
+            touched = [row.season for row in rows.select("season").distinct().collect()]
+            held = held.where(F.col("season").isin(*touched))
+        record = partials.batter_season(held, names)
+        tables.write_table(record, gold, partition_by=["season"], touched_partitions_only=True)
+        touched = touched or []
+    return tables.read_table(spark, gold, schema=record.schema)
+
+
+@query
+def refreshed_batter_season(spark, folder):
+    return season_refresh(spark, folder, fresh_path(spark, "sums"), fresh_path(spark, "gold"))
+
+
+@query
+def matches_played_merged(spark, folder):
+    """Exact distinct counts merged from bitmaps of two deliveries that share matches."""
+    balls = adapter.season_balls(spark, folder).where("striker_id is not null").select("season", "striker_id", "match_id", "ball_in_over")
+    known, maps = None, []
+    for part in ("ball_in_over % 2 = 0", "ball_in_over % 2 = 1"):
+        rows = balls.where(part)
+        new = settled(partials.numbered(rows, "match_id", known), "match-numbers")
+        known = new if known is None else known.union(new)
+        maps.append(settled(partials.bitmaps(rows.join(known, "match_id"), "season", "striker_id"), "bitmaps"))
+    return partials.distinct_counts(maps[0].union(maps[1]), "season", "striker_id", name="matches_played")
+
+
 @query
 def innings_rollup(spark, folder):
     return innings_table(spark, folder).drop("src_ingest_ts")
@@ -721,6 +785,22 @@ def deliveries_per_match_stats(spark, folder):
     return rollups.spread(rollups.balls_per_match(adapter.line_balls(spark, folder)), "deliveries_count")
 
 
+@query
+def median_merged(spark, folder):
+    """The median of balls per match, merged from a sketch per season, against the exact ranks of that value."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"))
+    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    counts = settled(lines.groupBy("season", "l_orderkey").agg(F.count(F.lit(1)).alias("balls")), "balls-per-match")
+    found = partials.merged_quantile(settled(partials.sketches(counts, "balls", "season"), "sketches"), 0.5)
+    ranks = counts.join(F.broadcast(found)).agg(  # one row
+        F.max("rows").alias("matches"),
+        (F.count_if(F.col("balls") < F.col("value")) / F.count(F.lit(1))).alias("below"),
+        (F.count_if(F.col("balls") <= F.col("value")) / F.count(F.lit(1))).alias("upto"),
+    )
+    error = partials.SKETCH_ERROR
+    return ranks.select("matches", ((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).alias("within_bound"))
+
+
 @query
 def short_innings(spark, folder):
     return rollups.short_innings(innings_table(spark, folder)).select(
@@ -743,20 +823,20 @@ def shortest_innings(spark, folder):
 
 @query
 def season_totals(spark, folder):
-    runs = explore.season_total(batter_table(spark, folder), "runs")
-    wickets = explore.season_total(bowler_table(spark, folder), "wkts")
+    runs = explore.season_total(layers.batters(spark, folder), "runs")
+    wickets = explore.season_total(layers.bowlers(spark, folder), "wkts")
     return runs.join(wickets, "season", "full")
 
 
 @query
 def chase_summary(spark, folder):
-    return explore.chase_rate(summary_table(spark, folder))
+    return explore.chase_rate(layers.summaries(spark, folder))
 
 
 @query
 def overview_kpis(spark, folder):
     return explore.headline_figures(
-        adapter.bronze_matches(spark, folder), batter_table(spark, folder), bowler_table(spark, folder)
+        adapter.bronze_matches(spark, folder), layers.batters(spark, folder), layers.bowlers(spark, folder)
     )
 
 
@@ -767,7 +847,7 @@ def wins_by_team(spark, folder):
 
 @query
 def chase_outcomes(spark, folder):
-    rows = summary_table(spark, folder)
+    rows = layers.summaries(spark, folder)
     known = F.when(F.col("result_std").isNotNull(), F.col("chase_success"))
     return explore.chase_outcomes(rows.select(known.alias("chase_success")))
 
@@ -779,18 +859,18 @@ def topk_other(spark, folder):
 
 @query
 def team_phase_mean(spark, folder):
-    return explore.group_means(phase_table(spark, folder), ("team_name", "phase"), ("runs_scored",))
+    return explore.group_means(layers.phases(spark, folder), ("team_name", "phase"), ("runs_scored",))
 
 
 @query
 def team_rate_trend(spark, folder):
-    means = explore.group_means(phase_table(spark, folder), ("season", "team_name"), ("run_rate", "economy"))
+    means = explore.group_means(layers.phases(spark, folder), ("season", "team_name"), ("run_rate", "economy"))
     return means.withColumns({c: F.round(c, 6) for c in ("run_rate", "economy")})
 
 
 @query
 def player_comparison(spark, folder):
-    return explore.player_comparison(batter_table(spark, folder), bowler_table(spark, folder), PLAYERS)
+    return explore.player_comparison(layers.batters(spark, folder), layers.bowlers(spark, folder), PLAYERS)
 
 
 @query
@@ -806,7 +886,7 @@ def option_lists(spark, folder):
     return explore.option_lists(
         [
             (
-                silver_match_table(spark, folder),
+                layers.summaries(spark, folder),
                 {
                     "season": ["season"],
                     "team": ["team1", "team2", "winner", "first_batting_team", "second_batting_team"],
@@ -815,8 +895,8 @@ def option_lists(spark, folder):
                 },
             ),
             (named_teams, {"team": ["name_canonical"]}),
-            (batter_table(spark, folder), {"season": ["season"], "player": ["player_name"]}),
-            (bowler_table(spark, folder), {"season": ["season"], "player": ["player_name"]}),
+            (layers.batters(spark, folder), {"season": ["season"], "player": ["player_name"]}),
+            (layers.bowlers(spark, folder), {"season": ["season"], "player": ["player_name"]}),
         ]
     )
 
@@ -886,6 +966,33 @@ def dq_orphans(spark, folder):
     return quality.orphans(adapter.line_balls(spark, folder), decided, "match_id").select("match_id", "delivery_id", "striker")
 
 
+def bucketed_matches(spark: SparkSession, folder: str) -> DataFrame:
+    return layers.bucketed(spark, folder, "matches", adapter.bronze_matches)
+
+
+@query
+def bucketed_orphans(spark, folder):
+    """As dq_orphans, between tables in buckets by match: no shuffle."""
+    balls = layers.bucketed(spark, folder, "balls", lambda *a: adapter.line_balls(*a).drop("l_orderkey"))
+    decided = bucketed_matches(spark, folder).where(F.col("result").isNotNull())
+    return quality.orphans(balls, decided, "match_id").select("match_id", "delivery_id", "striker")
+
+
+@query
+def bucketed_team_sanity(spark, folder):
+    flawed = layers.bucketed(spark, folder, "flawed", adapter.flawed_balls)
+    rows = quality.team_sanity(flawed, bucketed_matches(spark, folder))
+    return rows.select("match_id", "inning_no", "ball_in_over", "batting_team", "bowling_team", "team1", "team2", "striker")
+
+
+@query
+def bucketed_match_scores(spark, folder):
+    """Every match with the totals of its balls: grouped and joined within buckets."""
+    balls = layers.bucketed(spark, folder, "balls", lambda *a: adapter.line_balls(*a).drop("l_orderkey"))
+    matches = bucketed_matches(spark, folder).select("match_id", "season", "team1", "team2")
+    return matches.join(rollups.innings_scores(balls), "match_id")
+
+
 @query
 def dq_sum_identity(spark, folder):
     return quality.rule_violations(adapter.flawed_balls(spark, folder), [quality.sum_identity()]).select(

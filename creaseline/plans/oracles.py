@@ -414,6 +414,13 @@ ORACLES["gold_batter_season_no_dim"] = with_views(BALLS, BATTER) + (
 ORACLES["gold_bowler_season"] = with_views(BALLS, BOWLER) + "SELECT * FROM bowler"
 ORACLES["gold_team_phase_season"] = with_views(BALLS, PHASES) + "SELECT * FROM phases"
 ORACLES["match_summary"] = with_views(BALLS, SILVER_MATCHES, SUMMARY) + "SELECT * FROM summary"
+for _gold in ("batter_season", "bowler_season", "team_phase_season"):
+    ORACLES[f"merged_{_gold}"] = ORACLES[f"gold_{_gold}"]
+ORACLES["merged_match_summary"] = ORACLES["match_summary"]
+ORACLES["refreshed_batter_season"] = ORACLES["gold_batter_season"]
+ORACLES["matches_played_merged"] = LINES.rstrip() + """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS season, striker_id, count(DISTINCT match_id) AS matches_played
+FROM line_balls JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
 ORACLES["innings_rollup"] = with_views(BALLS, INNINGS) + """
 SELECT *, CAST(balls_legal AS DOUBLE) / 6 AS overs, 'aggregate:bronze.deliveries' AS src_file_path,
   'aggregate:bronze.deliveries' AS src_file_name,
@@ -433,6 +440,7 @@ ORACLES["count_per_match"] = LINES + "SELECT match_id, count(*) AS deliveries_co
 ORACLES["deliveries_per_match_stats"] = """
 SELECT min(n) AS min, quantile_disc(n, 0.5) AS median, max(n) AS max, avg(n) AS avg
 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)"""
+ORACLES["median_merged"] = "SELECT count(DISTINCT l_orderkey) AS matches, TRUE AS within_bound FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 ORACLES["short_innings"] = with_views(BALLS, INNINGS) + """
 SELECT match_id, inning_no, batting_team, balls_legal FROM innings WHERE balls_legal < 120"""
 ORACLES["short_innings_by_season"] = with_views(BALLS, INNINGS) + """
@@ -535,6 +543,9 @@ ORACLES["dq_required"] = QUALITY + " UNION ALL ".join(
 ORACLES["dq_orphans"] = LINES + """
 SELECT match_id, delivery_id, striker FROM line_balls
 WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O'))"""
+ORACLES["bucketed_orphans"] = ORACLES["dq_orphans"]
+ORACLES["bucketed_match_scores"] = with_views(BALLS, MATCHES, SCORES) + """
+SELECT match_id, season, team1, team2, scores.* EXCLUDE (match_id) FROM matches JOIN scores USING (match_id)"""
 ORACLES["dq_sum_identity"] = FLAWED + """
 SELECT match_id, inning_no, over_no, ball_in_over, runs_batter, runs_extras, runs_total, striker FROM flawed
 WHERE coalesce(runs_total, 0) <> coalesce(runs_batter, 0) + coalesce(runs_extras, 0)"""
@@ -542,6 +553,7 @@ ORACLES["dq_team_sanity"] = QUALITY + """
 SELECT match_id, inning_no, ball_in_over, batting_team, bowling_team, team1, team2, striker
 FROM flawed LEFT JOIN (SELECT match_id, team1, team2 FROM matches) USING (match_id)
 WHERE bowling_team = batting_team OR NOT (bowling_team = team1 OR bowling_team = team2)"""
+ORACLES["bucketed_team_sanity"] = ORACLES["dq_team_sanity"]
 _RANGES = {"over_no": (1, 50), "ball_in_over": (1, 10), "runs_batter": (0, 7), "runs_extras": (0, 7), "runs_total": (0, 10)}
 ORACLES["dq_ranges"] = QUALITY + " UNION ALL ".join(
     [rule_line(f"{c} between {a} and {b}", f"{c} NOT BETWEEN {a} AND {b}", "flawed") for c, (a, b) in _RANGES.items()]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creaseline.functions import keys, metrics, parsing, text
+from creaseline.functions import text as text_fn
 from creaseline.functions.text import NameRules, name_key, plain_name_key, season_label
 
 
@@ -147,3 +148,20 @@ def test_ball_rules(rows):
     assert column(df, metrics.legal()) == [True, False, False, None]
     assert column(df, metrics.credited_wicket()) == [True, False, False, None]
     assert df.agg(metrics.tally(metrics.legal())).first()[0] == 1
+
+
+def test_marks_are_removed_from_every_character(spark):
+    """All code points there are, in runs, against Python's decomposition."""
+    import unicodedata
+
+    codes = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x110000))]
+    runs = ["".join(codes[k : k + 300]) for k in range(0, len(codes), 300)]
+    plain = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    df = spark.createDataFrame(list(enumerate(runs)), "n int, s string").repartition(8)
+    found = {r.n: r.k for r in df.select("n", text_fn.without_marks(F.col("s")).alias("k")).collect()}
+    assert [n for n, run in enumerate(runs) if found[n] != plain(run)] == []
+
+
+def test_names_are_compared_without_python(rows):
+    df = rows("s string", ("é",))
+    assert "Python" not in df.select(name_key(F.col("s")))._jdf.queryExecution().executedPlan().toString()

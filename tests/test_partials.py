@@ -1,0 +1,134 @@
+"""Sums that merge, stored layers, buckets, and refreshes of single seasons."""
+
+import glob
+import os
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from creaseline.operators import partials, rollups, season_tables
+from creaseline.plans import adapter, catalog, layers
+from creaseline.sources import tables
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables not present")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def content(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+@pytest.fixture(scope="module")
+def balls(spark):
+    """Balls with unknown players, sides and seasons among them."""
+    some = adapter.balls(spark, FOLDER)
+    number = F.xxhash64("delivery_id") % 11
+    return some.withColumns(
+        {
+            "striker_id": F.when(number != 1, F.col("striker_id")),
+            "bowler_id": F.when(number != 2, F.col("bowler_id")),
+            "batting_team_id": F.when(number != 3, F.col("batting_team_id")),
+            "season": F.when(number != 4, F.col("season")),
+            "over_no": F.when(number != 5, F.col("over_no")),
+        }
+    ).cache()
+
+
+PAIRS = [
+    (partials.batter_season, season_tables.batter_season),
+    (partials.bowler_season, season_tables.bowler_season),
+    (partials.team_phase_season, season_tables.team_phase_season),
+    (partials.order_and_scores, rollups.order_and_scores),
+]
+
+
+@pytest.mark.parametrize("merged, direct", PAIRS)
+def test_merged_tables_equal_those_from_the_balls(balls, merged, direct):
+    halves = [balls.where(c) for c in ("ball_in_over < 3", "ball_in_over >= 3")]
+    sums = partials.over_sums(halves[0]).union(partials.over_sums(halves[1]))
+    assert content(merged(sums)) == content(direct(balls))
+
+
+def test_no_balls(balls):
+    assert partials.batter_season(partials.over_sums(balls.limit(0))).count() == 0
+
+
+def test_a_layer_is_built_once_and_anew_for_new_contents(spark, tmp_path):
+    folder = tmp_path / "data"
+    folder.mkdir()
+    (folder / "x").write_text("1")
+    built = []
+
+    def store():
+        built.append(1)
+        return spark.range(len(built))
+
+    assert layers.stored(spark, str(folder), "n", store).count() == 1
+    assert layers.stored(spark, str(folder), "n", store).count() == 1
+    (folder / "x").write_text("22")
+    assert layers.stored(spark, str(folder), "n", store).count() == 2
+
+
+@pytest.mark.parametrize("name", ["season_totals", "overview_kpis", "player_comparison", "option_lists", "chase_summary", "team_rate_trend"])
+def test_summaries_read_stored_tables_only(spark, name):
+    assert "lineitem" not in plan(catalog.QUERIES[name](spark, FOLDER))
+
+
+@pytest.mark.parametrize("name", ["bucketed_orphans", "bucketed_team_sanity", "bucketed_match_scores"])
+def test_tables_in_buckets_join_without_a_shuffle(spark, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in plan(catalog.QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_refresh_leaves_other_seasons_alone(spark, tmp_path, monkeypatch):
+    sums, gold = str(tmp_path / "sums"), str(tmp_path / "gold")
+    written = []
+    write = tables.write_table
+
+    def watched(df, path, **options):
+        write(df, path, **options)
+        if path == gold:
+            written.append({f: os.stat(f).st_mtime_ns for f in glob.glob(f"{gold}/season=*/*.parquet")})
+        return path
+
+    monkeypatch.setattr(tables, "write_table", watched)
+    refreshed = catalog.season_refresh(spark, FOLDER, sums, gold)
+    first, second = written
+    season = lambda f: f.split("season=")[1].split("/")[0]
+    changed = {season(f) for f in first if second.get(f) != first[f]}
+    assert changed == set(catalog.SEASONS)
+    assert len({season(f) for f in first}) > len(changed)
+    assert content(refreshed) == content(catalog.batter_table(spark, FOLDER))
+
+
+def test_distinct_counts_merge(spark, rows):
+    first = [("a", f"m{k}") for k in range(40)] + [("b", "m1"), (None, "m2"), ("c", None)]
+    second = [("a", f"m{k}") for k in range(20, 70)] + [("b", "m1"), ("d", "new")]
+    known, maps = None, []
+    for part in (first, second):
+        table = rows("who string, match string", *part).repartition(3)
+        new = spark.createDataFrame(partials.numbered(table, "match", known).collect(), "match string, number long")
+        known = new if known is None else known.union(new)
+        maps.append(partials.bitmaps(table.join(known, "match"), "who"))
+    numbers = [r.number for r in known.collect()]
+    assert len(set(numbers)) == len(numbers) == 71
+    counts = {r.who: r.n for r in partials.distinct_counts(maps[0].union(maps[1]), "who", name="n").collect()}
+    assert counts == {"a": 70, "b": 1, None: 1, "d": 1}
+
+
+def test_medians_merge_within_their_bound(spark):
+    values = spark.range(50_000).select((F.pmod(F.xxhash64("id"), F.lit(100_000))).alias("x"), (F.col("id") % 7).alias("part"))
+    sketches = partials.sketches(values, "x", "part")
+    found = partials.merged_quantile(sketches, 0.5).first()
+    assert found.rows == 50_000
+    share = values.where(F.col("x") <= found.value).count() / 50_000
+    assert abs(share - 0.5) <= partials.SKETCH_ERROR
