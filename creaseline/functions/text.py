@@ -29,6 +29,7 @@ class NameRules:
 
 
 HANGUL = (0xAC00, 0xD7A3)
+SEVERAL = "\1"  # stands for characters that become several; a text that has it is taken apart as well
 
 
 def strip_marks(text: str) -> str:
@@ -40,9 +41,9 @@ def strip_marks(text: str) -> str:
 def mark_tables() -> tuple[str, str, str, str]:
     """What decomposition does to each character, from Python's Unicode data.
 
-    Characters with one character in their place, followed by marks, which go; what
-    stands in the place of the former; characters with several in their place; and these, parted
-    by zeros. Hangul syllables are left to arithmetic.
+    Characters with one character in their place, then those with several, then marks, which go; what
+    stands in the place of the former, a mark for several; characters with several in their place; and
+    these, parted by zeros. Hangul syllables are left to arithmetic.
     """
     single, gone, several = {}, [], {}
     for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
@@ -53,7 +54,8 @@ def mark_tables() -> tuple[str, str, str, str]:
                 gone.append(char)
             elif plain != char:
                 (single if len(plain) == 1 else several)[char] = plain
-    return "".join([*single, *gone]), "".join(single.values()), "".join(several), "\0".join(several.values())
+    target = "".join(single.values()) + SEVERAL * len(several)
+    return "".join([*single, *several, *gone]), target, "".join(several), "\0".join(several.values())
 
 
 def _hangul(char: Column) -> Column:
@@ -79,10 +81,11 @@ def without_marks(col: Column) -> Column:
         place = F.instr(F.lit(several), char) - 1
         return F.coalesce(F.get(F.split(F.lit(parts), "\0"), place), _hangul(char), char)
 
-    char_class = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in several) + f"\\x{{{HANGUL[0]:x}}}-\\x{{{HANGUL[1]:x}}}]"
+    quick = F.translate(col, source, target)
     apart = F.array_join(F.transform(F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0)), expanded), "")
-    whole = F.when(col.rlike(char_class), apart).otherwise(col)
-    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(F.translate(whole, source, target))
+    special = (F.instr(quick, SEVERAL) > 0) | col.rlike(f"[\\x{{{HANGUL[0]:x}}}-\\x{{{HANGUL[1]:x}}}]")
+    plain = F.octet_length(col) == F.char_length(col)
+    return F.when(plain, col).when(special, F.translate(apart, source, target)).otherwise(quick)
 
 
 def strip_blank(col: Column) -> Column:

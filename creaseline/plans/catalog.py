@@ -78,16 +78,6 @@ def innings_table(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.innings_rollup(adapter.balls(spark, folder))
 
 
-def team_dimension(spark: SparkSession, folder: str, matches: DataFrame | None = None) -> DataFrame:
-    return register.dim_team(all_team_names(spark, folder, matches), adapter.NATION_OVERRIDES)
-
-
-def all_team_names(spark: SparkSession, folder: str, matches: DataFrame | None = None) -> DataFrame:
-    if matches is None:
-        matches = silver_match_table(spark, folder)
-    return register.team_names(matches, adapter.noisy_balls(spark, folder))
-
-
 # ------------------------------------------------- scans, sources, sinks
 
 
@@ -185,7 +175,7 @@ NAMED_TABLES = {
     "gold.match_summary": summary_table,
     "silver.matches": silver_match_table,
     "silver.dim_player": player_dimension,
-    "silver.dim_team": team_dimension,
+    "silver.dim_team": layers.teams,
     "silver.deliveries_sample": lambda spark, folder: explore.preview(
         adapter.season_balls(spark, folder).select(*SAMPLE_COLUMNS), 5000, *SAMPLE_COLUMNS
     ),
@@ -581,7 +571,7 @@ def dim_player(spark, folder):
 
 @query
 def dim_team(spark, folder):
-    dim = team_dimension(spark, folder)
+    dim = layers.teams(spark, folder)
     return dim.withColumn("aliases_norm", joined("aliases_norm"))
 
 
@@ -592,12 +582,12 @@ def alias_keys(spark, folder):
 
 @query
 def team_alias_keys(spark, folder):
-    return register.team_alias_keys(team_dimension(spark, folder))
+    return register.team_alias_keys(layers.teams(spark, folder))
 
 
 @query
 def team_name_universe(spark, folder):
-    return all_team_names(spark, folder)
+    return layers.team_names(spark, folder)
 
 
 def player_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -627,15 +617,15 @@ def resolve_players_fan_out(spark, folder):
 
 @query
 def resolve_teams_deliveries(spark, folder):
-    keys = register.team_alias_keys(team_dimension(spark, folder)).withColumnRenamed("team_id", "id")
+    keys = register.team_alias_keys(layers.teams(spark, folder)).withColumnRenamed("team_id", "id")
     rows = adapter.noisy_balls(spark, folder).select("delivery_id", "striker", "batting_team", "bowling_team")
     return register.resolve_roles(rows, keys, register.BALL_TEAM_ROLES, settle=settled)
 
 
 @query
 def resolve_teams_matches(spark, folder):
-    rows = settled(silver_match_table(spark, folder).select("match_id", *register.MATCH_TEAM_COLUMNS))
-    keys = register.team_alias_keys(team_dimension(spark, folder, rows)).withColumnRenamed("team_id", "id")
+    rows = layers.silver_matches(spark, folder).select("match_id", *register.MATCH_TEAM_COLUMNS)
+    keys = register.team_alias_keys(layers.teams(spark, folder)).withColumnRenamed("team_id", "id")
     return register.resolve_roles(rows, keys, register.MATCH_TEAM_ROLES, settle=settled)
 
 
@@ -707,6 +697,22 @@ def merged_match_summary(spark, folder):
     return layers.summaries(spark, folder)
 
 
+@query
+def chain_batter_season(spark, folder):
+    """From raw files to gold: documents, bronze and silver balls, ids resolved by name, sums per over."""
+    return partials.batter_season(layers.chain_sums(spark, folder), layers.named_people(spark, folder))
+
+
+@query
+def chain_bowler_season(spark, folder):
+    return partials.bowler_season(layers.chain_sums(spark, folder), layers.named_people(spark, folder))
+
+
+@query
+def chain_team_phase_season(spark, folder):
+    return partials.team_phase_season(layers.chain_sums(spark, folder), layers.chain_teams(spark, folder))
+
+
 def delivered(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The balls in two deliveries: the second has the odd matches of two seasons."""
     second = F.col("season").isin(*SEASONS) & (F.col("match_id").cast("bigint") % 2 == 1)

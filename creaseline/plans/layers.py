@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creaseline.operators import conform, partials, register, season_tables
+from creaseline.operators import conform, flatten, partials, register, season_tables
 from creaseline.plans import adapter
-from creaseline.sources import tables
+from creaseline.sources import documents, tables
 from creaseline.sources.workspace import fresh_path, settled
 
 _STORED: dict[tuple, DataFrame] = {}
@@ -59,15 +59,64 @@ def phases(spark: SparkSession, folder: str) -> DataFrame:
     return stored(spark, folder, "phases", lambda: settled(build(), "phases"))
 
 
+def silver_matches(spark: SparkSession, folder: str) -> DataFrame:
+    build = lambda: conform.silver_matches(adapter.bronze_matches(spark, folder), order=partials.order_and_scores(over_sums(spark, folder)))
+    return stored(spark, folder, "silver matches", lambda: settled(build(), "silver-matches"))
+
+
 def summaries(spark: SparkSession, folder: str) -> DataFrame:
     """Match summary; in this view a team's id is its name."""
+    ids = {target: F.col(name) for name, target in register.MATCH_TEAM_ROLES.items()}
+    build = lambda: season_tables.match_summary(silver_matches(spark, folder).withColumns(ids))
+    return stored(spark, folder, "summaries", lambda: settled(build(), "summaries"))
 
-    def build():
-        matches = conform.silver_matches(adapter.bronze_matches(spark, folder), order=partials.order_and_scores(over_sums(spark, folder)))
-        ids = {target: F.col(name) for name, target in register.MATCH_TEAM_ROLES.items()}
-        return season_tables.match_summary(matches.withColumns(ids))
 
-    return stored(spark, folder, "summaries", lambda: settled(build(), "summaries"))
+def team_names(spark: SparkSession, folder: str) -> DataFrame:
+    build = lambda: register.team_names(silver_matches(spark, folder), adapter.noisy_balls(spark, folder))
+    return stored(spark, folder, "team names", lambda: settled(build(), "team-names"))
+
+
+def teams(spark: SparkSession, folder: str) -> DataFrame:
+    build = lambda: register.dim_team(team_names(spark, folder), adapter.NATION_OVERRIDES)
+    return stored(spark, folder, "teams", lambda: settled(build(), "teams"))
+
+
+# ------------------------------------------------------ from raw files to gold
+
+
+def chain_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """A document per order, as files of JSON lines."""
+
+    def store():
+        path = fresh_path(spark, "raw")
+        adapter.order_documents(spark, folder).select("info", "innings").write.json(path)
+        return documents.read_documents(spark, path, multiline=False)
+
+    return stored(spark, folder, "chain documents", store)
+
+
+def chain_teams(spark: SparkSession, folder: str) -> DataFrame:
+    """The teams of the documents, from their own match and ball rows."""
+    docs = chain_documents(spark, folder)
+    balls = flatten.ball_rows(docs)
+    names = lambda: register.team_names(conform.silver_matches(flatten.match_rows(docs), balls), balls)
+    return stored(spark, folder, "chain teams", lambda: settled(register.dim_team(names(), adapter.NATION_OVERRIDES), "chain-teams"))
+
+
+def chain_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw documents to bronze and silver balls, players and teams resolved by name, summed per over."""
+
+    def build():
+        balls = settled(conform.silver_deliveries(flatten.ball_rows(chain_documents(spark, folder))), "chain-silver")
+        people = adapter.people(spark, folder)
+        short = people.select("identifier", F.concat(F.lit("S"), "identifier").alias("name"))  # as the documents name bowlers
+        aliases = adapter.people_aliases(spark, folder).union(short)
+        players = register.one_id_per_key(register.register_keys(people, aliases))
+        keys = register.team_alias_keys(chain_teams(spark, folder)).withColumnRenamed("team_id", "id")
+        balls = register.resolve_roles(balls, players, register.BALL_PLAYER_ROLES, settle=settled)
+        return partials.over_sums(register.resolve_roles(balls, keys, register.BALL_TEAM_ROLES, settle=settled))
+
+    return stored(spark, folder, "chain sums", lambda: settled(build(), "chain-sums"))
 
 
 def bucketed(spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:

@@ -417,6 +417,19 @@ ORACLES["match_summary"] = with_views(BALLS, SILVER_MATCHES, SUMMARY) + "SELECT
 for _gold in ("batter_season", "bowler_season", "team_phase_season"):
     ORACLES[f"merged_{_gold}"] = ORACLES[f"gold_{_gold}"]
 ORACLES["merged_match_summary"] = ORACLES["match_summary"]
+CHAIN = with_views(
+    ORDER_DOCUMENTS, REGISTER.replace("THEN 'Guest' END]", "THEN 'Guest' END, 'S' || s_suppkey]"), KEYS, "team_names AS (SELECT DISTINCT unnest([team1, team2]) AS team FROM keyed)", DIM_TEAM,
+    f"""balls AS (
+  SELECT d.*, s.id AS striker_id, w.id AS bowler_id, t.team_id AS batting_team_id, o.team_id AS bowling_team_id
+  FROM doc_balls d LEFT JOIN one_id s ON s.key = {name_key("striker")} LEFT JOIN one_id w ON w.key = {name_key("bowler")}
+    LEFT JOIN team_keys t ON t.key = {name_key("batting_team")} LEFT JOIN team_keys o ON o.key = {name_key("bowling_team")}
+  WHERE delivery_id IS NOT NULL)""",
+    BATTER, BOWLER,
+    PHASES.replace("'Team ' || n_nationkey AS team_name", "name_canonical AS team_name").replace("LEFT JOIN nation ON n_name = team_id", "LEFT JOIN dim_team USING (team_id)"),
+)
+ORACLES["chain_batter_season"] = CHAIN + "SELECT * FROM batter WHERE striker_id IS NOT NULL"
+ORACLES["chain_bowler_season"] = CHAIN + "SELECT * FROM bowler WHERE bowler_id IS NOT NULL"
+ORACLES["chain_team_phase_season"] = CHAIN + "SELECT * FROM phases WHERE team_id IS NOT NULL"
 ORACLES["refreshed_batter_season"] = ORACLES["gold_batter_season"]
 ORACLES["matches_played_merged"] = LINES.rstrip() + """
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS season, striker_id, count(DISTINCT match_id) AS matches_played
