@@ -130,7 +130,8 @@ def resolve_roles(
     named = reduce(Column.__or__, (F.col(name).isNotNull() for name in names))
     combined = settle(facts.where(named).select(*names).distinct())
     in_use = combined.select(F.explode(F.array(*names)).alias("text")).where("text is not null").distinct()
-    known = settle(in_use.withColumn("key", comparison(F.col("text"))).join(keys, "key").select("text", "id"))
+    folded = settle(in_use.withColumn("key", comparison(F.col("text"))))  # stored, so no filter on the form moves below the distinct
+    known = folded.join(keys, "key").select("text", "id")
     for name, target in roles.items():
         side = known.select(F.col("text").alias(name), F.col("id").alias(target))
         combined = combined.join(side, name, "left")

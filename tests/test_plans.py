@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creaseline.operators import conform, register, rollups, season_tables
 from creaseline.sources import tables
+from creaseline.sources.workspace import settled
 
 COLUMNS = (
     "season string, match_id string, inning_no int, over_no int, ball_in_over int, batting_team string, bowling_team string, "
@@ -69,12 +70,21 @@ def test_columns_and_filters_reach_the_scan(balls):
     assert "note" not in scan[2] and "striker" not in scan[2]
 
 
-def test_resolution_runs_python_on_distinct_names_only(spark, balls):
+def test_resolution_folds_distinct_names_only_and_without_python(spark, balls):
     keys = spark.createDataFrame([], "id string, key string")
+    stored = []
+
+    def settle(table):
+        stored.append(table)
+        return settled(table)
+
+    register.resolve_roles(balls.select("match_id", "striker"), keys, {"striker": "striker_id"}, settle=settle)
+    names = next(plan(table) for table in stored if "key" in table.columns)
+    final, partial = re.findall(r"HashAggregate\(keys=\[text#\d+\].*output=\[(.*?)\]", names)
+    assert "key#" in final and "key#" not in partial
     text = plan(register.resolve_roles(balls.select("match_id", "striker"), keys, {"striker": "striker_id"}))
-    above_python = text[: text.index("ArrowEvalPython")]
-    below_python = text[text.index("ArrowEvalPython") :]
-    assert "HashAggregate(keys=[text" in below_python and above_python.count("FileScan") == 1
+    assert "Python" not in text
+    assert "translate(" not in text[: text.index("FileScan")]  # the facts themselves are not folded
 
 
 def test_hot_season_is_not_left_to_one_task(spark, tmp_path):
