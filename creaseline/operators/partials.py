@@ -105,8 +105,8 @@ def numbered(values: DataFrame, column: str, known: DataFrame | None = None) ->
     own = F.monotonically_increasing_id()
     if known is None:
         return new.select(column, own.alias("number"))
-    after = known.agg(F.coalesce(F.max("number"), F.lit(-1)).alias("last"))
-    return new.join(known, column, "left_anti").join(F.broadcast(after)).select(column, (own + F.col("last") + 1).alias("number"))
+    last = known.agg(F.max("number")).first()[0]
+    return new.join(known, column, "left_anti").select(column, (own + (0 if last is None else last + 1)).alias("number"))
 
 
 def bitmaps(rows: DataFrame, *keys: str, number: str = "number") -> DataFrame:

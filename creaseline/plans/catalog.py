@@ -723,17 +723,14 @@ def delivered(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def season_refresh(spark: SparkSession, folder: str, sums: str, gold: str) -> DataFrame:
     """Take in two deliveries; the second rewrites the gold rows of the seasons it touches, no others."""
     names = layers.named_people(spark, folder)
-    touched = None
     for delivery in delivered(spark, folder):
         rows = settled(partials.over_sums(delivery), "delivery")
         tables.write_table(rows, sums, partition_by=["season"], mode="append")
         held = tables.read_table(spark, sums, schema=rows.schema)
-        if touched is not None:  # the seasons of one delivery: a few
-            touched = [row.season for row in rows.select("season").distinct().collect()]
-            held = held.where(F.col("season").isin(*touched))
+        touched = rows.select(F.col("season").alias("touched")).distinct()  # prunes the partitions when the join runs
+        held = held.join(touched, F.col("season").eqNullSafe(F.col("touched")), "left_semi")
         record = partials.batter_season(held, names)
         tables.write_table(record, gold, partition_by=["season"], touched_partitions_only=True)
-        touched = touched or []
     return tables.read_table(spark, gold, schema=record.schema)
 
 
@@ -797,14 +794,10 @@ def median_merged(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"))
     lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     counts = settled(lines.groupBy("season", "l_orderkey").agg(F.count(F.lit(1)).alias("balls")), "balls-per-match")
-    found = partials.merged_quantile(settled(partials.sketches(counts, "balls", "season"), "sketches"), 0.5)
-    ranks = counts.join(F.broadcast(found)).agg(  # one row
-        F.max("rows").alias("matches"),
-        (F.count_if(F.col("balls") < F.col("value")) / F.count(F.lit(1))).alias("below"),
-        (F.count_if(F.col("balls") <= F.col("value")) / F.count(F.lit(1))).alias("upto"),
-    )
-    error = partials.SKETCH_ERROR
-    return ranks.select("matches", ((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).alias("within_bound"))
+    found = partials.merged_quantile(settled(partials.sketches(counts, "balls", "season"), "sketches"), 0.5).first()
+    value, error, every = F.lit(found.value), partials.SKETCH_ERROR, F.count(F.lit(1))
+    below, upto = F.count_if(F.col("balls") < value) / every, F.count_if(F.col("balls") <= value) / every
+    return counts.agg(F.lit(found.rows).cast("long").alias("matches"), ((below <= 0.5 + error) & (upto >= 0.5 - error)).alias("within_bound"))
 
 
 @query
@@ -1129,9 +1122,9 @@ def quarantine_gate(spark, folder):
             ingest.ingest(spark, files, store, DOCUMENT_LAYERS, "*.txt", name=week_of)
         except ingest.TooManyBadDocuments:
             pass
-        rows = versions.read_part(spark, store, "files", schema=ingest.MANIFEST).agg(F.count(F.lit(1)).alias("files"))
-        bad = ingest.quarantined(spark, store).agg(F.count(F.lit(1)).alias("bad"))
-        outcome.append(rows.join(bad).select(F.lit(every).alias("one_in"), "files", "bad"))
+        held = ingest.manifest(spark, store).select(F.lit(False).alias("bad")).union(ingest.quarantined(spark, store).select(F.lit(True)))
+        counts = [F.count_if(~F.col("bad")).alias("files"), F.count_if("bad").alias("bad")]
+        outcome.append(held.agg(F.lit(every).alias("one_in"), *counts))
     return quality.combine(outcome)
 
 
