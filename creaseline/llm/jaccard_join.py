@@ -4,25 +4,25 @@ Sets are the distinct five-word shingles of whole texts; two documents link when
 Jaccard similarity reaches 0.75. Equal sets are joined once, through their class.
 
 The n-grams have one global order: first those of a single set, then the others, then the
-frequent ones by frequency, and by hash within each. Only the leading fragment of a set
-follows this order; verification cuts whole sets into fragments by hash range instead.
+frequent ones by frequency, and by hash within each. Pivots cut this order into fragments,
+the same ones for all sets.
 
 1. A first scan notes each document's class, and counts all n-grams. The counts travel as
    sorted, delta-coded lists, cut by hash range, so that no n-gram is a group of its own.
-2. Sets that reach the similarity share an n-gram of the leading fragment of both, which is
+2. Sets that reach the similarity share an n-gram among the leading ones of both, which are
    just over a quarter of a set. A second scan emits these, but for those that were counted
    once. The first and the least common n-grams lie here, so passages that many documents
    share stay out of it.
-3. Partial overlaps in the leading fragment are counted per pair; what is left of either
-   set bounds the rest. Only pairs that can still reach the similarity go on. This overlap
-   is a filter only; it is not added to those of the next step.
-4. For these, whole sets, the leading n-grams included, are cut into FRAGMENTS ranges of the
-   hash; partial overlaps are counted in each range and summed per pair.
+3. How many leading n-grams a pair shares, and what is left of either set, bound its overlap.
+   Only pairs that can still reach the similarity go on.
+4. Their sets are cut at the pivots. Each fragment counts its partial overlaps by itself,
+   and these are summed per pair. The first fragment, n-grams of a single set, is not
+   sent: its partial overlaps are zero.
 
-Only components are asked for, so the members of an n-gram are first compared with one of
-them, in several rounds with another one each, and pairs that are connected by then need
-no comparison. The last round takes every pair of members that are still unconnected;
-none is dropped.
+Only components are asked for, so each set is first compared with few others: of the members
+that are least under a seed in each of its leading n-grams, with the one that most of them
+name. Pairs that are connected by then need no comparison. The last round takes every pair
+of members that are still unconnected; none is dropped.
 
 Nulls and empty texts, and texts without words, have no shingles and link with nothing. A
 null doc_id is the id of its row; a class takes the smallest id that is not null. Repeated
@@ -39,6 +39,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,11 +53,11 @@ MOST_FREQUENT_KEPT = 1 << 20  # entries of the frequency table that is broadcast
 FILTER_BITS = 26  # the repeated n-grams' filter is broadcast as so many bits: 8 MB
 TOKENS_PER_RANGE = 2_000_000
 TOKENS_PER_LIST = 2_000_000
-FRAGMENTS = 8
-HUBS = (1, 4, 8)  # sets that all others of an n-gram are compared with, in rounds
+COMMON_FRAGMENTS = 4  # of the n-grams that are repeated, but not frequent
+FREQUENT_FRAGMENTS = 4
+HUBS = (1, 8)  # seeds of each round, and hence sets that one set is compared with at most
 SETS_REMEMBERED = 50_000
 BATCH_ROWS = 500
-BROADCAST_IDS = 1_000_000
 ROW = "_row"  # the row number that stages carry
 GAP = np.uint16(65535)
 
@@ -177,27 +178,56 @@ def prefix_length(n: int, similarity: Fraction = SIMILARITY) -> int:
     return n - -(-n * similarity.numerator // similarity.denominator) + 1
 
 
-def leading(shingles: np.ndarray, bits: np.ndarray, often: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The repeated n-grams in the leading fragment of a set, and how many of the set precede each."""
-    short = (shingles >> np.uint64(32)).astype(np.uint32)
-    slot = short >> np.uint32(32 - FILTER_BITS)
-    repeated = (bits[slot >> np.uint32(3)] >> (slot & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
-    rank = repeated.astype(np.uint32)
-    if len(often):
-        at = np.minimum(np.searchsorted(often, short[repeated]), len(often) - 1)
-        rank[repeated] = np.where(often[at] == short[repeated], times[at], 1)
-    length = prefix_length(len(shingles))
-    order = np.argsort(rank, kind="stable")[:length]  # the shingles are sorted already
-    places = np.flatnonzero(repeated[order])
-    return shingles[order[places]], places
+class Order:
+    """The global order: which n-grams are repeated, and the frequent ones with their fragments."""
+
+    def __init__(self, raw: bytes, often: np.ndarray, times: np.ndarray):
+        self.bits, self.often, self.times = np.frombuffer(raw, np.uint8), often, times
+        by_frequency = np.lexsort((often, times))
+        mass = np.cumsum(times[by_frequency], dtype=np.int64)
+        self.fragment = np.empty(len(often), np.int32)
+        self.fragment[by_frequency] = (mass - 1) * FREQUENT_FRAGMENTS // mass[-1] if len(mass) else 0
+
+    def places(self, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each value may stand among the frequent ones, and whether it does."""
+        if not len(self.often):
+            return np.zeros(len(short), np.int64), np.zeros(len(short), bool)
+        at = np.minimum(np.searchsorted(self.often, short), len(self.often) - 1)
+        return at, self.often[at] == short
+
+    def repeated(self, short: np.ndarray) -> np.ndarray:
+        slot = short >> np.uint32(32 - FILTER_BITS)
+        return (self.bits[slot >> np.uint32(3)] >> (slot & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+    def leading(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The repeated ones of a set's leading n-grams, and how many of the set precede each."""
+        short = (shingles >> np.uint64(32)).astype(np.uint32)
+        repeated = self.repeated(short)
+        rank = repeated.astype(np.uint32)
+        at, often = self.places(short[repeated])
+        if often.any():
+            rank[repeated] = np.where(often, self.times[at], 1)
+        order = np.argsort(rank, kind="stable")[: prefix_length(len(shingles))]  # the shingles are sorted already
+        places = np.flatnonzero(repeated[order])
+        return shingles[order[places]], places
+
+    def fragments(self, shingles: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """A set cut at the pivots of the order, without its n-grams of a single set."""
+        shingles = shingles[self.repeated((shingles >> np.uint64(32)).astype(np.uint32))]
+        short = (shingles >> np.uint64(32)).astype(np.uint32)
+        at, often = self.places(short)
+        fragment = (short.astype(np.int64) * COMMON_FRAGMENTS >> 32).astype(np.int32)
+        if often.any():
+            fragment[often] = COMMON_FRAGMENTS + self.fragment[at[often]]
+        for k in np.unique(fragment):
+            yield int(k), shingles[fragment == k]
 
 
 def second_scan(shared):
     """Repeated n-grams of each set's leading fragment."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, often, times = shared.value
-        bits = np.frombuffer(raw, np.uint8)
+        order = Order(*shared.value)
         seen, known = WordHashes(), set()
         for batch in batches:
             tokens, places, signs, sizes = [], [], [], []
@@ -209,7 +239,7 @@ def second_scan(shared):
                 if len(known) >= SETS_REMEMBERED:
                     known.clear()
                 known.add(sign)
-                found, before = leading(shingles, bits, often, times)
+                found, before = order.leading(shingles)
                 tokens.append(found.view(np.int64))
                 places.append(before.astype(np.int32))
                 signs.append(np.full(len(found), sign, np.int64))
@@ -221,29 +251,31 @@ def second_scan(shared):
     return rows
 
 
-def fragment_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole sets, cut by the n-grams' hash into FRAGMENTS rows."""
-    seen = WordHashes()
+def fragment_scan(shared):
+    """Whole sets, cut into the fragments of the global order."""
     schema = pa.schema([("sig", pa.int64()), ("fragment", pa.int32()), ("tokens", pa.list_(pa.int64()))])
-    edges = (np.arange(1, FRAGMENTS, dtype=np.uint64)) << np.uint64(64 - FRAGMENTS.bit_length() + 1)
-    for batch in batches:
-        signs, places, parts = [], [], []
-        for text in batch.column(0).cast(pa.binary()):
-            shingles = shingle_set(text.as_py(), seen)
-            sign = set_signature(shingles)
-            for k, part in enumerate(np.split(shingles, np.searchsorted(shingles, edges))):
-                if len(part):
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, seen = Order(*shared.value), WordHashes()
+        for batch in batches:
+            signs, places, parts = [], [], []
+            for text in batch.column(0).cast(pa.binary()):
+                shingles = shingle_set(text.as_py(), seen)
+                sign = set_signature(shingles)
+                for k, part in order.fragments(shingles):
                     signs.append(sign)
                     places.append(k)
                     parts.append(part.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((signs, places, parts), schema)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((signs, places, parts), schema)], schema=schema)
+
+    return rows
 
 
-def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sig) of every document; (token, sig, n, place) of the leading fragments."""
+def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame, Broadcast]:
+    """(doc_id, n, sig) of every document; (token, sig, n, place) of leading n-grams; the order."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    range_bits = min(16, max(6, (size // 7 // TOKENS_PER_RANGE).bit_length()))
+    range_bits = min(FILTER_BITS - 3, max(6, (size // 7 // TOKENS_PER_RANGE).bit_length()))
     scan = settled(docs.select("doc_id", "text").mapInArrow(first_scan(range_bits), SCAN_SCHEMA), "jaccard-scan")
     classes = scan.where("hash_range is null").select("doc_id", "n", "sig")
     counts = settled(counted(scan.where("hash_range is not null").select("hash_range", "tokens"), range_bits), "jaccard-counts")
@@ -253,9 +285,7 @@ def scanned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         bits[row[0] * width : (row[0] + 1) * width] = row[1]
     shared = spark.sparkContext.broadcast((bytes(bits), *frequent_values(counts)))
     leads = docs.select("text").mapInArrow(second_scan(shared), "token long, sig long, n int, place int")
-    leads = settled(leads, "jaccard-leads")
-    shared.destroy()
-    return classes, leads
+    return classes, settled(leads, "jaccard-leads"), shared
 
 
 def length_filter(a: str, b: str):
@@ -276,27 +306,25 @@ def with_sizes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, sizes: DataFrame, leads: DataFrame) -> DataFrame:
-    """Pairs that the sizes and the overlap in the leading fragments still allow.
+    """Pairs that the sizes and the common leading n-grams still allow; one row a pair all along.
 
-    What lies behind the leading fragment of a set is at most three quarters of it, less one.
+    What lies behind the leading n-grams of a set is at most three quarters of it, less one.
     """
     pairs = with_sizes(pairs, sizes).where(length_filter("na", "nb"))
-    left = pairs.join(leads.select("token", F.col("sig").alias("a")), "a")
-    shared = left.join(leads.select("token", F.col("sig").alias("b")), ["b", "token"])
-    shared = shared.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+    for side in ("a", "b"):
+        pairs = pairs.join(leads.select(F.col("sig").alias(side), F.col("tokens").alias(f"tokens_{side}")), side)
+    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     behind = F.ceil(F.greatest("na", "nb") * SIMILARITY.numerator / SIMILARITY.denominator) - 1
-    return shared.where(reaches(F.col("common") + behind, "na", "nb")).select("a", "b", "na", "nb")
+    return pairs.where(reaches(common + behind, "na", "nb")).select("a", "b", "na", "nb")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shared: Broadcast) -> DataFrame:
     """Pairs whose partial overlaps, summed over the fragments, reach the similarity."""
     signs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     ids = classes.join(signs, "sig").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     ids = settled(ids.select("doc_id").distinct(), "jaccard-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
-    parts = texts.mapInArrow(fragment_scan, "sig long, fragment int, tokens array<long>").dropDuplicates(["sig", "fragment"])
+    parts = texts.mapInArrow(fragment_scan(shared), "sig long, fragment int, tokens array<long>").dropDuplicates(["sig", "fragment"])
     parts = settled(parts, "jaccard-fragments")
     side = lambda s: parts.select(F.col("sig").alias(s), "fragment", F.col("tokens").alias(f"tokens_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"])
@@ -304,13 +332,33 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")).where(reaches(F.col("overlap"), "na", "nb"))
 
 
-def hub_pairs(members: DataFrame, seeds: list[int]) -> DataFrame:
-    """Each member of an n-gram with a few others, the same ones for all: those least under a seed."""
+def with_components(table: DataFrame, labels: DataFrame | None, sig: str, name: str) -> DataFrame:
+    """Add the component of a set; its own signature where it is not linked so far."""
+    if labels is None:
+        return table.withColumn(name, F.col(sig))
+    found = labels.select(F.col("sig").alias(sig), F.col("component").alias(name))
+    return table.join(found, sig, "left").withColumn(name, F.coalesce(name, sig))
+
+
+def open_members(leads: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members, with their components, of the n-grams whose members are not all connected."""
+    members = with_components(leads, labels, "sig", "component")
+    ends = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return settled(members.join(ends.where("low <> high").select("token"), "token"), "jaccard-open")
+
+
+def hub_pairs(members: DataFrame, labels: DataFrame | None, seeds: list[int]) -> DataFrame:
+    """Each set with the hub, for each seed, that most of its n-grams name.
+
+    An n-gram names the member that is least under the seed, the same one to all members.
+    """
     least = [F.min(F.col("sig").bitwiseXOR(F.lit(s))).bitwiseXOR(F.lit(s)) for s in seeds]
-    hubs = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.array(*least).alias("hubs"))
-    pairs = members.join(hubs.where("low <> high"), "token").select("sig", "component", F.explode("hubs").alias("hub")).distinct()
-    known = members.select(F.col("sig").alias("hub"), F.col("component").alias("other")).distinct()
-    return pairs.join(known, "hub").where("component <> other")
+    hubs = members.groupBy("token").agg(F.array(*least).alias("hubs")).select("token", F.posexplode("hubs").alias("seed", "hub"))
+    hubs = with_components(hubs, labels, "hub", "other")
+    named = members.select("token", "sig", "component").join(hubs, "token").where("component <> other")
+    votes = named.groupBy("sig", "seed", "hub").agg(F.count("*").alias("votes"))
+    most = votes.groupBy("sig", "seed").agg(F.max("votes").alias("most"))
+    return votes.join(most, ["sig", "seed"]).where("votes = most").groupBy("sig", "seed").agg(F.min("hub").alias("hub"))
 
 
 def open_pairs(members: DataFrame) -> DataFrame:
@@ -318,40 +366,35 @@ def open_pairs(members: DataFrame) -> DataFrame:
 
     What stands from it on in either set must still allow the similarity.
     """
-    several = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    mine = settled(members.join(several.select("token"), "token"), "jaccard-open")
-    theirs = mine.select("token", F.col("sig").alias("hub"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("place").alias("spot"))
+    theirs = members.select("token", F.col("sig").alias("hub"), F.col("component").alias("other"), F.col("n").alias("m"), F.col("place").alias("spot"))
     rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("spot"))
     fits = length_filter("n", "m") & reaches(rest, "n", "m") & (F.col("sig") < F.col("hub")) & (F.col("component") != F.col("other"))
-    return mine.join(theirs, "token").where(fits).select("sig", "hub")
+    return members.join(theirs, "token").where(fits)
 
 
-def links(docs: DataFrame, classes: DataFrame, leads: DataFrame) -> DataFrame:
-    """Edges (a, b) between classes that connect all similar ones."""
+def linked(docs: DataFrame, classes: DataFrame, leads: DataFrame, shared: Broadcast) -> DataFrame:
+    """sig and component of the classes that are linked with others."""
     sizes = settled(classes.where("n > 0").select("sig", "n").distinct(), "jaccard-sizes")
     repeated = leads.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high")
     leads = settled(leads.join(repeated.select("token"), "token").dropDuplicates(["token", "sig"]), "jaccard-repeated")
+    lists = settled(leads.groupBy("sig").agg(F.collect_list("token").alias("tokens")), "jaccard-lists")
     rng = np.random.default_rng(1)
-    edges, labels, done = None, None, None
+    labels, done = None, None
     for hubs in (*HUBS, 0):
-        if labels is None:
-            members = leads.withColumn("component", F.col("sig"))
-        else:
-            members = leads.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        pairs = hub_pairs(members, rng.integers(0, 2**62, hubs).tolist()) if hubs else open_pairs(members)
+        members = open_members(leads, labels)
+        pairs = hub_pairs(members, labels, rng.integers(0, 2**62, hubs).tolist()) if hubs else open_pairs(members)
         pairs = pairs.select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = settled(pairs, "jaccard-pairs")
         done = pairs if done is None else done.union(pairs)
-        likely = settled(plausible(pairs, sizes, leads), "jaccard-likely")
+        likely = settled(plausible(pairs, sizes, lists), "jaccard-likely")
         if likely.isEmpty():
             continue
-        found = settled(verified(likely, docs, classes).select("a", "b"), "jaccard-links")
-        edges = found if edges is None else edges.union(found)
-        if hubs:
-            labels = settled(component_labels(edges, "a", "b").toDF("sig", "component"), "jaccard-components")
-    return leads.select(F.col("sig").alias("a"), F.col("sig").alias("b")).limit(0) if edges is None else edges
+        edges = verified(likely, docs, classes, shared).select("a", "b")
+        edges = edges if labels is None else edges.union(labels.select("sig", "component"))
+        labels = settled(component_labels(edges, "a", "b").toDF("sig", "component"), "jaccard-components")
+    return leads.select("sig", F.col("sig").alias("component")).limit(0) if labels is None else labels
 
 
 @contextmanager
@@ -369,9 +412,9 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     with batches_of(docs.sparkSession, BATCH_ROWS):
-        classes, leads = scanned(docs)
-        edges = links(docs, classes, leads)
-    labels = component_labels(edges, "a", "b").toDF("sig", "root")
+        classes, leads, shared = scanned(docs)
+        labels = linked(docs, classes, leads, shared).toDF("sig", "root")
+        shared.destroy()
     first = classes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     first = first.join(labels, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = first.groupBy("root").agg(F.min("first").alias("component_id"))
