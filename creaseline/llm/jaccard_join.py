@@ -19,9 +19,9 @@ the same ones for all sets.
    and these are summed per pair. The first fragment, n-grams of a single set, is not
    sent: its partial overlaps are zero.
 
-Only components are asked for, so each set is first compared with few others: of the members
-that are least under a seed in each of its leading n-grams, with the one that most of them
-name. Pairs that are connected by then need no comparison. The last round takes every pair
+Only components are asked for, so each set is first compared with few others. A leading n-gram
+names the member with the fewest rarer n-grams before it, which in a group of near copies is
+the one nearest to their common core; a set meets the member that most of its n-grams name. Pairs that are connected by then need no comparison. The last round takes every pair
 of members that are still unconnected; none is dropped.
 
 Nulls and empty texts, and texts without words, have no shingles and link with nothing. A
@@ -55,7 +55,7 @@ TOKENS_PER_RANGE = 2_000_000
 TOKENS_PER_LIST = 2_000_000
 COMMON_FRAGMENTS = 4  # of the n-grams that are repeated, but not frequent
 FREQUENT_FRAGMENTS = 4
-HUBS = (1, 8)  # seeds of each round, and hence sets that one set is compared with at most
+HUBS = (1, 4)  # by round, how many others one set is compared with at most
 SETS_REMEMBERED = 50_000
 BATCH_ROWS = 500
 ROW = "_row"  # the row number that stages carry
@@ -347,13 +347,17 @@ def open_members(leads: DataFrame, labels: DataFrame | None) -> DataFrame:
     return settled(members.join(ends.where("low <> high").select("token"), "token"), "jaccard-open")
 
 
-def hub_pairs(members: DataFrame, labels: DataFrame | None, seeds: list[int]) -> DataFrame:
-    """Each set with the hub, for each seed, that most of its n-grams name.
+def hub_pairs(members: DataFrame, labels: DataFrame | None, hubs: int) -> DataFrame:
+    """Each set with so many hubs, those that most of its n-grams name.
 
-    An n-gram names the member that is least under the seed, the same one to all members.
+    An n-gram names the member in which it stands first, the same one to all members. Each
+    further hub sees places in steps four times as long, and so is more a matter of chance.
     """
-    least = [F.min(F.col("sig").bitwiseXOR(F.lit(s))).bitwiseXOR(F.lit(s)) for s in seeds]
-    hubs = members.groupBy("token").agg(F.array(*least).alias("hubs")).select("token", F.posexplode("hubs").alias("seed", "hub"))
+    low = F.lit((1 << 40) - 1)
+    chance = lambda k: F.xxhash64(F.lit(hubs), F.lit(k), "sig").bitwiseAND(low)
+    first = lambda k: F.shiftleft(F.shiftright("place", 2 * k).cast("long"), 40).bitwiseOR(chance(k))
+    named = F.array(*[F.min_by("sig", first(k)) for k in range(hubs)])
+    hubs = members.groupBy("token").agg(named.alias("hubs")).select("token", F.posexplode("hubs").alias("seed", "hub"))
     hubs = with_components(hubs, labels, "hub", "other")
     named = members.select("token", "sig", "component").join(hubs, "token").where("component <> other")
     votes = named.groupBy("sig", "seed", "hub").agg(F.count("*").alias("votes"))
@@ -378,11 +382,10 @@ def linked(docs: DataFrame, classes: DataFrame, leads: DataFrame, shared: Broadc
     repeated = leads.groupBy("token").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).where("low <> high")
     leads = settled(leads.join(repeated.select("token"), "token").dropDuplicates(["token", "sig"]), "jaccard-repeated")
     lists = settled(leads.groupBy("sig").agg(F.collect_list("token").alias("tokens")), "jaccard-lists")
-    rng = np.random.default_rng(1)
     labels, done = None, None
     for hubs in (*HUBS, 0):
         members = open_members(leads, labels)
-        pairs = hub_pairs(members, labels, rng.integers(0, 2**62, hubs).tolist()) if hubs else open_pairs(members)
+        pairs = hub_pairs(members, labels, hubs) if hubs else open_pairs(members)
         pairs = pairs.select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
