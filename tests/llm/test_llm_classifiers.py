@@ -1,8 +1,11 @@
 """Quality and toxicity: definitions, held-out accuracy, and awkward rows."""
 
+import math
 import random
 import zlib
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 from creaseline.llm import quality, toxicity
@@ -43,6 +46,53 @@ def test_toxicity(rows):
     assert len({r.score for r in found if r.doc_id == 0}) == 1
 
 
+def test_shard_pass_is_ftrl_proximal():
+    """Against the published update, one coordinate at a time."""
+    rng = random.Random(5)
+    places = [[0, *sorted(rng.sample(range(1, 30), rng.randrange(9)))] for _ in range(120)]
+    toxic = [rng.randrange(2) for _ in places]
+    z, n = [0.0] * 30, [0.0] * 30
+
+    def weight(i):
+        l1 = toxicity.L1 if i else 0.0
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for at, y in zip(places, toxic):
+        w = {i: weight(i) for i in at}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - y
+        for i in at:
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    found = toxicity.run_shard([np.array(a) for a in places], np.array(toxic, float), np.zeros(30), np.zeros(30))
+    assert found[0] == pytest.approx(z) and found[1] == pytest.approx(n)
+    assert toxicity.weights_of(*found) == pytest.approx([weight(i) for i in range(30)])
+
+
+def test_logistic_line():
+    rng = np.random.default_rng(3)
+    margin = rng.normal(0, 2, 20000)
+    toxic = (rng.random(20000) < 1 / (1 + np.exp(-(1.5 * margin - 0.7)))).astype(float)
+    assert toxicity.logistic_line(margin, toxic) == pytest.approx((1.5, -0.7), abs=0.1)
+    assert toxicity.logistic_line(-margin, toxic) == (1.0, 0.0)
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """Of the driver's documents: nearly all toxic ones, few others."""
+    folder = Path("/root/testdata/sf0.1")
+    if not folder.exists():
+        pytest.skip("needs the driver's tables")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = toxicity.toxicity_scores(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    rows = found.where("held_out").join(labels.where("toxic is not null"), "doc_id").select("predicted", "toxic").collect()
+    hits = sum(r.predicted and r.toxic for r in rows)
+    recall, precision = hits / sum(r.toxic for r in rows), hits / sum(r.predicted for r in rows)
+    print(f"recall {recall:.3f}, precision {precision:.3f}, of {sum(r.toxic for r in rows)}")
+    assert recall >= 0.88 and precision >= 0.9
+
+
 def test_toxicity_without_labels(rows):
     _, _, d, marks = labelled(rows)
     assert all(r.score < 0.01 for r in toxicity.toxicity_scores(d, marks.limit(0)).collect())
