@@ -12,6 +12,9 @@ Links are counted where they are found and are never written as pairs: of each m
 spanning forest is kept, with one row per vector at most. Residents and visitors of a cell
 that has many are both dealt out, and each part of the one meets each part of the other.
 
+Equal vectors of one label are one class, told apart by 128 bits of hash. Only one of a
+class lives and visits, and its meetings count as many links as the others have members.
+
 Only vectors with equal, not null labels are compared. Vectors that are null or zero, or
 that hold null or non-finite components, and those whose label is null, link with nothing,
 like any of another length than the rest: lengths are joined separately. Repeated rows are
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creaseline.llm.components import component_labels
@@ -116,8 +119,17 @@ def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, values[offsets[at][:, None] + np.arange(d)]
 
 
+def usable(label: str, vector: str) -> Column:
+    """Whether a vector can link: with a label, not zero, all components finite."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(F.col(label).isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
 def visits(cosine: float, blocks: int, carry: bool):
-    """row, cell, block, resident and the vector: a resident row and its visits, for each block."""
+    """row, cell, block, resident; a resident row and its visits, for each block.
+
+    On request with the vector and how many there are of it.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +157,8 @@ def visits(cosine: float, blocks: int, carry: bool):
                 if carry:
                     ends = pa.array(np.arange(len(owner) + 1, dtype=np.int32) * d)
                     columns.append(pa.ListArray.from_arrays(ends, pa.array(matrix[owner].ravel())))
-                    names.append("vector")
+                    columns.append(labelled.column(3).take(pa.array(at[owner])))
+                    names += ["vector", "copies"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
@@ -187,14 +200,14 @@ def meeting(cosine: float, blocks: int):
         if not whole.num_rows:
             return pa.table({"row": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
         ids, cell, block = (whole.column(c).to_numpy() for c in ("row", "cell", "block"))
-        resident = whole.column("resident").to_numpy()
+        resident, copies = whole.column("resident").to_numpy(), whole.column("copies").to_numpy()
         names, node = np.unique(ids, return_inverse=True)
         count, trees = np.zeros(len(names), np.int64), []
         vectors = pa.concat_arrays(whole.column("vector").chunks)
         for at, matrix in by_length(vectors):
             x = units(matrix)
             y, limits = in_blocks(x, blocks), budgets(x.shape[1], cosine, blocks)
-            b, node_at = block[at], node[at]
+            b, node_at, times = block[at], node[at], copies[at]
             mine = y[np.arange(len(at)), b]
             for left, right in candidates(cell[at], resident[at]):
                 near = ((mine[left] - mine[right]) ** 2).sum(axis=1) <= limits[b[left]]
@@ -204,8 +217,9 @@ def meeting(cosine: float, blocks: int):
                 left, right = left[link], right[link]
                 square = ((y[left] - y[right]) ** 2).sum(axis=2) <= limits
                 first = square.argmax(axis=1) == b[left]  # counted in the first block that is near
-                left, right = node_at[left[first]], node_at[right[first]]
-                count += np.bincount(left, minlength=len(names))
+                left, right = left[first], right[first]
+                np.add.at(count, node_at[left], times[right])
+                left, right = node_at[left], node_at[right]
                 root = forest(left, right, len(names))
                 child = np.flatnonzero(root != np.arange(len(names)))
                 trees.append((child, root[child]))
@@ -225,35 +239,40 @@ def meeting(cosine: float, blocks: int):
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, blocks: int = BLOCKS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
-    numbered = embeddings.select("vec_id", "label", "embedding").withColumn("row", F.monotonically_increasing_id())
-    numbered = settled(numbered, "vectors")
-    vectors = numbered.select("row", F.col("label").cast("long"), "embedding")
+    rows = embeddings.select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    sign = lambda k: F.when(usable("label", "embedding"), F.xxhash64(F.lit(k), "label", "embedding"))
+    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "sign": sign(1), "sign2": sign(2)})
+    numbered = settled(rows, "vectors")
+    able = numbered.where("sign is not null")
+    classes = able.groupBy("sign", "sign2").agg(F.min("row").alias("row"), F.count("*").alias("copies"), F.min("vec_id").alias("first"))
+    classes = settled(classes, "vector-classes")
+    vectors = able.select("row", "label", "embedding").join(classes.select("row", "copies"), "row")
+    vectors = settled(vectors.select("row", "label", "embedding", "copies"), "vector-representatives")
     kind = embeddings.schema["embedding"].dataType.simpleString()
     light = vectors.mapInArrow(visits(cosine, blocks, False), "row long, cell long, block int, resident boolean")
     cells = light.groupBy("cell").agg(F.count_if("resident").alias("hosts"), F.count_if(~F.col("resident")).alias("guests"))
     parts = lambda n: F.ceil(F.col(n) / AT_ONCE).cast("int").alias(n)
     hot = settled(cells.where(F.greatest("hosts", "guests") > AT_ONCE).select("cell", parts("hosts"), parts("guests")), "vector-cells")
-    buckets = numbered.count() * VISITS // ROWS_PER_BUCKET + 1
+    buckets = classes.count() * VISITS // ROWS_PER_BUCKET + 1
 
-    rows = vectors.mapInArrow(visits(cosine, blocks, True), f"row long, cell long, block int, resident boolean, vector {kind}")
+    rows = vectors.mapInArrow(visits(cosine, blocks, True), f"row long, cell long, block int, resident boolean, vector {kind}, copies long")
     rows = rows.join(hot, "cell", "left").withColumns({"hosts": F.coalesce("hosts", F.lit(1)), "guests": F.coalesce("guests", F.lit(1))})
     one = lambda n: F.array(F.pmod(F.xxhash64("row"), F.col(n)).cast("int"))
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     rows = rows.withColumn("host_part", F.explode(F.when(F.col("resident"), one("hosts")).otherwise(every("hosts"))))
     rows = rows.withColumn("guest_part", F.explode(F.when(F.col("resident"), every("guests")).otherwise(one("guests"))))
-    rows = rows.withColumn("bucket", F.pmod("cell", F.lit(buckets))).select("row", "cell", "block", "resident", "vector", "bucket", "host_part", "guest_part")
+    rows = rows.withColumn("bucket", F.pmod("cell", F.lit(buckets))).select("row", "cell", "block", "resident", "vector", "copies", "bucket", "host_part", "guest_part")
     met = rows.groupBy("bucket", "host_part", "guest_part").applyInArrow(meeting(cosine, blocks), "row long, links long, other long")
     met = settled(met, "vector-links")
 
     counts = met.groupBy("row").agg(F.sum("links").alias("n_links"))
     edges = met.where("other is not null")
     labels = component_labels(edges, "row", "other").toDF("row", "root")
-    table = numbered.select("vec_id", "row").join(counts, "row", "left").join(labels, "row", "left")
+    table = classes.join(counts, "row", "left").join(labels, "row", "left")
     table = settled(table.withColumn("root", F.coalesce("root", "row")), "vector-components")
-    least = table.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    return table.join(least, "root").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "component_id",
-        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-    )
+    least = table.groupBy("root").agg(F.min("first").alias("component_id"))
+    links = (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links")
+    table = table.join(least, "root").select("sign", "sign2", links, "component_id")
+    alone = numbered.where("sign is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    found = able.select("vec_id", "sign", "sign2").join(table, ["sign", "sign2"]).select("vec_id", "n_links", "component_id").union(alone)
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

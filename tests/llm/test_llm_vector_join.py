@@ -65,6 +65,21 @@ def test_hot_cell_is_dealt_out(rows, monkeypatch):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == plain(data)
 
 
+def test_equal_vectors_are_joined_once(rows):
+    """Many copies of one vector, near ones beside them, and as many that cannot link."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal(16)
+    near = lambda: (base + 0.03 * rng.standard_normal(16)).astype(np.float32).tolist()
+    copy, other = near(), near()
+    data = [(k, copy, 1) for k in range(700)] + [(k, other, 1) for k in range(700, 730)] + [(k, near(), 1) for k in range(730, 750)]
+    data += [(k, copy, 2) for k in range(800, 805)] + [(k, [0.0] * 16, 1) for k in range(900, 1000)] + [(k, copy, None) for k in range(1000, 1100)]
+    signed = [-0.0 if k == 3 else float(k) for k in range(16)]
+    data += [(1200, signed, 3), (1201, [abs(x) for x in signed], 3)]
+    table = rows("vec_id long, embedding array<float>, label int", *data)
+    found = sorted(((r.vec_id, r.n_links, r.component_id) for r in vector_join.near_duplicates(table).collect()), key=str)
+    assert found == plain(data)
+
+
 def test_cells_in_range():
     rng = np.random.default_rng(6)
     x = rng.standard_normal((50, 3))
