@@ -8,8 +8,8 @@ end to end, and the quota is cut from that ring of words at a seeded block.
 
 Nulls: null text has size 0; a null source is a source of its own, ordered last; a null
 document id is an id like any other. Documents of size 0 take 0. Equal rows may take
-different parts of the quota. Empty tables give no rows. Input columns that have the name
-of a new column are replaced.
+different parts of the quota. Empty tables give no rows. Input columns other than
+doc_id, text and source are not read by the plan, and kept in the mix whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 16
 DOCS_PER_SHARD = 2000
 MOST_REPEATS = 3
+COPIES_AT_ONCE = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -141,7 +142,9 @@ def mixed(
     length = F.col("size") * F.col("copies")
     placed = placed.withColumn("end", F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     placed = same(placed, quotas, ["source", "shard"])
-    placed = placed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    last = F.col("copies") - 1  # copies are made in two steps, so that no list holds them all
+    placed = placed.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES_AT_ONCE).cast("long"))))
+    placed = placed.withColumn("nth", F.explode(F.sequence("from", F.least(F.col("from") + COPIES_AT_ONCE - 1, last))))
     clip = lambda x: F.least(F.greatest(x - F.col("start"), F.lit(0)), F.col("size"))
     placed = placed.withColumn("start", F.col("end") - length + F.col("nth") * F.col("size"))
     placed = placed.withColumns(
@@ -154,7 +157,7 @@ def mixed(
     taken = F.col("turns") * F.col("size") + F.col("part_end") - F.col("part_start") + F.col("head_end")
     return placed.select(
         "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
-        F.col("turns").alias("full_copies"), "part_start", "part_end", "head_end", "_print",
+        F.col("turns").alias("full_copies"), "part_start", "part_end", "head_end", "_print", "copies",
     )
 
 
@@ -164,29 +167,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     The columns are those of the input; n_chars, where there is one, follows the text.
     """
     key = ["doc_id", "source", "_print"]
-    cut = F.struct("full_copies", "part_start", "part_end", "head_end", "taken")
-    plan = mixed(docs, **options).groupBy(*key, "size").agg(F.collect_list(cut).alias("_cuts"))
-    plan = settled(plan.where(F.exists("_cuts", lambda c: c["taken"] > 0)), "mix-plan")
-    texts = docs.withColumn("_print", F.xxhash64("text"))
-    single = same(texts, plan.where(F.size("_cuts") == 1), key)
-    several = same(texts, plan.where(F.size("_cuts") > 1), key).dropDuplicates(key)
-    rows = single.unionByName(several)
-    words = F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    piece = lambda a, b: F.array_join(F.slice(words, a.cast("int") + 1, (b - a).cast("int")), " ")
     span = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
-    spans = F.transform(
-        "_cuts",
-        lambda c: F.concat(
-            F.array_repeat(span(F.lit(0), F.col("size")), c["full_copies"].cast("int")),
-            F.filter(
-                F.array(span(c["part_start"], c["part_end"]), span(F.lit(0), c["head_end"])),
-                lambda p: p["b"] > p["a"],
-            ),
-        ),
+    parts = F.array(span(F.col("part_start"), F.col("part_end")), span(F.lit(0), F.col("head_end")))
+    spans = F.concat(
+        F.array_repeat(span(F.lit(0), F.col("size")), F.col("full_copies").cast("int")),
+        F.filter(parts, lambda p: p["b"] > p["a"]),
     )
-    rows = rows.withColumn("_cut", F.explode(F.flatten(spans)))
+    plan = mixed(docs, **options).where("taken > 0").select(*key, "size", "copies", F.explode(spans).alias("_cut"))
+    plan = settled(plan, "mix-plan")
+    texts = docs.select("doc_id", "source", F.xxhash64("text").alias("_print"), F.struct(*docs.columns).alias("_row"))
+    several = plan.where("copies > 1")
+    one_each = same(texts, several.select(*key).distinct(), key).dropDuplicates(key)  # equal rows stand for each other
+    rows = same(texts, plan.where("copies = 1"), key).unionByName(same(one_each, several, key))
+    text = F.col("_row")["text"]
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    piece = F.array_join(F.slice(words, F.col("_cut.a").cast("int") + 1, (F.col("_cut.b") - F.col("_cut.a")).cast("int")), " ")
     is_whole = (F.col("_cut.a") == 0) & (F.col("_cut.b") == F.col("size"))
-    rows = rows.withColumn("text", F.when(is_whole, F.col("text")).otherwise(piece(F.col("_cut.a"), F.col("_cut.b"))))
+    rows = rows.select("_row", F.when(is_whole, text).otherwise(piece).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))

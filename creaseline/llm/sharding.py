@@ -3,11 +3,13 @@
 A stable key and the number of shards decide a row's shard; no ring table is kept.
 Appending one shard moves only the rows that go into it. Rows of a shard get gapless
 slots, numbered within small buckets first and then shifted by the buckets' counts, so
-that no task sorts a whole shard.
+that no task sorts a whole shard. Rows that are equal in all that is ordered by, and more
+than a bucket holds, are spread over the buckets by a stored number; such rows stand for
+each other.
 
 Nulls: a null key is a key of its own. Null text has size 1 and the checksum of the
 empty text. Repeated rows keep one slot each. An empty table gives no rows. Columns of
-the input that have the name of a new column are replaced.
+the input that have the name of a new column are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from creaseline.llm.mixing import same
+from creaseline.sources.workspace import settled
+
 # Multiplier of the generator and the draw's width, as published by Lamping and Veach.
 MULTIPLIER = 2862933555777941757
 DRAW = 1 << 31
@@ -59,19 +64,26 @@ def with_slots(df: DataFrame, shard: str, order: list[str], rows_per_bucket: int
     The order columns also choose the bucket, so that rows that differ in any of them
     spread out, whatever the shard.
     """
-    rows = df.groupBy(shard).count().agg(F.max("count")).first()[0] or 0
+    names = [f"_key{k}" for k in range(len(order) + 1)]
+    table = df.select(F.struct(*df.columns).alias("_row"), *(F.col(c).alias(n) for c, n in zip([shard, *order], names)))
+    groups = settled(table.groupBy(*names).agg(F.count("*").alias("_rows")), "shard-groups")
+    rows = groups.groupBy("_key0").agg(F.sum("_rows").alias("n")).agg(F.max("n")).first()[0] or 0
     buckets = -(-rows // rows_per_bucket) or 1
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = df.groupBy(shard, "_bucket").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy(shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(shard, "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(shard, "_bucket").orderBy(*order)
-    numbered = df.withColumn("_place", F.row_number().over(within) - 1)
-    return (
-        numbered.join(starts, [shard, "_bucket"])
-        .withColumn("slot", (F.col("_start") + F.col("_place")).cast("long"))
-        .drop("_bucket", "_start", "_place")
-    )
+    bucket = lambda *more: F.pmod(F.xxhash64(*names[1:], *more), F.lit(buckets)).cast("int").alias("_bucket")
+    large = settled(groups.where(F.col("_rows") > rows_per_bucket).select(*names), "shard-large-groups")
+    few = same(table, large, names, "left_anti").select("*", bucket())
+    many = same(table, large, names, "left_semi").withColumn("_number", F.monotonically_increasing_id())
+    many = settled(many, "shard-many").select("_row", *names, bucket("_number"))
+    counts = same(groups, large, names, "left_anti").select("_key0", bucket(), "_rows")
+    counts = counts.union(many.select("_key0", "_bucket", F.lit(1).cast("long")))
+    counts = counts.groupBy("_key0", "_bucket").agg(F.sum("_rows").alias("_rows"))
+    before = Window.partitionBy("_key0").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_key0", "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_key0", "_bucket").orderBy(*names[1:])
+    numbered = few.unionByName(many).withColumn("_place", F.row_number().over(within) - 1)
+    slot = (F.col("_start") + F.col("_place")).cast("long").alias("slot")
+    kept = [F.col("_row")[c].alias(c) for c in df.columns if c != "slot"]
+    return same(numbered, starts, ["_key0", "_bucket"]).select(*kept, slot)
 
 
 def measured(docs: DataFrame) -> DataFrame:

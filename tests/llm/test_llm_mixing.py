@@ -74,6 +74,24 @@ def test_documents_follow_the_plan(rows):
     assert words == {k: n for k, n in plan.items() if n}
 
 
+def test_many_equal_rows_and_clashing_names(rows, monkeypatch):
+    """A third of the rows are equal, as many are null; columns are named like those of the plan."""
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 7)
+    data = [(1, "x y z", "a", 5, 6, 7, 3)] * 120 + [(None, None, None, 1, 2, 3, None)] * 120
+    data += [(k, "u " * (k % 40), "abc"[k % 3], k, k, k, k) for k in range(2, 122)]
+    docs = rows("doc_id long, text string, source string, size int, _cut int, copies int, n_chars int", *data)
+    plan = {}
+    for r in mixing.mixed(docs).collect():
+        plan[r.doc_id] = plan.get(r.doc_id, 0) + r.taken
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.schema["n_chars"] == docs.schema["n_chars"] and mixed.columns == docs.columns
+    words, known = {}, {d[0]: d[3:6] for d in data}
+    for r in mixed.collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+        assert (r["size"], r["_cut"], r["copies"]) == known[r.doc_id] and r.n_chars == len(r.text)
+    assert words == {k: n for k, n in plan.items() if n}
+
+
 def seats(shares: dict, number: int) -> dict:
     """Sainte-Laguë, one seat after the other."""
     won = dict.fromkeys(shares, 0)

@@ -51,5 +51,18 @@ def test_many_buckets(rows):
     assert sorted(r.slot for r in found) == list(range(304))
 
 
+def test_a_third_of_all_rows_is_equal(rows):
+    """They spread over the buckets; columns with names of our own are kept."""
+    data = [(5, "same", k, -k) for k in range(300)] + [(None, None, k, k) for k in range(300)] + [(k, f"t{k}", k, k) for k in range(300)]
+    docs = rows("doc_id long, text string, _bucket int, _key0 int", *data)
+    table = sharding.with_shards(sharding.measured(docs), "doc_id", 2)
+    found = sharding.with_slots(table, "shard", ["doc_id", "size", "text_crc32"], 20).collect()
+    assert sorted((r._bucket, r._key0) for r in found) == sorted(d[2:] for d in data)
+    for shard in (0, 1):
+        slots = sorted(r.slot for r in found if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert max(np.diff(sorted(r.slot for r in found if r.doc_id == 5))) > 1
+
+
 def test_empty(rows):
     assert sharding.shard_documents(documents(rows).limit(0), 4).collect() == []
