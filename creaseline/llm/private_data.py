@@ -43,13 +43,13 @@ DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 MARKED = re.compile(r"(?:[0-9@]|[(\[{][aA][tT][)\]}])[^\s\"'<>|]*")  # from the first digit or at sign of a chunk on
 CHUNK_ENDS = frozenset(" \t\n\r\x0b\x0c\"'<>|")
-CHUNK_CHARS = 64  # longer chunks are no identifiers
+CHUNK_CHARS = 254  # the longest legal email address; no other kind is longer
 LEAST_CHARS = 6
 LABEL = re.compile(r"[^\W\d_]{2,}\.?[:=]+(?=[+(]*[0-9]|[^\s:=]*@)")
 NUMERIC = re.compile(r"[+(]*[0-9][0-9().+/-]*")
 AT_SIGN = re.compile(r"@|[(\[{]at[)\]}]", re.IGNORECASE)
 PARTED = re.compile(r"\[\.\]|\(\.\)|[.,-]")  # what may stand between octets
-MOST_PIECES = 8  # chunks of digits in one candidate
+MOST_DIGITS = 19  # of the longest kind, a card number
 CONTEXT_CHARS = 40
 ROUNDS = 3
 PRIOR_INSTANCES = 2.0
@@ -177,10 +177,10 @@ def numbers(text: str, pieces: list[tuple[int, int]]) -> Iterator[tuple[int, int
     at = 0
     while at < len(pieces):
         a, most, digits = pieces[at][0], at, 0
-        for k in range(at, min(len(pieces), at + MOST_PIECES)):
+        for k in range(at, len(pieces)):  # each but the first has two digits at least, which bounds it
             own = sum(map(str.isdigit, text[pieces[k][0] : pieces[k][1]]))
             digits += own
-            if k > at and (own < 2 or digits > 19 or pieces[k][1] - a > CHUNK_CHARS):
+            if k > at and (own < 2 or digits > MOST_DIGITS or pieces[k][1] - a > CHUNK_CHARS):
                 break
             most = k
         for k in range(most, at - 1, -1):

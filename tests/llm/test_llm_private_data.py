@@ -114,3 +114,15 @@ def test_contexts_add_spans_of_every_kind(rows):
     assert {text: found[k].spans or None for k, text in enumerate(missed, len(seeds))} == missed
     assert [found[k].added for k in range(len(seeds))] == [0] * len(seeds)
     assert all(found[k].added == (span is not None) for k, span in enumerate(missed.values(), len(seeds)))
+
+
+def test_long_chunks_and_many_pieces_are_candidates():
+    def found(text):
+        seen = private_data.mentions(text, private_data.base_spans(text))
+        return {(text[m["start"] : m["end"]], m["kind"] or m["kinds"]) for m in seen}
+
+    long = "josé." * 30 + "[at]example.org"
+    assert found(f"mail {long} or") == {(long, "email")}
+    nine = "4 00 00 00 00.00 00 00 00 06"
+    assert found(f"charge {nine} for") == {(nine, "card")}
+    assert found("x " + "1" * 300 + " y") == set()
