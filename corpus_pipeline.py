@@ -61,6 +61,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with jaccard_join.batches_of(spark, BATCH_ROWS):  # the session gets its own setting back
+        for name, stage in STAGES:
+            docs = settled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
