@@ -131,15 +131,17 @@ def trained(sample: DataFrame, size: int) -> list[np.ndarray]:
         .where("model <> fold"),
         "toxic-shards",
     )
+    shards = shards.repartition("model", "shard").persist()  # dealt once, not in every round; as many rows as the sample
     states = [(np.zeros(size), np.zeros(size)) for _ in range(FOLDS + 1)]
     for round_ in range(ROUNDS):
         shared = sample.sparkSession.sparkContext.broadcast(states)
         parts = shards.groupBy("model", "shard").applyInPandas(shard_pass(shared, round_), "model int, place int, dz double, dn double")
-        moved = parts.groupBy("model", "place").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).orderBy("model", "place").toArrow()
+        moved = parts.groupBy("model", "place").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # a place comes once, so that their order does not matter
         model, at = moved["model"].to_numpy(), moved["place"].to_numpy()
         for k, (z, n) in enumerate(states):
             z[at[model == k]] += moved["dz"].to_numpy()[model == k]
             n[at[model == k]] += moved["dn"].to_numpy()[model == k]
+    shards.unpersist()
     return [weights_of(z, n) for z, n in states]
 
 
