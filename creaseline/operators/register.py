@@ -110,6 +110,7 @@ def resolve_roles(
     roles: Mapping[str, str],
     comparison: Callable[[Column], Column] = name_key,
     settle: Callable[[DataFrame], DataFrame] = lambda table: table,
+    deal: int | None = None,
 ) -> DataFrame:
     """Add an id column for each name column of ``roles``.
 
@@ -120,7 +121,9 @@ def resolve_roles(
     rows shortens, and are unique, so that the join can be split where one is frequent.
     Rows without any name are dealt by their other columns and meet nothing. Pass a table
     writer as ``settle`` to store names and combinations first: Spark then knows their size
-    when it plans the joins, and broadcasts them only below its own threshold.
+    when it plans the joins, and broadcasts them only below its own threshold. ``deal`` is the
+    number of parts in which facts and combinations then meet, for facts of which the session's
+    number of shuffle partitions would make parts beyond a task's memory.
 
     Target columns that exist already are replaced, so a second run changes
     nothing. With several ids per key every match is kept, which repeats the row.
@@ -139,6 +142,8 @@ def resolve_roles(
     combined = settle(combined.select(mark.alias("_mark"), *(F.col(c).alias(f"_{c}") for c in names), *roles.values()))
     same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names))
     marked = facts.withColumn("_own", F.when(named, mark).otherwise(F.xxhash64(*columns)))
+    if deal:
+        marked, combined = marked.repartition(deal, "_own"), combined.repartition(deal, "_mark")
     return marked.join(combined, (F.col("_own") == F.col("_mark")) & same, "left").select(*columns, *roles.values())
 
 

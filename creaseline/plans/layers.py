@@ -17,7 +17,6 @@ from creaseline.sources import documents, tables
 from creaseline.sources.workspace import fresh_path, settled
 
 _STORED: dict[tuple, DataFrame] = {}
-BUCKETS = 8
 
 
 def _contents(spark: SparkSession, folder: str) -> tuple:
@@ -36,8 +35,8 @@ def stored(spark: SparkSession, folder: str, name: str, store: Callable[[], Data
 
 
 def over_sums(spark: SparkSession, folder: str) -> DataFrame:
-    """The only table here that is built from the balls."""
-    return stored(spark, folder, "over sums", lambda: settled(partials.over_sums(adapter.balls(spark, folder)), "over-sums"))
+    """The only table here that is built from the balls. It lies in buckets by match, so sums by match of it need no shuffle."""
+    return bucketed(spark, folder, "over_sums", lambda *a: partials.over_sums(adapter.balls(*a)), dealt=True)
 
 
 def named_people(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,8 +88,8 @@ def chain_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     def store():
         path = fresh_path(spark, "raw")
-        adapter.order_documents(spark, folder).select("info", "innings").write.json(path)
-        return documents.read_documents(spark, path, multiline=False)
+        adapter.order_documents(spark, folder).select("info", "innings").write.json(path, compression="gzip")
+        return documents.read_documents(spark, path, "*.json.gz", multiline=False)
 
     return stored(spark, folder, "chain documents", store)
 
@@ -103,26 +102,43 @@ def chain_teams(spark: SparkSession, folder: str) -> DataFrame:
     return stored(spark, folder, "chain teams", lambda: settled(register.dim_team(names(), adapter.NATION_OVERRIDES), "chain-teams"))
 
 
+# What the sums per over and the resolution of names read of a silver ball.
+SUMMED_COLUMNS = (
+    "season", "match_id", "inning_no", "over_no", "batting_team", "bowling_team", "striker", "non_striker", "bowler",
+    "runs_batter", "runs_extras", "runs_total", "extra_byes", "extra_legbyes", "extra_wides", "extra_noballs",
+    "wicket_fell", "wicket_player_out", "wicket_kind",
+)
+
+
 def chain_sums(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw documents to bronze and silver balls, players and teams resolved by name, summed per over."""
+    """Raw documents to bronze and silver balls, players and teams resolved by name, summed per over.
+
+    Only what the sums need goes through the resolution, and the sums lie in buckets by match.
+    """
 
-    def build():
+    def build(spark, folder):
+        number = adapter.parts(spark, folder)
         balls = settled(conform.silver_deliveries(flatten.ball_rows(chain_documents(spark, folder))), "chain-silver")
         people = adapter.people(spark, folder)
         short = people.select("identifier", F.concat(F.lit("S"), "identifier").alias("name"))  # as the documents name bowlers
         aliases = adapter.people_aliases(spark, folder).union(short)
         players = register.one_id_per_key(register.register_keys(people, aliases))
         keys = register.team_alias_keys(chain_teams(spark, folder)).withColumnRenamed("team_id", "id")
-        balls = register.resolve_roles(balls, players, register.BALL_PLAYER_ROLES, settle=settled)
-        return partials.over_sums(register.resolve_roles(balls, keys, register.BALL_TEAM_ROLES, settle=settled))
+        balls = balls.select(*SUMMED_COLUMNS)
+        balls = register.resolve_roles(balls, players, register.BALL_PLAYER_ROLES, settle=settled, deal=number)
+        balls = register.resolve_roles(balls, keys, register.BALL_TEAM_ROLES, settle=settled)
+        return partials.over_sums(balls.repartition(number, "match_id"))
 
-    return stored(spark, folder, "chain sums", lambda: settled(build(), "chain-sums"))
+    return bucketed(spark, folder, "chain_sums", build, dealt=True)
 
 
-def bucketed(spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """A table stored in buckets by match."""
+def bucketed(
+    spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame], dealt: bool = False
+) -> DataFrame:
+    """A table stored in buckets by match. Their number grows with the lines and is one for all tables of a folder, so that they join bucket by bucket."""
 
     def store():
-        return tables.write_bucketed(build(spark, folder), f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), "match_id", BUCKETS)
+        number = adapter.parts(spark, folder)
+        return tables.write_bucketed(build(spark, folder), f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), "match_id", number, dealt)
 
     return stored(spark, folder, f"{name} in buckets", store)

@@ -68,14 +68,14 @@ def write_table(
     return path
 
 
-def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
     """Write a table in ``buckets`` parts by the hash of a key, each sorted by it, and read it back.
 
     Tables of one key and number of buckets join and aggregate on the key without a shuffle.
     The catalogue knows the table by its name, its files lie at ``path``. The rows are dealt by the
-    key first, so a bucket is one file.
+    key first, so a bucket is one file; ``dealt`` tells that they are already, in so many parts.
     """
-    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path)
+    writer = (df if dealt else df.repartition(buckets, key)).write.bucketBy(buckets, key).sortBy(key).option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
