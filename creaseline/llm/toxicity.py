@@ -123,24 +123,30 @@ def shard_pass(shared, round_: int):
     return added
 
 
+def round_sums(shards: DataFrame, states: list[tuple[np.ndarray, np.ndarray]], round_: int) -> DataFrame:
+    """What each shard adds to each model in a round. The shards are dealt already, so nothing is shuffled."""
+    shared = shards.sparkSession.sparkContext.broadcast(states)
+    models = shards.withColumn("model", F.explode(F.array([F.lit(k) for k in range(len(states))]))).where("model <> fold")
+    return models.groupBy("model", "shard").applyInPandas(shard_pass(shared, round_), "model int, place int, dz double, dn double")
+
+
+def add_averages(states: list[tuple[np.ndarray, np.ndarray]], moved: pa.Table) -> None:
+    """Add to each state, at each place, what the shards that met the place add on average."""
+    model, places, added = moved["model"].to_numpy(), moved["place"].to_numpy(), [moved[c].to_numpy() for c in ("dz", "dn")]
+    for k, state in enumerate(states):
+        mine = model == k
+        met = np.maximum(np.bincount(places[mine], minlength=len(state[0])), 1)
+        for held, new in zip(state, added):
+            held += np.bincount(places[mine], new[mine], len(held)) / met
+
+
 def trained(sample: DataFrame, size: int) -> list[np.ndarray]:
     """The weights of model 0, fitted on all rows, and of a model without each fold."""
-    shards = settled(
-        sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int"))
-        .withColumn("model", F.explode(F.array([F.lit(k) for k in range(FOLDS + 1)])))
-        .where("model <> fold"),
-        "toxic-shards",
-    )
-    shards = shards.repartition("model", "shard").persist()  # dealt once, not in every round; as many rows as the sample
+    shards = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int"))
+    shards = shards.repartitionByRange(SHARDS, "shard").persist()  # dealt once, for all rounds and models; as many rows as the sample
     states = [(np.zeros(size), np.zeros(size)) for _ in range(FOLDS + 1)]
     for round_ in range(ROUNDS):
-        shared = sample.sparkSession.sparkContext.broadcast(states)
-        parts = shards.groupBy("model", "shard").applyInPandas(shard_pass(shared, round_), "model int, place int, dz double, dn double")
-        moved = parts.groupBy("model", "place").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn")).toArrow()  # a place comes once, so that their order does not matter
-        model, at = moved["model"].to_numpy(), moved["place"].to_numpy()
-        for k, (z, n) in enumerate(states):
-            z[at[model == k]] += moved["dz"].to_numpy()[model == k]
-            n[at[model == k]] += moved["dn"].to_numpy()[model == k]
+        add_averages(states, round_sums(shards, states, round_).toArrow())  # per shard and model at most the vocabulary of the sample
     shards.unpersist()
     return [weights_of(z, n) for z, n in states]
 

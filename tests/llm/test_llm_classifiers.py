@@ -6,6 +6,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from creaseline.llm import quality, toxicity
@@ -79,6 +80,32 @@ def test_logistic_line():
     assert toxicity.logistic_line(-margin, toxic) == (1.0, 0.0)
 
 
+def test_rounds_shuffle_and_store_nothing(rows, monkeypatch):
+    """Shards are dealt once from the stored sample; what they add comes as it is and is averaged per place."""
+    stored, rounds = [], []
+    settled, round_sums = toxicity.settled, toxicity.round_sums
+    monkeypatch.setattr(toxicity, "settled", lambda df, name: stored.append(name) or settled(df, name))
+
+    def watched(*args):
+        rounds.append(round_sums(*args))
+        return rounds[-1]
+
+    monkeypatch.setattr(toxicity, "round_sums", watched)
+    _, _, d, marks = labelled(rows)
+    toxicity.fitted(d, marks)
+    assert stored == ["toxic-sample", "toxic-features", "toxic-places"]
+    plans = [r._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0] for r in rounds]  # as they ran
+    assert len(plans) == toxicity.ROUNDS and all("Final Plan" in p and "Exchange" not in p for p in plans)
+
+
+def test_states_move_by_the_average_of_the_shards_that_met_a_place():
+    states = [(np.zeros(4), np.zeros(4)), (np.ones(4), np.zeros(4))]
+    moved = [(0, 1, 2.0, 4.0), (0, 1, 4.0, 6.0), (0, 3, 1.0, 1.0), (1, 0, -3.0, 2.0)]
+    toxicity.add_averages(states, pa.table(dict(zip(("model", "place", "dz", "dn"), map(list, zip(*moved))))))
+    assert [s.tolist() for s in states[0]] == [[0, 3, 0, 1], [0, 5, 0, 1]]
+    assert [s.tolist() for s in states[1]] == [[-2, 1, 1, 1], [2, 0, 0, 0]]
+
+
 def test_toxicity_on_held_out_labels(spark):
     """Of the driver's documents: nearly all toxic ones, few others."""
     folder = Path("/root/testdata/sf0.1")
