@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from creaseline.functions.metrics import charged_runs, credited_wicket, faced, legal, phase, tally
+from creaseline.functions.metrics import charged_runs, credited_wicket, faced, legal, ones, phase, tally
 from creaseline.operators.conform import in_innings
 from creaseline.operators.rollups import appearances, is_maiden
 from creaseline.operators.season_tables import (
@@ -27,21 +27,32 @@ OVER_KEYS = (
 SUMS = ("runs_total", "scored", "balls_faced", "balls_legal", "fours", "sixes", "outs", "wickets", "conceded", "credited")
 
 
-def over_sums(balls: DataFrame) -> DataFrame:
-    """One row per over, batter, bowler and sides, with the sums of its balls."""
+def ball_sums(balls: DataFrame, *kept: str) -> DataFrame:
+    """The ``kept`` columns of each ball and what it adds to the sums of its over: less to shuffle than the ball."""
     scored = F.col("runs_batter")
-    return balls.groupBy(*OVER_KEYS).agg(
-        F.sum("runs_total").alias("runs_total"),
-        F.sum(scored.cast("int")).alias("scored"),
-        tally(faced()).alias("balls_faced"),
-        tally(legal()).alias("balls_legal"),
-        tally(scored == 4).alias("fours"),
-        tally(scored == 6).alias("sixes"),
-        tally(F.col("wicket_fell") & (F.col("wicket_player_out") == F.col("striker"))).alias("outs"),
-        tally(F.col("wicket_fell")).alias("wickets"),
-        F.sum(charged_runs()).alias("conceded"),
-        tally(credited_wicket()).alias("credited"),
+    added = (
+        F.col("runs_total"),
+        scored.cast("int"),
+        ones(faced()),
+        ones(legal()),
+        ones(scored == 4),
+        ones(scored == 6),
+        ones(F.col("wicket_fell") & (F.col("wicket_player_out") == F.col("striker"))),
+        ones(F.col("wicket_fell")),
+        charged_runs(),
+        ones(credited_wicket()),
     )
+    return balls.select(*kept, *(value.alias(name) for name, value in zip(SUMS, added)))
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """One row per over, batter, bowler and sides, from rows of :func:`ball_sums`."""
+    return merged(rows, *OVER_KEYS, **{name: name for name in SUMS})
+
+
+def over_sums(balls: DataFrame) -> DataFrame:
+    """One row per over, batter, bowler and sides, with the sums of its balls."""
+    return summed(ball_sums(balls, *OVER_KEYS))
 
 
 def merged(sums: DataFrame, *keys: str, **measures: str) -> DataFrame:

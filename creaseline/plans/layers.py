@@ -113,21 +113,24 @@ SUMMED_COLUMNS = (
 def chain_sums(spark: SparkSession, folder: str) -> DataFrame:
     """Raw documents to bronze and silver balls, players and teams resolved by name, summed per over.
 
-    Only what the sums need goes through the resolution, and the sums lie in buckets by match.
+    Only what the sums need is stored, and only what a ball adds to them goes through the resolution. Teams
+    come first: their combinations are few, and found without the players. The sums lie in buckets by match.
     """
 
     def build(spark, folder):
         number = adapter.parts(spark, folder)
-        balls = settled(conform.silver_deliveries(flatten.ball_rows(chain_documents(spark, folder))), "chain-silver")
+        balls = conform.silver_deliveries(flatten.ball_rows(chain_documents(spark, folder)))
+        balls = settled(balls.select(*SUMMED_COLUMNS), "chain-silver")
         people = adapter.people(spark, folder)
         short = people.select("identifier", F.concat(F.lit("S"), "identifier").alias("name"))  # as the documents name bowlers
         aliases = adapter.people_aliases(spark, folder).union(short)
         players = register.one_id_per_key(register.register_keys(people, aliases))
         keys = register.team_alias_keys(chain_teams(spark, folder)).withColumnRenamed("team_id", "id")
-        balls = balls.select(*SUMMED_COLUMNS)
-        balls = register.resolve_roles(balls, players, register.BALL_PLAYER_ROLES, settle=settled, deal=number)
-        balls = register.resolve_roles(balls, keys, register.BALL_TEAM_ROLES, settle=settled)
-        return partials.over_sums(balls.repartition(number, "match_id"))
+        named = ("season", "match_id", "inning_no", "over_no", *register.BALL_TEAM_ROLES, *register.BALL_PLAYER_ROLES)
+        rows = partials.ball_sums(balls, *named)
+        rows = register.resolve_roles(rows, keys, register.BALL_TEAM_ROLES, settle=settled)
+        rows = register.resolve_roles(rows, players, register.BALL_PLAYER_ROLES, settle=settled, deal=number)
+        return partials.summed(rows.select(*partials.OVER_KEYS, *partials.SUMS).repartition(number, "match_id"))
 
     return bucketed(spark, folder, "chain_sums", build, dealt=True)
 

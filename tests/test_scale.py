@@ -105,3 +105,25 @@ def test_broken_texts_are_not_stored_a_second_time(spark, folder, tmp_path):
     read = documents.read_documents(spark, f"{tmp_path}/files", "*.txt.gz", keep_malformed=True)
     written = weekly.select(F.count_if(F.col("k") % 2 == 0), F.count_if(F.col("k") % 2 != 0)).first()
     assert read.select(F.count_if(F.col(documents.CORRUPT).isNotNull()), F.count_if(F.col(documents.CORRUPT).isNull())).first() == written
+
+
+def test_chain_stores_and_resolves_only_what_the_sums_need(spark, folder, monkeypatch):
+    people = [(n, f"Supplier#{n:09d}", n) for n in (1, 2, 3)]  # the lines name 0 to 3
+    spark.createDataFrame(people, "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{folder}/supplier.parquet")
+    settled, stored = layers.settled, []
+    monkeypatch.setattr(layers, "settled", lambda df, name="": stored.append((name, df)) or settled(df, name or "table"))
+    sums = layers.chain_sums(spark, folder)
+    silver = next(df for name, df in stored if name == "chain-silver")
+    assert silver.columns == list(layers.SUMMED_COLUMNS)
+    sides = next(df for _, df in stored if df.columns == ["batting_team", "bowling_team"])
+    assert "Join" not in plan(sides)  # team names in use are found without the players
+    names = [df for _, df in stored if df.columns == ["striker", "non_striker", "bowler"]]
+    assert len(names) == 1
+    assert sums.count() == sums.select(*partials.OVER_KEYS).distinct().count()
+    totals = [F.sum(c) for c in ("runs_total", "balls_legal", "wickets", "outs")]
+    legal = F.when((F.col("extra_wides") == 0) & (F.col("extra_noballs") == 0), 1).otherwise(0)
+    out = F.col("wicket_fell") & (F.col("wicket_player_out") == F.col("striker"))
+    found = silver.agg(F.sum("runs_total"), F.sum(legal), F.sum(F.col("wicket_fell").cast("int")), F.sum(F.when(out, 1).otherwise(0)))
+    assert sums.agg(*totals).first() == found.first()
+    assert {r.bowler_id for r in sums.select("bowler_id").distinct().collect()} == {None, "1", "2", "3"}
+    assert sums.where("batting_team_id is null or bowling_team_id is null").count() == 0
