@@ -26,9 +26,13 @@ def _contents(spark: SparkSession, folder: str) -> tuple:
     return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed))
 
 
+def _key(spark: SparkSession, folder: str, name: str) -> tuple:
+    return (spark.sparkContext.applicationId, folder, _contents(spark, folder), name)
+
+
 def stored(spark: SparkSession, folder: str, name: str, store: Callable[[], DataFrame]) -> DataFrame:
     """The table of that name, built and stored when it is first asked for."""
-    key = (spark.sparkContext.applicationId, folder, _contents(spark, folder), name)
+    key = _key(spark, folder, name)
     if key not in _STORED:
         _STORED[key] = store()
     return _STORED[key]
@@ -36,7 +40,18 @@ def stored(spark: SparkSession, folder: str, name: str, store: Callable[[], Data
 
 def over_sums(spark: SparkSession, folder: str) -> DataFrame:
     """The only table here that is built from the balls. It lies in buckets by match, so sums by match of it need no shuffle."""
-    return bucketed(spark, folder, "over_sums", lambda *a: partials.over_sums(adapter.balls(*a)), dealt=True)
+    build = lambda *a: partials.over_sums(adapter.balls(*a, stored_lines(*a)))
+    return bucketed(spark, folder, "over_sums", build, dealt=True)
+
+
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines in buckets by match, for a query that makes balls of them several times: they are dealt once."""
+    return bucketed(spark, folder, "lines", adapter.dealt_lines, dealt=True)
+
+
+def stored_lines(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The lines in buckets where a query has stored them, else None: for a single use, storing costs more than it saves."""
+    return _STORED.get(_key(spark, folder, "lines in buckets"))
 
 
 def named_people(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +86,7 @@ def summaries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def team_names(spark: SparkSession, folder: str) -> DataFrame:
-    build = lambda: register.team_names(silver_matches(spark, folder), adapter.noisy_balls(spark, folder))
+    build = lambda: register.team_names(silver_matches(spark, folder), adapter.noisy_balls(spark, folder, stored_lines(spark, folder)))
     return stored(spark, folder, "team names", lambda: settled(build(), "team-names"))
 
 

@@ -127,3 +127,26 @@ def test_chain_stores_and_resolves_only_what_the_sums_need(spark, folder, monkey
     assert sums.agg(*totals).first() == found.first()
     assert {r.bowler_id for r in sums.select("bowler_id").distinct().collect()} == {None, "1", "2", "3"}
     assert sums.where("batting_team_id is null or bowling_team_id is null").count() == 0
+
+
+def test_named_tables_deal_the_lines_once(spark, folder, monkeypatch):
+    """Balls are made for the gold tables, the matches, the sample, the sums and the team names."""
+    spark.createDataFrame([(n, f"Supplier#{n:09d}", n) for n in (1, 2, 3)], "s_suppkey bigint, s_name string, s_nationkey int").write.mode("ignore").parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(n, f"NATION_{n}") for n in range(25)], "n_nationkey int, n_name string").write.mode("ignore").parquet(f"{folder}/nation.parquet")
+    monkeypatch.setattr(layers, "_STORED", {})
+    deal, dealt = adapter.dealt_lines, []
+    monkeypatch.setattr(adapter, "dealt_lines", lambda *a: dealt.append(a) or deal(*a))
+    sizes = catalog.named_tables(spark, folder)
+    assert len(dealt) == 1
+    assert not any("lineitem" in file for file in sizes.inputFiles())
+    found = {r.table: r.rows for r in sizes.collect()}
+    lines = layers.lines(spark, folder)
+    for name in set(catalog.NAMED_TABLES) - {"silver.dim_player", "silver.dim_team"}:
+        build = catalog.NAMED_TABLES[name]
+        plain = build(spark, folder, None).drop("src_ingest_ts")
+        assert found[name] == plain.count()
+        assert plain.exceptAll(build(spark, folder, lines).drop("src_ingest_ts")).isEmpty(), name
+    shared = layers.teams(spark, folder)
+    monkeypatch.setattr(layers, "_STORED", {})
+    alone = layers.teams(spark, folder)
+    assert found["silver.dim_team"] == alone.count() and alone.exceptAll(shared).isEmpty()
