@@ -51,7 +51,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_lines(spark: SparkSession, folder: str) -> DataFrame | None:
     """The lines in buckets where a query has stored them, else None: for a single use, storing costs more than it saves."""
-    return _STORED.get(_key(spark, folder, "lines in buckets"))
+    return _STORED.get(_key(spark, folder, _buckets(spark, folder, "lines")))
 
 
 def named_people(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,7 +74,8 @@ def phases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_matches(spark: SparkSession, folder: str) -> DataFrame:
-    build = lambda: conform.silver_matches(adapter.bronze_matches(spark, folder), order=partials.order_and_scores(over_sums(spark, folder)))
+    dealt = lambda: adapter.bronze_matches(spark, folder, dealt=True)
+    build = lambda: conform.silver_matches(dealt(), order=partials.order_and_scores(over_sums(spark, folder)))
     return stored(spark, folder, "silver matches", lambda: settled(build(), "silver-matches"))
 
 
@@ -150,13 +151,20 @@ def chain_sums(spark: SparkSession, folder: str) -> DataFrame:
     return bucketed(spark, folder, "chain_sums", build, dealt=True)
 
 
+def _buckets(spark: SparkSession, folder: str, name: str) -> str:
+    return f"{name} in {adapter.parts(spark, folder)} buckets"
+
+
 def bucketed(
     spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame], dealt: bool = False
 ) -> DataFrame:
-    """A table stored in buckets by match. Their number grows with the lines and is one for all tables of a folder, so that they join bucket by bucket."""
+    """A table stored in buckets by match. Their number grows with the lines and is one for all tables of a folder, so that they join bucket by bucket.
+
+    A session that has more shuffle partitions than before gets tables in as many buckets.
+    """
 
     def store():
         number = adapter.parts(spark, folder)
         return tables.write_bucketed(build(spark, folder), f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), "match_id", number, dealt)
 
-    return stored(spark, folder, f"{name} in buckets", store)
+    return stored(spark, folder, _buckets(spark, folder, name), store)

@@ -89,6 +89,32 @@ def test_buckets_grow_with_the_lines(spark, folder, monkeypatch):
     assert f"SelectedBucketsCount: {number} out of {number}" in plan(rollups.innings_scores(balls))
 
 
+def test_a_bucket_is_one_file_where_the_session_has_more_partitions(spark, folder, nothing_is_small):
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    try:
+        flawed = layers.bucketed(spark, folder, "grown_flawed", adapter.flawed_balls, dealt=True)
+        matches = catalog.bucketed_matches(spark, folder)
+        assert "SelectedBucketsCount: 24 out of 24" in plan(flawed.join(matches, "match_id"))
+        for table in (flawed, matches):
+            files = table.inputFiles()
+            assert len({file.split("_")[-1] for file in files}) == len(files) > adapter.LEAST_PARTS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def test_matches_are_dealt_before_anything_is_made_of_them(spark, folder, nothing_is_small, monkeypatch):
+    monkeypatch.setattr(layers, "_STORED", {})
+    stored, settled = [], layers.settled
+    monkeypatch.setattr(layers, "settled", lambda df, name: stored.append(df) or settled(df, name))
+    layers.silver_matches(spark, folder)
+    dealt = re.findall(r"Exchange hashpartitioning\(cast\(o_orderkey.*?\n.*?Project \[(.*?)\]", plan(stored[0]))
+    assert [re.findall(r"[a-z]_[a-z]+", columns) for columns in dealt] == [list(adapter.MATCH_SOURCE)]
+    assert not any("match_id" in keys for keys in shuffled(stored[0]))  # they meet the sums in their buckets
+    plain, dealt = (adapter.bronze_matches(spark, folder, dealt=d) for d in (False, True))
+    assert plain.count() == dealt.count() == 40
+    assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
+
+
 def test_document_files_are_compressed_and_only_documents(spark, folder, tmp_path):
     weekly = adapter.period_documents(spark, folder, 7)
     documents.write_document_files(weekly.where("false"), f"{tmp_path}/files")
