@@ -155,16 +155,25 @@ def _buckets(spark: SparkSession, folder: str, name: str) -> str:
     return f"{name} in {adapter.parts(spark, folder)} buckets"
 
 
+def weekly_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """A document per week, nested from stored lines where it is used, in the parts the lines were dealt in.
+
+    Stored documents would be read back by a few tasks, each with many of them to sort by their folder when they are written to files.
+    """
+    lines = bucketed(spark, folder, "week_lines", lambda *a: adapter.period_lines(*a, 7), dealt=True, key="k")
+    return adapter.period_documents(spark, folder, 7, lines)
+
+
 def bucketed(
-    spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame], dealt: bool = False
+    spark: SparkSession, folder: str, name: str, build: Callable[[SparkSession, str], DataFrame], dealt: bool = False, key: str = "match_id"
 ) -> DataFrame:
-    """A table stored in buckets by match. Their number grows with the lines and is one for all tables of a folder, so that they join bucket by bucket.
+    """A table stored in buckets by match, or by another key. Their number grows with the lines and is one for all tables of a folder, so that they join bucket by bucket.
 
     A session that has more shuffle partitions than before gets tables in as many buckets.
     """
 
     def store():
         number = adapter.parts(spark, folder)
-        return tables.write_bucketed(build(spark, folder), f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), "match_id", number, dealt)
+        return tables.write_bucketed(build(spark, folder), f"{name}_{uuid.uuid4().hex}", fresh_path(spark, name), key, number, dealt)
 
     return stored(spark, folder, _buckets(spark, folder, name), store)

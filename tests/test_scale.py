@@ -115,6 +115,20 @@ def test_matches_are_dealt_before_anything_is_made_of_them(spark, folder, nothin
     assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
 
 
+def test_weekly_documents_are_nested_in_many_parts_from_lines_stored_once(spark, folder, nothing_is_small, monkeypatch, tmp_path):
+    monkeypatch.setattr(layers, "_STORED", {})
+    monkeypatch.setattr(catalog, "settled", lambda df, name="table": pytest.fail(f"{name} is stored") if "innings" in df.columns else layers.settled(df, name))
+    catalog.manifest_new_files(spark, folder)
+    weekly = layers.weekly_documents(spark, folder)
+    assert not any("lineitem" in file for file in weekly.inputFiles())
+    assert not any("l_orderkey" in keys for keys in shuffled(weekly))
+    assert weekly.rdd.getNumPartitions() == adapter.parts(spark, folder)
+    plain = adapter.period_documents(spark, folder, 7)
+    texts = lambda df: {r[0]: r[1] for r in df.select("k", F.to_json(F.struct("info", "innings"))).collect()}
+    assert texts(weekly) == texts(plain) and len(texts(plain)) > 8
+    assert weekly.where("k >= 226").count() == plain.where("k >= 226").count() > 0
+
+
 def test_document_files_are_compressed_and_only_documents(spark, folder, tmp_path):
     weekly = adapter.period_documents(spark, folder, 7)
     documents.write_document_files(weekly.where("false"), f"{tmp_path}/files")
