@@ -160,8 +160,18 @@ def weekly_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     Stored documents would be read back by a few tasks, each with many of them to sort by their folder when they are written to files.
     """
-    lines = bucketed(spark, folder, "week_lines", lambda *a: adapter.period_lines(*a, 7), dealt=True, key="k")
-    return adapter.period_documents(spark, folder, 7, lines)
+    return adapter.period_documents(spark, folder, 7, week_lines(spark, folder))
+
+
+def weekly_texts(
+    spark: SparkSession, folder: str, where: str = "true", change: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """The texts of the weekly documents in pieces, made where they are used of the same lines: a week's document grows with the table."""
+    return adapter.period_texts(spark, folder, 7, week_lines(spark, folder), where, change)
+
+
+def week_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return bucketed(spark, folder, "week_lines", lambda *a: adapter.period_lines(*a, 7), dealt=True, key="k")
 
 
 def bucketed(
